@@ -10,6 +10,7 @@ decide how evenly the work is spread.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -17,29 +18,48 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-CUTS = 256
-ACCURACY = 10_000
-WINDOW_ROWS = 200_000
+WINDOW_ROWS = 50_000  # a group up to this size is sorted as it is
+GROUP_ROWS = 1_000_000  # aimed-at size of a group in larger tables
+MAX_CUTS = 8192
+SAMPLE_ROWS = 4_000_000
 
 
-def _grid(cuts: int) -> list[float]:
-    return [i / cuts for i in range(1, cuts)]
+def _number(c: str) -> Column:
+    """The column as a double with NaN turned into NULL."""
+    return F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+
+
+def _doubles(values: Sequence[float]) -> str:
+    return "array(" + ", ".join(f"double('{v!r}')" for v in values) + ")"
+
+
+def row_counts(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
+    """Rows with a value, per column; one job."""
+    row = df.agg(*[F.count(_number(c)).alias(f"n{i}") for i, c in enumerate(columns)]).first()
+    return {c: row[f"n{i}"] for i, c in enumerate(columns)}
 
 
 def approximate_cuts(
-    df: DataFrame, columns: Sequence[str], cuts: int = CUTS
-) -> tuple[dict[str, list[float]], dict[str, int]]:
-    """Cut values (with repeats, ascending) and non-missing row counts, all columns in one job."""
-    aggregates = []
-    for i, c in enumerate(columns):
-        value = F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
-        aggregates.append(F.percentile_approx(value, _grid(cuts), ACCURACY).alias(f"q{i}"))
-        aggregates.append(F.count(value).alias(f"n{i}"))
-    row = df.agg(*aggregates).first()
-    return (
-        {c: list(row[f"q{i}"] or []) for i, c in enumerate(columns)},
-        {c: row[f"n{i}"] for i, c in enumerate(columns)},
-    )
+    df: DataFrame, columns: Sequence[str], rows: int, cuts: int | None = None
+) -> dict[str, list[float]]:
+    """Cut values per column (ascending, a frequent value repeated), all columns in one job.
+
+    ``rows`` decides their number, and beyond ``SAMPLE_ROWS`` also a sampling rate: the cuts only
+    balance the work, so a few million rows settle them and the sketches that travel stay small
+    however many input partitions there are.
+    """
+    cuts = cuts or min(MAX_CUTS, max(64, rows // GROUP_ROWS))
+    if rows > SAMPLE_ROWS:
+        df = df.sample(SAMPLE_ROWS / rows, seed=0)
+    grid = _doubles([i / cuts for i in range(1, cuts)])
+    values = df.select(*[_number(c).alias(f"v{i}") for i, c in enumerate(columns)])
+    row = values.agg(
+        *[
+            F.expr(f"percentile_approx(v{i}, {grid}, {max(10_000, 10 * cuts)})").alias(f"q{i}")
+            for i in range(len(columns))
+        ]
+    ).first()
+    return {c: list(row[f"q{i}"] or []) for i, c in enumerate(columns)}
 
 
 def with_buckets(df: DataFrame, edges: Mapping[str, Sequence[float]], suffix: str = "_bucket") -> DataFrame:
@@ -63,7 +83,7 @@ def with_buckets(df: DataFrame, edges: Mapping[str, Sequence[float]], suffix: st
             numbers[f"{c}{suffix}"] = F.lit(1)
             continue
         slot = F.col(f"{c}{suffix}_slot").cast("int")
-        lower = F.try_element_at(F.array(*map(F.lit, e)), slot)
+        lower = F.try_element_at(F.expr(_doubles(e)), F.greatest(slot, F.lit(1)))
         numbers[f"{c}{suffix}"] = (
             F.when(slot == 0, F.lit(1)).when(F.col(c) == lower, 2 * slot).otherwise(2 * slot + 1)
         )
@@ -90,16 +110,15 @@ class _Target:
 
 
 def _values_at_ranks(
-    df: DataFrame, targets: Sequence[_Target], cuts: int, window_rows: int, known=None
+    df: DataFrame, targets: Sequence[_Target], counts: Sequence[int], cuts: int | None, window_rows: int
 ) -> dict[tuple[str, float, int], float]:
-    """Exact values at the wanted ranks, keyed by (column, low, rank)."""
+    """Exact values at the wanted ranks, keyed by (column, low, rank). ``counts`` holds the number
+    of rows inside each target's range."""
     found: dict[tuple[str, float, int], float] = {}
     names = [f"v{i}" for i in range(len(targets))]
     values = df.select(*[t.value().alias(n) for t, n in zip(targets, names)])
-    edges, counts = known or approximate_cuts(values, names, cuts)
-
-    small = [i for i, n in enumerate(names) if counts[n] <= window_rows]
-    large = [i for i in range(len(targets)) if i not in small]
+    small = [i for i, n in enumerate(counts) if n <= window_rows]
+    large = [i for i, n in enumerate(counts) if n > window_rows]
 
     if small:
         exploded = values.select(
@@ -120,6 +139,7 @@ def _values_at_ranks(
 
     if large:
         large_names = [names[i] for i in large]
+        edges = approximate_cuts(values, large_names, max(counts), cuts)
         bucketed = with_buckets(values.select(*large_names), {n: edges[n] for n in large_names})
         exploded = bucketed.select(
             F.explode(
@@ -139,6 +159,7 @@ def _values_at_ranks(
             sizes[row["t"]].append((row["b"], row["count"]))
 
         deeper: list[_Target] = []
+        sizes_inside: list[int] = []
         offsets: list[tuple[int, int]] = []
         for i in large:
             target, cut_values, start = targets[i], sorted(set(edges[names[i]])), 0
@@ -152,10 +173,11 @@ def _values_at_ranks(
                     low = cut_values[k - 1] if k > 0 else target.low
                     high = cut_values[k] if k < len(cut_values) else target.high
                     deeper.append(_Target(target.column, low, high, tuple(r - start for r in inside)))
+                    sizes_inside.append(size)
                     offsets.append((i, start))
                 start += size
         if deeper:
-            inner = _values_at_ranks(df, deeper, cuts, window_rows)
+            inner = _values_at_ranks(df, deeper, sizes_inside, cuts, window_rows)
             for sub, (i, start) in zip(deeper, offsets):
                 for r in sub.ranks:
                     found[targets[i].column, targets[i].low, r + start] = inner[sub.column, sub.low, r]
@@ -166,28 +188,24 @@ def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probabilities: Sequence[float],
-    cuts: int = CUTS,
+    cuts: int | None = None,
     window_rows: int = WINDOW_ROWS,
 ) -> dict[str, list[float]]:
     """Exact linearly interpolated quantiles of several columns.
 
-    Columns above ``window_rows`` rows are narrowed bucket by bucket, each pass cutting the rows
-    that still matter by about ``cuts``, until what is left of a bucket fits one small window. The
+    A column above ``window_rows`` rows is narrowed bucket by bucket, each pass keeping about one
+    ``cuts``-th of the rows that still matter, until what is left fits one small window. The
     driver sees only cut values and bucket counts. A column without values gives an empty list.
     """
     columns = list(dict.fromkeys(columns))
-    edges, counts = approximate_cuts(df, columns, cuts)
+    counts = row_counts(df, columns)
     wanted = {
         c: sorted({f(p * (n - 1)) for p in probabilities for f in (math.floor, math.ceil)})
         for c, n in counts.items()
         if n
     }
     targets = [_Target(c, -math.inf, math.inf, tuple(r)) for c, r in wanted.items()]
-    known = (
-        {f"v{i}": edges[t.column] for i, t in enumerate(targets)},
-        {f"v{i}": counts[t.column] for i, t in enumerate(targets)},
-    )
-    found = _values_at_ranks(df, targets, cuts, window_rows, known) if targets else {}
+    found = _values_at_ranks(df, targets, [counts[c] for c in wanted], cuts, window_rows) if targets else {}
     result: dict[str, list[float]] = {c: [] for c in columns}
     for c in wanted:
         for p in probabilities:
@@ -211,25 +229,30 @@ def approximate_quantiles(
     return {c: list(row[f"q{i}"] or []) for i, c in enumerate(columns)}
 
 
-def order_buckets(df: DataFrame, value: str, key: str, cuts: int = CUTS) -> DataFrame:
+def order_buckets(
+    df: DataFrame, value: str, key: str, cuts: int | None = None, window_rows: int = WINDOW_ROWS
+) -> DataFrame:
     """Add ``bucket`` and ``part`` so that (bucket, part, value, key) sorts like (value, key).
 
-    A value frequent enough to fill a cut is split further at approximate quantiles of the numeric
-    tie-break ``key``, so no (bucket, part) group grows with the number of ties.
+    A value frequent enough to fill several cuts is split into as many parts at approximate
+    quantiles of the numeric tie-break ``key``, so no group grows with the number of ties.
     """
-    edges, _ = approximate_cuts(df, [value, key], cuts)
-    repeats = {e for e in edges[value] if edges[value].count(e) > 1}
+    rows = row_counts(df, [value])[value]
+    if rows <= window_rows:
+        return df.withColumns({"bucket": F.lit(1), "part": F.lit(0)})
+    edges = approximate_cuts(df, [value, key], rows, cuts)
     cut_values = sorted(set(edges[value]))
-    heavy = [2 * (i + 1) for i, e in enumerate(cut_values) if e in repeats]
+    repeated = Counter(edges[value])
     df = with_buckets(df, {value: edges[value]}, "_order")
-    if not heavy:
-        return df.withColumns({"bucket": F.col(f"{value}_order"), "part": F.lit(0)}).drop(f"{value}_order")
-    # 64 parts per heavy value keep the table of group totals small
-    key_cuts = sorted(set(edges[key]))
-    key_cuts = key_cuts[:: max(1, len(key_cuts) // 64)]
-    df = df.withColumn("order_key", F.col(key).cast("double"))
-    df = with_buckets(df, {"order_key": key_cuts}, "_order")
-    part = F.when(F.col(f"{value}_order").isin(heavy), F.col("order_key_order")).otherwise(F.lit(0))
-    return df.withColumns({"bucket": F.col(f"{value}_order"), "part": part}).drop(
-        f"{value}_order", "order_key", "order_key_order"
-    )
+    part = F.lit(0)
+    if repeated and max(repeated.values()) > 1:
+        # a value filling r cuts gets r parts, so there are never more parts than cuts
+        key_cuts = sorted(set(edges[key]))
+        df = with_buckets(df.withColumn("tie", F.col(key).cast("double")), {"tie": key_cuts}, "_order")
+        fills = F.expr("array(" + ", ".join(str(repeated[e]) for e in cut_values) + ")")
+        bucket = F.col(f"{value}_order")
+        fill = F.when(bucket % 2 == 0, F.try_element_at(fills, (bucket / 2).cast("int"))).otherwise(1)
+        part = F.floor(F.col("tie_order") * fill / (2 * len(key_cuts) + 2)).cast("int")
+        part = F.when(fill > 1, part).otherwise(0)
+    placed = df.withColumns({"bucket": F.col(f"{value}_order"), "part": part})
+    return placed.drop(f"{value}_order", "tie", "tie_order")

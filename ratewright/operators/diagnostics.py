@@ -7,8 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratewright.functions.columns import as_column, interval_index, weighted_mean
-from ratewright.functions.ordered import CUTS, exact_quantiles, order_buckets
+from ratewright.functions.columns import as_column, cap, interval_index, weighted_mean
+from ratewright.functions.ordered import exact_quantiles, order_buckets
 
 OBSERVED = "PURE_PREMIUM"
 PREDICTED = "PREDICTED_PURE_PREMIUM"
@@ -126,7 +126,7 @@ def lorenz(
     observed: str = OBSERVED,
     weight: str = WEIGHT,
     key: str = "POLICY_ID",
-    cuts: int = CUTS,
+    cuts: int | None = None,
 ) -> DataFrame:
     """One row per policy, safest first: RANK, CUM_EXPOSURE and CUM_CLAIMS as shares of their
     totals. Ties in the prediction are ordered by key.
@@ -157,7 +157,7 @@ def lorenz(
         F.sum("c").over(inside).alias("c"),
         F.row_number().over(inside).alias("n"),
     )
-    # at most 2 * cuts + 64 * cuts / 2 rows, whatever the size of the portfolio
+    # one row per group: their number is bounded by the cuts, whatever the size of the portfolio
     joined = running.join(F.broadcast(offsets), ["bucket", "part"])
     return joined.select(
         F.col("key").alias(key),
@@ -185,7 +185,7 @@ def gini(
     weight: str = WEIGHT,
     key: str = "POLICY_ID",
     include_origin: bool = False,
-    cuts: int = CUTS,
+    cuts: int | None = None,
 ) -> DataFrame:
     """(MODEL, AUC, GINI): trapezoid area under each Lorenz curve and ``1 - 2 * AUC``.
 
@@ -262,7 +262,7 @@ def exposure_histogram(
         if low == high:
             low, high = low - 0.5, high + 0.5
         x = F.col(c).cast("double")
-        slot = F.least(F.floor((x - F.lit(low)) * bins / F.lit(high - low)), F.lit(bins - 1)).cast("int")
+        slot = cap(F.floor((x - F.lit(low)) * bins / F.lit(high - low)), bins - 1).cast("int")
         entries.append(
             F.struct(
                 F.lit(c).alias("COLUMN_NAME"),
@@ -312,7 +312,8 @@ def compare_models(
 
 
 def write_exhibits(df: DataFrame, model: str, path: str, prediction: str = PREDICTED) -> dict[str, str]:
-    """Save lift, Lorenz points and Gini of one scored frame below ``path``; returns the paths."""
+    """Save lift, Lorenz points, Gini and errors of one scored frame below ``path``; returns the
+    paths. ``df`` is read several times, so give a stored table rather than a long plan."""
     exhibits = {
         "double_lift": lift_calibration(double_lift(df, {model: prediction})),
         "lorenz": lorenz_display(lorenz(df, prediction)).withColumn("MODEL", F.lit(model)),

@@ -85,6 +85,17 @@ def collapse_cells(
     return cells
 
 
+def varying(rows: DataFrame, features: Sequence[str]) -> list[str]:
+    """The features that take more than one value. A constant column (an empty bin, say) has no
+    coefficient and would make the normal equations singular, so it is left out of the fit."""
+    ends = [e for i, f in enumerate(features) for e in (F.min(f).alias(f"lo{i}"), F.max(f).alias(f"hi{i}"))]
+    row = rows.agg(*ends).first()
+    active = [f for i, f in enumerate(features) if row[f"lo{i}"] != row[f"hi{i}"]]
+    if not active:
+        raise ValueError("no feature varies over the training rows")
+    return active
+
+
 # -- Tweedie GLM -------------------------------------------------------------------------------
 
 
@@ -111,9 +122,10 @@ def fit_glm(
     """
     features = list(features)
     rows = usable_rows(df, label, weight).select(*features, label, weight)
+    active = varying(rows, features)
     if collapse:
-        rows = collapse_cells(rows, features, label, weight)
-    vectors = assembler(features)
+        rows = collapse_cells(rows, active, label, weight)
+    vectors = assembler(active)
     design = vectors.transform(rows).select(VECTOR, F.col(label).alias("y"), F.col(weight).alias("w"))
     if cache:
         design = design.persist(StorageLevel.MEMORY_AND_DISK)
@@ -123,7 +135,8 @@ def fit_glm(
         if cache:
             design.unpersist()
     pipeline = PipelineModel([vectors, model, _finish(f"glm_mean * {params['scale']!r}D", [VECTOR, "glm_mean"])])
-    return Fit(pipeline, "glm", features, {"alpha": alpha, "power": power, "max_iter": max_iter, **params})
+    params = {"alpha": alpha, "power": power, "max_iter": max_iter, "active": active, **params}
+    return Fit(pipeline, "glm", features, params)
 
 
 def _fit_tweedie(design, alpha, power, max_iter, tol, refits):
@@ -169,11 +182,12 @@ def _stage(fit: Fit, kind: type):
 
 
 def coefficients(fit: Fit) -> dict[str, float]:
-    """Link-scale coefficients by feature name."""
+    """Link-scale coefficients by feature name, 0 for features that did not vary in training."""
     from pyspark.ml.regression import GeneralizedLinearRegressionModel
 
     model = _stage(fit, GeneralizedLinearRegressionModel)
-    return dict(zip(fit.features, map(float, model.coefficients)))
+    fitted = dict(zip(fit.params["active"], map(float, model.coefficients)))
+    return {f: fitted.get(f, 0.0) for f in fit.features}
 
 
 def relativities(
@@ -207,25 +221,25 @@ def relativities(
 
 def score_equations(fit: Fit, df: DataFrame, label: str = OBSERVED, weight: str = WEIGHT) -> DataFrame:
     """(FEATURE, RESIDUAL): how far the fit is from solving its penalised likelihood equations,
-    per unit of weight and relative to the mean target. One aggregate over the portfolio."""
+    relative to the size of the terms that have to cancel. One aggregate over the portfolio."""
     power, alpha = fit.params["power"], fit.params["alpha"]
     scored = fit.predict(usable_rows(df, label, weight))
     pull = F.col(weight) * F.pow(PREDICTED, F.lit(1 - power)) * (F.col(label) - F.col(PREDICTED))
-    sums = scored.agg(
-        F.sum(weight).alias("w"),
-        weighted_mean(label, weight).alias("mean"),
-        F.sum(pull).alias("intercept"),
-        *[F.sum(pull * F.col(f)).alias(f"s{i}") for i, f in enumerate(fit.features)],
-    )
     beta = coefficients(fit)
-    unit = F.col("w") * F.pow("mean", F.lit(2 - power))
-    ridge = lambda f: F.lit(alpha * beta[f]) * F.col("w")
-    entries = [F.struct(F.lit("INTERCEPT").alias("FEATURE"), (F.col("intercept") / unit).alias("RESIDUAL"))]
-    entries += [
-        F.struct(F.lit(f).alias("FEATURE"), ((F.col(f"s{i}") - ridge(f)) / unit).alias("RESIDUAL"))
-        for i, f in enumerate(fit.features)
+    terms = {"INTERCEPT": (F.lit(1.0), 0.0), **{f: (F.col(f), alpha * beta[f]) for f in fit.features}}
+    sums = [F.sum(weight).alias("w")]
+    for i, (x, _) in enumerate(terms.values()):
+        sums += [F.sum(pull * x).alias(f"s{i}"), F.sum(F.abs(pull * x)).alias(f"size{i}")]
+    entries = [
+        F.struct(
+            F.lit(name).alias("FEATURE"),
+            F.coalesce(
+                F.try_divide(F.col(f"s{i}") - F.lit(ridge) * F.col("w"), F.col(f"size{i}")), F.lit(0.0)
+            ).alias("RESIDUAL"),
+        )
+        for i, (name, (_, ridge)) in enumerate(terms.items())
     ]
-    return sums.select(F.inline(F.array(*entries)))
+    return scored.agg(*sums).select(F.inline(F.array(*entries)))
 
 
 # -- cross-validation --------------------------------------------------------------------------
@@ -252,13 +266,14 @@ def cross_validate(
     """
     features = list(features)
     rows = add_fold(usable_rows(df, label, weight), k, key, salt).select("FOLD", *features, label, weight)
+    active = varying(rows, features)
     if collapse:
-        rows = collapse_cells(rows, features, label, weight, by=["FOLD"])
+        rows = collapse_cells(rows, active, label, weight, by=["FOLD"])
     else:
         rows = rows.withColumn("SQUARES", F.col(weight) * F.col(label) * F.col(label))
-    vectors = assembler(features)
     design = (
-        vectors.transform(rows)
+        assembler(active)
+        .transform(rows)
         .select("FOLD", VECTOR, F.col(label).alias("y"), F.col(weight).alias("w"), "SQUARES")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
@@ -316,12 +331,13 @@ def fit_freq_sev(
         (F.col("CLAIM_AMOUNT") / F.col("CLAIM_COUNT")).alias("y"),
         F.col("CLAIM_COUNT").cast("double").alias("w"),
     )
-    vectors = assembler(features)
-    stages, params = [], {"regParam": reg_param}
+    stages, params, hidden = [], {"regParam": reg_param}, []
     for name, family, rows in (("freq", "poisson", frequency), ("sev", "gamma", severity)):
+        active = varying(rows, features)
         if collapse:
-            rows = collapse_cells(rows, features, "y", "w")
-        design = vectors.transform(rows).select(VECTOR, "y", "w").persist(StorageLevel.MEMORY_AND_DISK)
+            rows = collapse_cells(rows, active, "y", "w")
+        vectors = assembler(active).setOutputCol(f"{name}_vector")
+        design = vectors.transform(rows).select(f"{name}_vector", "y", "w").persist(StorageLevel.MEMORY_AND_DISK)
         try:
             mean = design.agg(weighted_mean("y", "w").alias("m")).first()["m"]
             if not mean:
@@ -329,7 +345,7 @@ def fit_freq_sev(
             model = GeneralizedLinearRegression(
                 family=family,
                 link="log",
-                featuresCol=VECTOR,
+                featuresCol=f"{name}_vector",
                 labelCol="y",
                 weightCol="w",
                 predictionCol=f"{name}_mean",
@@ -339,12 +355,13 @@ def fit_freq_sev(
             ).fit(design.withColumn("y", F.col("y") / F.lit(mean)))
         finally:
             design.unpersist()
-        stages.append(model)
+        stages += [vectors, model]
+        hidden += [f"{name}_vector", f"{name}_mean"]
         params[f"{name}_scale"] = mean
         params[f"{name}_iterations"] = model.summary.numIterations
     factor = params["freq_scale"] * params["sev_scale"]
-    finish = _finish(f"freq_mean * sev_mean * {factor!r}D", [VECTOR, "freq_mean", "sev_mean"])
-    return Fit(PipelineModel([vectors, *stages, finish]), "freq_sev", features, params)
+    finish = _finish(f"freq_mean * sev_mean * {factor!r}D", hidden)
+    return Fit(PipelineModel([*stages, finish]), "freq_sev", features, params)
 
 
 # -- boosted trees -----------------------------------------------------------------------------

@@ -56,7 +56,8 @@ def add_targets(df: DataFrame) -> DataFrame:
         {
             "PURE_PREMIUM": F.try_divide("CLAIM_AMOUNT", "EXPOSURE"),
             "FREQUENCY": F.try_divide("CLAIM_COUNT", "EXPOSURE"),
-            "AVG_CLAIM_AMOUNT": F.col("CLAIM_AMOUNT") / F.greatest(F.col("CLAIM_COUNT"), F.lit(1)),
+            "AVG_CLAIM_AMOUNT": F.col("CLAIM_AMOUNT")
+            / F.when(F.col("CLAIM_COUNT") > 1, F.col("CLAIM_COUNT")).when(F.col("CLAIM_COUNT").isNotNull(), 1),
         }
     )
 

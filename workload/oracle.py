@@ -65,8 +65,8 @@ CTES = {
         FROM clean""",
     "binned": """
         SELECT c.*,
-          CAST(len(list_filter(PA_CUTS, b -> b < PROPERTY_AGE_CLEAN)) AS INT) AS PROPERTY_AGE_CLEAN_BIN,
-          CAST(len(list_filter(PHA_CUTS, b -> b < POLICYHOLDER_AGE_CLEAN)) AS INT) AS POLICYHOLDER_AGE_CLEAN_BIN,
+          CAST(len([b FOR b IN PA_CUTS IF b < PROPERTY_AGE_CLEAN]) AS INT) AS PROPERTY_AGE_CLEAN_BIN,
+          CAST(len([b FOR b IN PHA_CUTS IF b < POLICYHOLDER_AGE_CLEAN]) AS INT) AS POLICYHOLDER_AGE_CLEAN_BIN,
           (ln(POPULATION_DENSITY_CLEAN) - LOG_MEAN) / LOG_STD AS POPULATION_DENSITY_LOG_SCALED
         FROM clean c, cuts""",
     "edges": """
@@ -76,7 +76,7 @@ CTES = {
     "lift": """
         SELECT MODEL, DECILE, sum(P * W) / sum(W) AS PREDICTED, sum(Y * W) / sum(W) AS OBSERVED,
           sum(W) AS EXPOSURE, count(*) AS POLICIES
-        FROM (SELECT p.*, CAST(greatest(1, len(list_filter(e.E, b -> b < p.P))) AS INT) AS DECILE
+        FROM (SELECT p.*, CAST(greatest(1, len([b FOR b IN e.E IF b < p.P])) AS INT) AS DECILE
               FROM predictions p JOIN edges e ON e.MODEL = p.MODEL)
         GROUP BY MODEL, DECILE""",
     "curve": """

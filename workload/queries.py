@@ -20,7 +20,7 @@ from ratewright.plans.pricing import Names, burning_cost, freeze_study
 from ratewright.sources import feeds
 from ratewright.sources.adapter import policy_freq, policy_sev, read_table, sample_score
 from ratewright.sources.store import PricingStore, entity_check, spine_join
-from ratewright.storage import scratch_path
+from ratewright.storage import materialise, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -48,19 +48,29 @@ def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pol.prepare_policies(policy_freq(spark, sf_dir), policy_sev(spark, sf_dir))
 
 
+def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prepared policies as a written table, for queries that pass over them more than once."""
+    return materialise(prepared(spark, sf_dir), "prepared")
+
+
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prepared policies with targets and two model-free scores: SCORE is heavily tied, DENSITY is
+    """Policies with targets and two model-free scores, written: SCORE is heavily tied, DENSITY is
     continuous."""
-    return pol.add_targets(prepared(spark, sf_dir)).withColumns(
-        {"SCORE": sample_score(), "DENSITY": F.coalesce("POPULATION_DENSITY", F.lit(0.0))}
+    df = pol.add_targets(prepared(spark, sf_dir)).select(
+        "POLICY_ID",
+        "EXPOSURE",
+        "PURE_PREMIUM",
+        sample_score().alias("SCORE"),
+        F.coalesce("POPULATION_DENSITY", F.lit(0.0)).alias("DENSITY"),
     )
+    return materialise(df, "scored")
 
 
 SCORES = {"score": "SCORE", "density": "DENSITY"}
 
 
 def exact_plan(df: DataFrame) -> FeaturePlan:
-    return FeaturePlan.fit(df, SPEC, exact=True)
+    return FeaturePlan.fit(df, SPEC, exact=True, cache=False)
 
 
 # -- ingestion and conditioning ----------------------------------------------------------------
@@ -125,7 +135,7 @@ def portfolio_counts(spark, sf_dir):
 
 @query
 def medians_exact(spark, sf_dir):
-    medians = exact_quantiles(prepared(spark, sf_dir), SPEC.imputed, [0.5])
+    medians = exact_quantiles(stored(spark, sf_dir), SPEC.imputed, [0.5])
     rows = [(c, q[0]) for c, q in medians.items()]
     return rounded(spark.createDataFrame(rows, "COLUMN_NAME string, MEDIAN double"), MEDIAN=6)
 
@@ -133,28 +143,28 @@ def medians_exact(spark, sf_dir):
 @query
 def decile_boundaries(spark, sf_dir):
     columns = [*SPEC.imputed, "CLAIM_AMOUNT"]
-    found = exact_quantiles(prepared(spark, sf_dir), columns, DECILES)
+    found = exact_quantiles(stored(spark, sf_dir), columns, DECILES)
     rows = [(c, i, b) for c, cuts in found.items() for i, b in enumerate(cuts, start=1)]
     return rounded(spark.createDataFrame(rows, "COLUMN_NAME string, DECILE int, BOUNDARY double"), BOUNDARY=4)
 
 
 @query
 def impute(spark, sf_dir):
-    df = prepared(spark, sf_dir)
+    df = stored(spark, sf_dir)
     clean = exact_plan(df).impute(df).select("POLICY_ID", *[f"{c}_CLEAN" for c in SPEC.imputed])
     return clean.withColumns({f"{c}_CLEAN": F.round(F.col(f"{c}_CLEAN").cast("double"), 6) for c in SPEC.imputed})
 
 
 @query
 def bin_assign(spark, sf_dir):
-    df = prepared(spark, sf_dir)
+    df = stored(spark, sf_dir)
     plan = exact_plan(df)
     return plan.assign_bins(plan.impute(df)).select("POLICY_ID", *[f"{c}_CLEAN_BIN" for c in SPEC.binned])
 
 
 @query
 def bin_indicators(spark, sf_dir):
-    df = prepared(spark, sf_dir)
+    df = stored(spark, sf_dir)
     plan = exact_plan(df)
     binned = plan.assign_bins(plan.impute(df))
     return binned.select("POLICY_ID", *[e.alias(n) for n, e in plan.bin_indicators().items()])
@@ -162,7 +172,7 @@ def bin_indicators(spark, sf_dir):
 
 @query
 def one_hot(spark, sf_dir):
-    df = prepared(spark, sf_dir)
+    df = stored(spark, sf_dir)
     return df.select("POLICY_ID", *[e.alias(n) for n, e in exact_plan(df).level_indicators().items()])
 
 
@@ -173,7 +183,7 @@ def level_sets(spark, sf_dir):
 
 @query
 def log_scaled_density(spark, sf_dir):
-    df = prepared(spark, sf_dir)
+    df = stored(spark, sf_dir)
     plan = exact_plan(df)
     scaled = plan.impute(df).select("POLICY_ID", *[e.alias(n) for n, e in plan.log_features().items()])
     return rounded(scaled, POPULATION_DENSITY_LOG_SCALED=6)
@@ -181,7 +191,7 @@ def log_scaled_density(spark, sf_dir):
 
 @query
 def feature_matrix(spark, sf_dir):
-    df = prepared(spark, sf_dir)
+    df = stored(spark, sf_dir)
     matrix = exact_plan(df).transform(df)
     return rounded(matrix, CLAIM_AMOUNT=4, LOSS_HISTORY_SCORE_CLEAN=6, POPULATION_DENSITY_LOG_SCALED=6)
 
@@ -189,14 +199,14 @@ def feature_matrix(spark, sf_dir):
 @query
 def feature_matrix_sketched(spark, sf_dir):
     """The default plan, with quantile sketches as in production; no exact counterpart in SQL."""
-    df = prepared(spark, sf_dir)
-    return FeaturePlan.fit(df, SPEC).transform(df)
+    df = stored(spark, sf_dir)
+    return FeaturePlan.fit(df, SPEC, cache=False).transform(df)
 
 
 @query
 def scoring_input_check(spark, sf_dir):
     """A plan fitted on three territories, checked against the whole portfolio."""
-    df = prepared(spark, sf_dir)
+    df = stored(spark, sf_dir)
     plan = FeaturePlan.fit(df, SPEC, fit_on=F.col("REGION_CODE").like("NATION_1%") & (F.col("EXPOSURE") > 0.5))
     return plan.check_input(df)
 
@@ -278,7 +288,7 @@ def dataset_features_only(spark, sf_dir):
 def territory_design(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
     """Policies with targets and identified territory indicators (the first level is the base)."""
     names = [f"T_{t.replace(' ', '_')}" for t in TERRITORIES[1:]]
-    df = pol.add_targets(prepared(spark, sf_dir)).withColumns(
+    df = pol.add_targets(stored(spark, sf_dir)).withColumns(
         {n: indicator(F.col("TERRITORY_CODE") == t) for n, t in zip(names, TERRITORIES[1:])}
     )
     return df, names
@@ -286,8 +296,8 @@ def territory_design(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[
 
 def full_design(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
     """Targets and the sketched feature matrix of the whole portfolio."""
-    df = pol.add_targets(prepared(spark, sf_dir))
-    plan = FeaturePlan.fit(df, SPEC)
+    df = pol.add_targets(stored(spark, sf_dir))
+    plan = FeaturePlan.fit(df, SPEC, cache=False)
     return plan.transform(df, lead=["POLICY_ID", "PURE_PREMIUM", "CLAIM_COUNT", "CLAIM_AMOUNT", "EXPOSURE"]), plan.names
 
 
@@ -336,10 +346,10 @@ def cv_mean_and_std(spark, sf_dir):
 @query
 def alpha_grid(spark, sf_dir):
     """Regularisation strengths compared by cross-validated error on rating cells."""
-    df = pol.add_targets(prepared(spark, sf_dir))
+    df = pol.add_targets(stored(spark, sf_dir))
     factors = ("TERRITORY_CODE", "CONSTRUCTION_TYPE", "OCCUPANCY_TYPE")
     spec = FeatureSpec(categorical=factors, binned=(), numeric=(), log_scaled=())
-    plan = FeaturePlan.fit(df, spec)
+    plan = FeaturePlan.fit(df, spec, cache=False)
     design = plan.transform(df, lead=["POLICY_ID", "PURE_PREMIUM", "EXPOSURE"])
     folds = mdl.cross_validate(design, plan.names, k=3, alphas=[0.1, 0.5], collapse=True)
     return mdl.cv_summary(folds)
@@ -466,7 +476,7 @@ def model_comparison(spark, sf_dir):
 @query
 def exposure_histogram(spark, sf_dir):
     columns = ["POLICYHOLDER_AGE", "PROPERTY_AGE", "LOSS_HISTORY_SCORE"]
-    df = dia.exposure_histogram(prepared(spark, sf_dir), columns)
+    df = dia.exposure_histogram(stored(spark, sf_dir), columns)
     return rounded(df.select("COLUMN_NAME", "BIN", "LOWER", "EXPOSURE"), LOWER=6, EXPOSURE=6)
 
 
@@ -514,8 +524,8 @@ def global_importance(spark, sf_dir):
 @query
 def tree_attributions(spark, sf_dir):
     """Trees on one feature: its attribution is the prediction less the training mean."""
-    df = pol.add_targets(prepared(spark, sf_dir)).withColumn("AGE", F.coalesce("PROPERTY_AGE", F.lit(-1)).cast("double"))
-    fit = mdl.fit_gbt(df, ["AGE"], rounds=2)
+    df = pol.add_targets(stored(spark, sf_dir)).withColumn("AGE", F.coalesce("PROPERTY_AGE", F.lit(-1)).cast("double"))
+    fit = mdl.fit_gbt(df, ["AGE"], rounds=2, depth=8)
     explained = exp.explain(fit, df)
     return rounded(explained, BASELINE=2, AGE_explanation=2)
 
