@@ -90,128 +90,130 @@ def with_buckets(df: DataFrame, edges: Mapping[str, Sequence[float]], suffix: st
     return df.withColumns(numbers).drop(*[f"{c}{suffix}_slot" for c in cut_columns])
 
 
+# -- exact quantiles ---------------------------------------------------------------------------
+
+BRACKET = 0.002  # cuts are set this far (in rank share) on both sides of a wanted rank
+
+
 @dataclass(frozen=True)
 class _Target:
-    """Ranks (0-based) wanted from the values of ``column`` lying in the open range (low, high)."""
+    """An open range of one column's values, how many rows lie in it and below it, and the ranks
+    (0-based, over the whole column) still wanted from it."""
 
     column: str
     low: float
     high: float
+    rows: int
+    below: int
     ranks: tuple[int, ...]
 
-    def value(self) -> Column:
-        c = F.col(self.column).cast("double")
-        inside = ~F.isnan(c)
+    def holds(self, value: Column) -> Column:
+        inside = ~F.isnan(value)
         if self.low != -math.inf:
-            inside &= c > F.lit(self.low)
+            inside &= value > F.lit(self.low)
         if self.high != math.inf:
-            inside &= c < F.lit(self.high)
-        return F.when(inside, c)
-
-
-def _values_at_ranks(
-    df: DataFrame, targets: Sequence[_Target], counts: Sequence[int], cuts: int | None, window_rows: int
-) -> dict[tuple[str, float, int], float]:
-    """Exact values at the wanted ranks, keyed by (column, low, rank). ``counts`` holds the number
-    of rows inside each target's range."""
-    found: dict[tuple[str, float, int], float] = {}
-    names = [f"v{i}" for i in range(len(targets))]
-    values = df.select(*[t.value().alias(n) for t, n in zip(targets, names)])
-    small = [i for i, n in enumerate(counts) if n <= window_rows]
-    large = [i for i, n in enumerate(counts) if n > window_rows]
-
-    if small:
-        exploded = values.select(
-            F.explode(F.array(*[F.struct(F.lit(i).alias("t"), F.col(names[i]).alias("v")) for i in small])).alias("s")
-        ).select("s.t", "s.v")
-        per_value = exploded.where("v IS NOT NULL").groupBy("t", "v").agg(F.count("*").alias("n"))
-        upto = F.sum("n").over(Window.partitionBy("t").orderBy("v"))
-        ranked = per_value.select("t", "v", (upto - F.col("n")).alias("first"), (upto - 1).alias("last"))
-        wanted = F.lit(False)
-        for i in small:
-            for rank in targets[i].ranks:
-                wanted |= (F.col("t") == i) & (F.col("first") <= rank) & (F.col("last") >= rank)
-        for row in ranked.where(wanted).collect():
-            target = targets[row["t"]]
-            for rank in target.ranks:
-                if row["first"] <= rank <= row["last"]:
-                    found[target.column, target.low, rank] = row["v"]
-
-    if large:
-        large_names = [names[i] for i in large]
-        edges = approximate_cuts(values, large_names, max(counts), cuts)
-        bucketed = with_buckets(values.select(*large_names), {n: edges[n] for n in large_names})
-        exploded = bucketed.select(
-            F.explode(
-                F.array(
-                    *[
-                        F.struct(
-                            F.lit(i).alias("t"),
-                            F.when(F.col(names[i]).isNotNull(), F.col(f"{names[i]}_bucket")).alias("b"),
-                        )
-                        for i in large
-                    ]
-                )
-            ).alias("s")
-        ).select("s.t", "s.b")
-        sizes: dict[int, list[tuple[int, int]]] = {i: [] for i in large}
-        for row in exploded.where("b IS NOT NULL").groupBy("t", "b").count().orderBy("t", "b").collect():
-            sizes[row["t"]].append((row["b"], row["count"]))
-
-        deeper: list[_Target] = []
-        sizes_inside: list[int] = []
-        offsets: list[tuple[int, int]] = []
-        for i in large:
-            target, cut_values, start = targets[i], sorted(set(edges[names[i]])), 0
-            for bucket, size in sizes[i]:
-                inside = [r for r in target.ranks if start <= r < start + size]
-                if inside and bucket % 2 == 0:
-                    for r in inside:
-                        found[target.column, target.low, r] = cut_values[bucket // 2 - 1]
-                elif inside:
-                    k = bucket // 2
-                    low = cut_values[k - 1] if k > 0 else target.low
-                    high = cut_values[k] if k < len(cut_values) else target.high
-                    deeper.append(_Target(target.column, low, high, tuple(r - start for r in inside)))
-                    sizes_inside.append(size)
-                    offsets.append((i, start))
-                start += size
-        if deeper:
-            inner = _values_at_ranks(df, deeper, sizes_inside, cuts, window_rows)
-            for sub, (i, start) in zip(deeper, offsets):
-                for r in sub.ranks:
-                    found[targets[i].column, targets[i].low, r + start] = inner[sub.column, sub.low, r]
-    return found
+            inside &= value < F.lit(self.high)
+        return inside
+
+
+def _tagged(df: DataFrame, targets: Sequence[_Target]) -> DataFrame:
+    """Rows (t, v): each value of the targets' columns lying in target number ``t``. The ranges of
+    one column do not overlap, so a value appears at most once."""
+    by_column: dict[str, list[int]] = {}
+    for i, target in enumerate(targets):
+        by_column.setdefault(target.column, []).append(i)
+    entries = []
+    for column, members in by_column.items():
+        value = F.col(column).cast("double")
+        tag = F.when(targets[members[0]].holds(value), F.lit(members[0]))
+        for i in members[1:]:
+            tag = tag.when(targets[i].holds(value), F.lit(i))
+        entries.append(F.struct(tag.alias("t"), value.alias("v")))
+    return df.select(F.inline(F.array(*entries))).where("t IS NOT NULL AND v IS NOT NULL")
+
+
+def _read_off(df: DataFrame, targets: Sequence[_Target], found: dict) -> None:
+    """Ranks of targets small enough to be ordered in one window each."""
+    per_value = _tagged(df, targets).groupBy("t", "v").agg(F.count("*").alias("n"))
+    upto = F.sum("n").over(Window.partitionBy("t").orderBy("v"))
+    ranked = per_value.select("t", "v", (upto - F.col("n")).alias("first"), (upto - 1).alias("last"))
+    wanted = F.lit(False)
+    for i, target in enumerate(targets):
+        for rank in target.ranks:
+            wanted |= (F.col("t") == i) & F.lit(rank - target.below).between(F.col("first"), F.col("last"))
+    for row in ranked.where(wanted).collect():
+        target = targets[row["t"]]
+        for rank in target.ranks:
+            if row["first"] <= rank - target.below <= row["last"]:
+                found[target.column, rank] = row["v"]
+
+
+def _narrow(df: DataFrame, targets: Sequence[_Target], found: dict, bracket: float) -> list[_Target]:
+    """One pass over large targets: bracket every wanted rank between approximate cuts, count the
+    rows on, between and around the cuts, and return the ranges the ranks turn out to lie in."""
+    tagged = _tagged(df, targets)
+    largest = max(t.rows for t in targets)
+    shares = {(r - t.below) / t.rows + shift for t in targets for r in t.ranks for shift in (-bracket, bracket)}
+    grid = _doubles(sorted({min(1.0, max(0.0, p)) for p in shares}))
+    sample = tagged.sample(SAMPLE_ROWS / largest, seed=0) if largest > SAMPLE_ROWS else tagged
+    sketches = sample.groupBy("t").agg(F.expr(f"percentile_approx(v, {grid}, 10000)").alias("q"))
+    cuts = sorted({v for row in sketches.collect() for v in row["q"]})
+    counted = with_buckets(tagged, {"v": cuts}).groupBy("t", "v_bucket").count()
+    sizes: dict[int, list[tuple[int, int]]] = {}
+    for row in counted.collect():
+        sizes.setdefault(row["t"], []).append((row["v_bucket"], row["count"]))
+
+    inner = []
+    for i, target in enumerate(targets):
+        below = target.below
+        for bucket, size in sorted(sizes[i]):
+            ranks = tuple(r for r in target.ranks if below <= r < below + size)
+            k = bucket // 2
+            if ranks and bucket % 2 == 0:
+                found.update({(target.column, r): cuts[k - 1] for r in ranks})
+            elif ranks:
+                low = max(target.low, cuts[k - 1] if k > 0 else -math.inf)
+                high = min(target.high, cuts[k] if k < len(cuts) else math.inf)
+                inner.append(_Target(target.column, low, high, size, below, ranks))
+            below += size
+    return inner
 
 
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probabilities: Sequence[float],
-    cuts: int | None = None,
     window_rows: int = WINDOW_ROWS,
+    bracket: float = BRACKET,
 ) -> dict[str, list[float]]:
     """Exact linearly interpolated quantiles of several columns.
 
-    A column above ``window_rows`` rows is narrowed bucket by bucket, each pass keeping about one
-    ``cuts``-th of the rows that still matter, until what is left fits one small window. The
-    driver sees only cut values and bucket counts. A column without values gives an empty list.
+    Columns above ``window_rows`` rows are narrowed pass by pass, each keeping only the few rows
+    per thousand around the wanted ranks, until what is left fits small windows. The driver sees
+    cut values and counts, never rows. A column without values gives an empty list.
     """
     columns = list(dict.fromkeys(columns))
     counts = row_counts(df, columns)
-    wanted = {
-        c: sorted({f(p * (n - 1)) for p in probabilities for f in (math.floor, math.ceil)})
+    targets = [
+        _Target(
+            c, -math.inf, math.inf, n, 0,
+            tuple(sorted({f(p * (n - 1)) for p in probabilities for f in (math.floor, math.ceil)})),
+        )
         for c, n in counts.items()
         if n
-    }
-    targets = [_Target(c, -math.inf, math.inf, tuple(r)) for c, r in wanted.items()]
-    found = _values_at_ranks(df, targets, [counts[c] for c in wanted], cuts, window_rows) if targets else {}
+    ]
+    found: dict[tuple[str, int], float] = {}
+    while targets:
+        small = [t for t in targets if t.rows <= window_rows]
+        large = [t for t in targets if t.rows > window_rows]
+        if small:
+            _read_off(df, small, found)
+        targets = _narrow(df, large, found, bracket) if large else []
     result: dict[str, list[float]] = {c: [] for c in columns}
-    for c in wanted:
-        for p in probabilities:
+    for c in columns:
+        for p in probabilities if counts[c] else ():
             position = p * (counts[c] - 1)
-            below = found[c, -math.inf, math.floor(position)]
-            above = found[c, -math.inf, math.ceil(position)]
+            below, above = found[c, math.floor(position)], found[c, math.ceil(position)]
             result[c].append(below + (above - below) * (position - math.floor(position)))
     return result
 

@@ -15,8 +15,9 @@ from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler, VectorSlicer
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -85,15 +86,48 @@ def collapse_cells(
     return cells
 
 
-def varying(rows: DataFrame, features: Sequence[str]) -> list[str]:
-    """The features that take more than one value. A constant column (an empty bin, say) has no
-    coefficient and would make the normal equations singular, so it is left out of the fit."""
-    ends = [e for i, f in enumerate(features) for e in (F.min(f).alias(f"lo{i}"), F.max(f).alias(f"hi{i}"))]
-    row = rows.agg(*ends).first()
-    active = [f for i, f in enumerate(features) if row[f"lo{i}"] != row[f"hi{i}"]]
-    if not active:
+@dataclass
+class _Design:
+    """Assembled rows (vector, y, w, ...) without the features that take a single value."""
+
+    rows: DataFrame
+    stages: list
+    active: list[str]
+    weight: float
+    mean: float
+
+
+def _design(assembled: DataFrame, features: Sequence[str], vector: str = VECTOR) -> _Design:
+    """One pass over assembled rows: total weight, weighted mean of the target, and which features
+    vary. A constant column (an empty bin, say) has no coefficient and would make the normal
+    equations singular, so it is sliced off."""
+    row = assembled.agg(
+        Summarizer.metrics("min", "max").summary(F.col(vector)).alias("s"),
+        F.sum("w").alias("w"),
+        weighted_mean("y", "w").alias("mean"),
+    ).first()
+    if not row["mean"] or row["mean"] <= 0:
+        raise ValueError("a log-link model needs a positive weighted mean of the target")
+    varies = [i for i in range(len(features)) if row["s"]["min"][i] != row["s"]["max"][i]]
+    if not varies:
         raise ValueError("no feature varies over the training rows")
-    return active
+    stages = [assembler(features).setOutputCol(vector)]
+    if len(varies) < len(features):
+        slicer = VectorSlicer(inputCol=vector, outputCol=f"{vector}_active", indices=varies)
+        stages.append(slicer)
+        assembled = slicer.transform(assembled).drop(vector).withColumnRenamed(f"{vector}_active", vector)
+    return _Design(assembled, stages, [features[i] for i in varies], row["w"], row["mean"])
+
+
+def _glm(design: _Design, vector: str, **settings) -> tuple:
+    """Fit on the target divided by its mean; returns the model reading the design's last stage."""
+    scaled = design.rows.withColumn("y", F.col("y") / F.lit(design.mean))
+    model = GeneralizedLinearRegression(
+        featuresCol=vector, labelCol="y", weightCol="w", **settings
+    ).fit(scaled)
+    if len(design.stages) > 1:
+        model = model.setFeaturesCol(f"{vector}_active")
+    return model, scaled
 
 
 # -- Tweedie GLM -------------------------------------------------------------------------------
@@ -122,58 +156,53 @@ def fit_glm(
     """
     features = list(features)
     rows = usable_rows(df, label, weight).select(*features, label, weight)
-    active = varying(rows, features)
     if collapse:
-        rows = collapse_cells(rows, active, label, weight)
-    vectors = assembler(active)
-    design = vectors.transform(rows).select(VECTOR, F.col(label).alias("y"), F.col(weight).alias("w"))
+        rows = collapse_cells(rows, features, label, weight)
+    assembled = assembler(features).transform(rows).select(VECTOR, F.col(label).alias("y"), F.col(weight).alias("w"))
     if cache:
-        design = design.persist(StorageLevel.MEMORY_AND_DISK)
+        assembled = assembled.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        design = _design(assembled, features)
         model, params = _fit_tweedie(design, alpha, power, max_iter, tol, refits)
     finally:
         if cache:
-            design.unpersist()
-    pipeline = PipelineModel([vectors, model, _finish(f"glm_mean * {params['scale']!r}D", [VECTOR, "glm_mean"])])
-    params = {"alpha": alpha, "power": power, "max_iter": max_iter, "active": active, **params}
+            assembled.unpersist()
+    hidden = [stage.getOutputCol() for stage in design.stages] + ["glm_mean"]
+    pipeline = PipelineModel([*design.stages, model, _finish(f"glm_mean * {design.mean!r}D", hidden)])
+    params = {"alpha": alpha, "power": power, "max_iter": max_iter, "active": design.active, **params}
     return Fit(pipeline, "glm", features, params)
 
 
-def _fit_tweedie(design, alpha, power, max_iter, tol, refits):
-    total = design.agg(F.sum("w").alias("w"), weighted_mean("y", "w").alias("mean")).first()
-    if not total["mean"] or total["mean"] <= 0:
-        raise ValueError("a log-link model needs a positive weighted mean of the target")
-    scale = total["mean"]
-    scaled = design.withColumn("y", F.col("y") / F.lit(scale))
-    penalty = alpha * scale ** (power - 2)
+def _fit_tweedie(design: _Design, alpha, power, max_iter, tol, refits):
+    penalty = alpha * design.mean ** (power - 2)
     for attempt in range(refits + 1):
-        model = GeneralizedLinearRegression(
+        model, scaled = _glm(
+            design,
+            VECTOR,
             family="tweedie",
             variancePower=power,
             linkPower=0.0,
-            featuresCol=VECTOR,
-            labelCol="y",
-            weightCol="w",
             predictionCol="glm_mean",
             regParam=penalty,
-            maxIter=min(max_iter, 1000),
+            maxIter=max_iter,
             tol=tol,
-        ).fit(scaled)
+        )
         if alpha == 0 or attempt == refits:
             break
-        fitted = model.transform(scaled).select("w", (F.col("glm_mean") * scale).alias("mu"))
-        working = fitted.agg(F.sum(F.col("w") * F.pow("mu", F.lit(2 - power))).alias("s")).first()["s"]
-        wanted = alpha * total["w"] / working
+        fitted = model.copy().setFeaturesCol(VECTOR).transform(scaled)
+        mu = F.col("glm_mean") * F.lit(design.mean)
+        working = fitted.agg(F.sum(F.col("w") * F.pow(mu, F.lit(2 - power))).alias("s")).first()["s"]
+        wanted = alpha * design.weight / working
         if math.isclose(wanted, penalty, rel_tol=1e-9):
             break
         penalty = wanted
     iterations = model.summary.numIterations
     return model, {
-        "scale": scale,
+        "scale": design.mean,
         "regParam": penalty,
         "iterations": iterations,
         "converged": iterations < max_iter,
-        "intercept": model.intercept + math.log(scale),
+        "intercept": model.intercept + math.log(design.mean),
     }
 
 
@@ -266,13 +295,12 @@ def cross_validate(
     """
     features = list(features)
     rows = add_fold(usable_rows(df, label, weight), k, key, salt).select("FOLD", *features, label, weight)
-    active = varying(rows, features)
     if collapse:
-        rows = collapse_cells(rows, active, label, weight, by=["FOLD"])
+        rows = collapse_cells(rows, features, label, weight, by=["FOLD"])
     else:
         rows = rows.withColumn("SQUARES", F.col(weight) * F.col(label) * F.col(label))
-    design = (
-        assembler(active)
+    assembled = (
+        assembler(features)
         .transform(rows)
         .select("FOLD", VECTOR, F.col(label).alias("y"), F.col(weight).alias("w"), "SQUARES")
         .persist(StorageLevel.MEMORY_AND_DISK)
@@ -280,19 +308,22 @@ def cross_validate(
 
     def one(task):
         alpha, fold = task
-        model, params = _fit_tweedie(design.where(F.col("FOLD") != fold), alpha, power, 1000, 1e-8, refits)
-        held = model.transform(design.where(F.col("FOLD") == fold))
+        design = _design(assembled.where(F.col("FOLD") != fold), features)
+        model, params = _fit_tweedie(design, alpha, power, 1000, 1e-8, refits)
+        held = assembled.where(F.col("FOLD") == fold)
+        for stage in design.stages[1:]:
+            held = stage.transform(held)
         p = F.col("glm_mean") * F.lit(params["scale"])
         squared = F.sum(F.col("SQUARES") - 2 * p * F.col("w") * F.col("y") + F.col("w") * p * p)
-        row = held.agg(F.sqrt(F.greatest(squared, F.lit(0.0)) / F.sum("w")).alias("rmse")).first()
-        return float(alpha), fold, row["rmse"]
+        error = F.sqrt(F.greatest(squared, F.lit(0.0)) / F.sum("w"))
+        return float(alpha), fold, model.transform(held).agg(error.alias("rmse")).first()["rmse"]
 
     try:
-        design.count()
+        assembled.count()
         with ThreadPoolExecutor(max(1, parallelism)) as pool:
             results = list(pool.map(one, itertools.product(alphas, range(k))))
     finally:
-        design.unpersist()
+        assembled.unpersist()
     return df.sparkSession.createDataFrame(results, "ALPHA double, FOLD int, RMSE double")
 
 
@@ -333,31 +364,33 @@ def fit_freq_sev(
     )
     stages, params, hidden = [], {"regParam": reg_param}, []
     for name, family, rows in (("freq", "poisson", frequency), ("sev", "gamma", severity)):
-        active = varying(rows, features)
         if collapse:
-            rows = collapse_cells(rows, active, "y", "w")
-        vectors = assembler(active).setOutputCol(f"{name}_vector")
-        design = vectors.transform(rows).select(f"{name}_vector", "y", "w").persist(StorageLevel.MEMORY_AND_DISK)
+            rows = collapse_cells(rows, features, "y", "w")
+        vector = f"{name}_vector"
+        assembled = (
+            assembler(features)
+            .setOutputCol(vector)
+            .transform(rows)
+            .select(vector, "y", "w")
+            .persist(StorageLevel.MEMORY_AND_DISK)
+        )
         try:
-            mean = design.agg(weighted_mean("y", "w").alias("m")).first()["m"]
-            if not mean:
-                raise ValueError("no claims to learn from")
-            model = GeneralizedLinearRegression(
+            design = _design(assembled, features, vector)
+            model, _ = _glm(
+                design,
+                vector,
                 family=family,
                 link="log",
-                featuresCol=f"{name}_vector",
-                labelCol="y",
-                weightCol="w",
                 predictionCol=f"{name}_mean",
                 regParam=reg_param,
                 maxIter=max_iter,
                 tol=tol,
-            ).fit(design.withColumn("y", F.col("y") / F.lit(mean)))
+            )
         finally:
-            design.unpersist()
-        stages += [vectors, model]
-        hidden += [f"{name}_vector", f"{name}_mean"]
-        params[f"{name}_scale"] = mean
+            assembled.unpersist()
+        stages += [*design.stages, model]
+        hidden += [stage.getOutputCol() for stage in design.stages] + [f"{name}_mean"]
+        params[f"{name}_scale"] = design.mean
         params[f"{name}_iterations"] = model.summary.numIterations
     factor = params["freq_scale"] * params["sev_scale"]
     finish = _finish(f"freq_mean * sev_mean * {factor!r}D", hidden)

@@ -18,6 +18,7 @@ from ratewright.operators.models import Fit
 from ratewright.operators.policy import Caps, add_targets, prepare_policies
 from ratewright.operators.splits import hash_split
 from ratewright.sources.store import PricingStore
+from ratewright.storage import spread
 
 
 @dataclass(frozen=True)
@@ -79,7 +80,7 @@ def train_and_register(
 ) -> dict[str, float]:
     """Fit on the frozen training rows, judge on the frozen validation rows, save the exhibits, log
     the run and register the model. Validation rows are scored once and kept as a table."""
-    train = store.load_dataset(names.training, version)
+    train = spread(store.load_dataset(names.training, version))
     validation = store.load_dataset(names.validation, version)
     fitted = fit(train, feature_columns(train.columns))
     store.log_params(names.experiment, run, {**fitted.params, "ds_version": version})

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ratewright.storage import spread
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -35,7 +37,7 @@ def policy_freq(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.when(key % step != 0, value)
 
     return (
-        read_table(spark, sf_dir, "orders")
+        spread(read_table(spark, sf_dir, "orders"))
         .join(read_table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"), "left")
         .join(read_table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
         .join(read_table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"), "left")

@@ -43,3 +43,13 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Re-split a stored table that has fewer scan partitions than the cluster has cores, before
+    work that is heavy per row (model fits, attributions). Larger tables come back unchanged.
+
+    Meant for plain scans, whose partition count is known from the file listing.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -20,7 +20,9 @@ def session(cpus: str | int = 8) -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("ratewright")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", str(cpus))
+        # megabyte-sized test tables would be coalesced into one task
+        .config("spark.sql.adaptive.coalescePartitions.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")

@@ -20,7 +20,7 @@ from ratewright.plans.pricing import Names, burning_cost, freeze_study
 from ratewright.sources import feeds
 from ratewright.sources.adapter import policy_freq, policy_sev, read_table, sample_score
 from ratewright.sources.store import PricingStore, entity_check, spine_join
-from ratewright.storage import materialise, scratch_path
+from ratewright.storage import materialise, scratch_path, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -288,7 +288,7 @@ def dataset_features_only(spark, sf_dir):
 def territory_design(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
     """Policies with targets and identified territory indicators (the first level is the base)."""
     names = [f"T_{t.replace(' ', '_')}" for t in TERRITORIES[1:]]
-    df = pol.add_targets(stored(spark, sf_dir)).withColumns(
+    df = pol.add_targets(spread(stored(spark, sf_dir))).withColumns(
         {n: indicator(F.col("TERRITORY_CODE") == t) for n, t in zip(names, TERRITORIES[1:])}
     )
     return df, names
@@ -296,7 +296,7 @@ def territory_design(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[
 
 def full_design(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
     """Targets and the sketched feature matrix of the whole portfolio."""
-    df = pol.add_targets(stored(spark, sf_dir))
+    df = pol.add_targets(spread(stored(spark, sf_dir)))
     plan = FeaturePlan.fit(df, SPEC, cache=False)
     return plan.transform(df, lead=["POLICY_ID", "PURE_PREMIUM", "CLAIM_COUNT", "CLAIM_AMOUNT", "EXPOSURE"]), plan.names
 
