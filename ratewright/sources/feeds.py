@@ -222,7 +222,11 @@ def feed_quality(spark: SparkSession, path: str, feed=POLICY_FEED, pattern: str
 
 
 def land_feed(spark: SparkSession, path: str, feed=POLICY_FEED, pattern: str | None = None) -> DataFrame:
-    """Untyped landing: one ``SRC`` variant per element, nothing dropped."""
+    """Untyped landing: one ``SRC`` variant per element, no element dropped.
+
+    The variant reader turns text that looks like a number into a number, so a code such as
+    ``007`` lands as 7; ``read_policy_feed`` keeps it as written.
+    """
     _, row, _ = feed
     location = f"{path.rstrip('/')}/{pattern}" if pattern else path
     return spark.read.format("xml").option("rowTag", row).option("singleVariantColumn", "SRC").load(location)
