@@ -62,6 +62,22 @@ def table_profile(tables: Mapping[tuple[str, str], DataFrame], kinds: Mapping[tu
     return _union(parts)
 
 
+def table_sizes(tables: Mapping[tuple[str, str], DataFrame]) -> DataFrame:
+    """(TABLE_SCHEMA, TABLE_NAME, FILES, BYTES, LAST_ALTERED) of file-based tables, from the file
+    metadata of their scans; no data column is read. Empty files do not show."""
+    parts = []
+    for (schema, name), df in tables.items():
+        files = df.select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+        parts.append(
+            files.agg(
+                F.count("*").alias("FILES"),
+                F.sum("file_size").alias("BYTES"),
+                F.max("file_modification_time").alias("LAST_ALTERED"),
+            ).select(F.lit(schema).alias("TABLE_SCHEMA"), F.lit(name).alias("TABLE_NAME"), "FILES", "BYTES", "LAST_ALTERED")
+        )
+    return _union(parts)
+
+
 def schema_rollup(profile: DataFrame) -> DataFrame:
     """(TABLE_SCHEMA, TABLES, COLUMN_COUNT, ROW_COUNT) per schema."""
     return profile.where("upper(TABLE_SCHEMA) <> 'INFORMATION_SCHEMA'").groupBy("TABLE_SCHEMA").agg(

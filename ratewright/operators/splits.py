@@ -29,12 +29,15 @@ def add_fold(df: DataFrame, k: int, key: str = "POLICY_ID", salt: str = "fold42:
 
 
 def split_check(population: DataFrame, train: DataFrame, validation: DataFrame, key: str = "POLICY_ID") -> DataFrame:
-    """One row: rows on both sides, and rows of the population on neither."""
-    train_keys, validation_keys = train.select(key), validation.select(key)
-    shared = train_keys.join(validation_keys, key, "left_semi").agg(F.count("*").alias("SHARED"))
-    lost = (
-        population.select(key)
-        .join(train_keys.unionByName(validation_keys), key, "left_anti")
-        .agg(F.count("*").alias("LOST"))
+    """One row: keys on both sides (SHARED), and keys of the population on neither (LOST). All
+    three sides meet in one grouping by key."""
+    sides = {"p": population, "t": train, "v": validation}
+    tagged = None
+    for name, side in sides.items():
+        part = side.select(key, *[F.lit(name == other).alias(other) for other in sides])
+        tagged = part if tagged is None else tagged.unionByName(part)
+    per_key = tagged.groupBy(key).agg(*[F.bool_or(name).alias(name) for name in sides])
+    return per_key.agg(
+        F.count_if(F.col("t") & F.col("v")).alias("SHARED"),
+        F.count_if(F.col("p") & ~F.col("t") & ~F.col("v")).alias("LOST"),
     )
-    return shared.join(lost)

@@ -12,21 +12,21 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ratewright.functions.columns import key_slot
 from ratewright.operators.diagnostics import PREDICTED, gini, metrics, write_exhibits
 from ratewright.operators.features import FeaturePlan, FeatureSpec, feature_columns
 from ratewright.operators.models import Fit
 from ratewright.operators.policy import Caps, add_targets, prepare_policies
-from ratewright.operators.splits import hash_split
 from ratewright.sources.store import PricingStore
 from ratewright.storage import spread
 
 
 @dataclass(frozen=True)
 class Names:
-    view: str = "ACTUARIAL_FEATURES"
-    training: str = "ACTUARIAL_TRAINING"
-    validation: str = "ACTUARIAL_VALIDATION"
-    experiment: str = "ACTUARIAL_PRICING"
+    view: str = "RATING_FEATURES"
+    training: str = "TRAINING"
+    validation: str = "VALIDATION"
+    experiment: str = "PURE_PREMIUM"
 
 
 def burning_cost(freq: DataFrame, sev: DataFrame, segment: str = "TERRITORY_CODE") -> DataFrame:
@@ -64,9 +64,15 @@ def freeze_study(
         plan.transform(prepared, lead=["POLICY_ID"]), names.view, version, description=plan.to_json()
     )
     spine = add_targets(prepared).select("POLICY_ID", "PURE_PREMIUM", "EXPOSURE")
-    train, validation = hash_split(spine, train_percent=train_percent)
-    store.generate_dataset(train, names.training, version, names.view, version, description="Training split")
-    store.generate_dataset(validation, names.validation, version, names.view, version, description="Validation split")
+    in_train = key_slot("POLICY_ID", 100) < train_percent
+    # the split depends on the key alone, so each side of the join is cut before it is shuffled
+    for name, part, text in (
+        (names.training, in_train, "Training split"),
+        (names.validation, ~in_train, "Validation split"),
+    ):
+        store.generate_dataset(
+            spine.where(part), name, version, names.view, version, description=text, key_filter=part
+        )
     return plan
 
 

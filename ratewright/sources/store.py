@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ratewright.operators.models import Fit
@@ -125,15 +125,23 @@ class PricingStore:
         view_version: str,
         labels: Sequence[str] = ("PURE_PREMIUM", "EXPOSURE"),
         description: str = "",
+        key_filter: Column | None = None,
     ) -> DataFrame:
-        """Freeze spine rows joined with their features. A version is written once, never again."""
+        """Freeze spine rows joined with their features. A version is written once, never again.
+
+        ``key_filter``, a condition on the key that every spine row meets, keeps the view's other
+        rows out of the join.
+        """
         if self._one("datasets", name=name, version=version):
             raise AlreadyExists(f"dataset {name} version {version}")
         record = self._one("feature_views", name=view, version=view_version)
         if record is None:
             raise KeyError(f"no feature view {view} version {view_version}")
         keys = record["keys"]
-        joined = spine_join(spine, self.spark.read.parquet(record["path"]), keys)
+        features = self.spark.read.parquet(record["path"])
+        if key_filter is not None:
+            features = features.where(key_filter)
+        joined = spine_join(spine, features, keys)
         path = f"{self.root}/datasets/name={name}/version={version}"
         joined.write.mode("errorifexists").parquet(path)
         stored = self.spark.read.parquet(path)

@@ -95,8 +95,10 @@ def test_round_trip_through_several_gzip_parts(spark, sf_dir, tmp_path):
 
 def test_reload_replaces_and_keeps_the_inputs(spark, inbound, tmp_path):
     targets = [str(tmp_path / "p"), str(tmp_path / "c")]
-    assert feeds.load_feeds(spark, inbound, *targets) == {"policies": 5, "claims": 1}
-    assert feeds.load_feeds(spark, inbound, *targets) == {"policies": 5, "claims": 1}
+    expected = {"policies": {"rows": 5, "without_key": 0}, "claims": {"rows": 1, "without_key": 0}}
+    assert feeds.load_feeds(spark, inbound, *targets) == expected
+    assert feeds.load_feeds(spark, inbound, *targets) == expected
+    assert spark.read.parquet(targets[0]).count() == 5
     assert (tmp_path / "x_policy_freq.xml.gz").exists()
 
 

@@ -393,8 +393,8 @@ ORACLE: dict[str, str] = {
     ),
     "dataset_versions": sql(
         "scored",
-        f"""SELECT CASE WHEN IS_TRAIN THEN 'ACTUARIAL_TRAINING' ELSE 'ACTUARIAL_VALIDATION' END AS name, '1' AS version,
-          'ACTUARIAL_FEATURES' AS feature_view, count(*) AS rows, {len(FEATURES) + 3} AS column_count,
+        f"""SELECT CASE WHEN IS_TRAIN THEN 'TRAINING' ELSE 'VALIDATION' END AS name, '1' AS version,
+          'RATING_FEATURES' AS feature_view, count(*) AS rows, {len(FEATURES) + 3} AS column_count,
           'PURE_PREMIUM,EXPOSURE' AS label_columns FROM scored GROUP BY IS_TRAIN""",
     ),
     "dataset_features_only": sql(
@@ -528,7 +528,7 @@ ORACLE: dict[str, str] = {
     "run_comparison": sql("errors", "SELECT MODEL AS run, round(RMSE, 4) AS RMSE, round(MAE, 4) AS MAE FROM errors"),
     "model_versions": sql(
         "level_means",
-        """SELECT 'ACTUARIAL_GLM' AS model, unnest(['v1', 'v2']) AS version, unnest([true, false]) AS is_default,
+        """SELECT 'TWEEDIE_GLM' AS model, unnest(['v1', 'v2']) AS version, unnest([true, false]) AS is_default,
           round(E, 3) AS val_rmse FROM (
           SELECT sqrt(avg((s.PURE_PREMIUM - l.TRAIN_M) * (s.PURE_PREMIUM - l.TRAIN_M))) AS E
           FROM scored s JOIN level_means l ON l.TERRITORY_CODE = s.TERRITORY_CODE WHERE NOT s.IS_TRAIN)""",

@@ -126,8 +126,10 @@ def segment_exposure(spark, sf_dir):
 def portfolio_counts(spark, sf_dir):
     """Global counts of policies, claims and policies with claims."""
     freq, sev = policy_freq(spark, sf_dir), policy_sev(spark, sf_dir)
+    policies = freq.agg(F.count("*").alias("POLICIES"))
     claims = sev.agg(F.count("*").alias("CLAIMS"), F.count_distinct("POLICY_ID").alias("CLAIMING_POLICIES"))
-    return freq.agg(F.count("*").alias("POLICIES")).join(claims)
+    counts = policies.unionByName(claims, allowMissingColumns=True)
+    return counts.agg(*[F.sum(c).alias(c) for c in counts.columns])
 
 
 # -- features ----------------------------------------------------------------------------------
@@ -566,7 +568,7 @@ def registered(spark: SparkSession, sf_dir: str) -> tuple[PricingStore, DataFram
         fit = mdl.fit_glm(train, features, alpha=alpha, collapse=True)
         errors = dia.metrics(fit.predict(validation)).first()
         store.register_model(
-            fit, "ACTUARIAL_GLM", version, {"val_rmse": errors["RMSE"]}, sample=train, make_default=version == "v1"
+            fit, "TWEEDIE_GLM", version, {"val_rmse": errors["RMSE"]}, sample=train, make_default=version == "v1"
         )
     return store, validation
 
@@ -584,8 +586,8 @@ def model_versions(spark, sf_dir):
 def batch_scores(spark, sf_dir):
     """Registered default version, loaded back, scoring the validation features into a table."""
     store, validation = registered(spark, sf_dir)
-    features = validation.select("POLICY_ID", *store.get_model("ACTUARIAL_GLM").features)
-    fit = store.get_model("ACTUARIAL_GLM")
+    features = validation.select("POLICY_ID", *store.get_model("TWEEDIE_GLM").features)
+    fit = store.get_model("TWEEDIE_GLM")
     scores = store.score_batch(fit, features, f"{store.root}/scores")
     return rounded(scores.select("POLICY_ID", dia.PREDICTED), PREDICTED_PURE_PREMIUM=3)
 
@@ -717,6 +719,12 @@ def table_counts(spark, sf_dir):
     return dic.table_profile(all_tables(spark, sf_dir))
 
 
+@query
+def table_sizes(spark, sf_dir):
+    """Files and bytes per table; file paths are not known to SQL."""
+    return dic.table_sizes(all_tables(spark, sf_dir)).drop("LAST_ALTERED")
+
+
 @query
 def schema_rollup(spark, sf_dir):
     return dic.schema_rollup(dic.table_profile(all_tables(spark, sf_dir)))
