@@ -24,7 +24,7 @@ MAX_CUTS = 8192
 SAMPLE_ROWS = 4_000_000
 
 
-def _number(c: str) -> Column:
+def number(c: str) -> Column:
     """The column as a double with NaN turned into NULL."""
     return F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
 
@@ -35,7 +35,7 @@ def _doubles(values: Sequence[float]) -> str:
 
 def row_counts(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
     """Rows with a value, per column; one job."""
-    row = df.agg(*[F.count(_number(c)).alias(f"n{i}") for i, c in enumerate(columns)]).first()
+    row = df.agg(*[F.count(number(c)).alias(f"n{i}") for i, c in enumerate(columns)]).first()
     return {c: row[f"n{i}"] for i, c in enumerate(columns)}
 
 
@@ -52,7 +52,7 @@ def approximate_cuts(
     if rows > SAMPLE_ROWS:
         df = df.sample(SAMPLE_ROWS / rows, seed=0)
     grid = _doubles([i / cuts for i in range(1, cuts)])
-    values = df.select(*[_number(c).alias(f"v{i}") for i, c in enumerate(columns)])
+    values = df.select(*[number(c).alias(f"v{i}") for i, c in enumerate(columns)])
     row = values.agg(
         *[
             F.expr(f"percentile_approx(v{i}, {grid}, {max(10_000, 10 * cuts)})").alias(f"q{i}")
@@ -185,15 +185,17 @@ def exact_quantiles(
     probabilities: Sequence[float],
     window_rows: int = WINDOW_ROWS,
     bracket: float = BRACKET,
+    counts: Mapping[str, int] | None = None,
 ) -> dict[str, list[float]]:
     """Exact linearly interpolated quantiles of several columns.
 
     Columns above ``window_rows`` rows are narrowed pass by pass, each keeping only the few rows
     per thousand around the wanted ranks, until what is left fits small windows. The driver sees
-    cut values and counts, never rows. A column without values gives an empty list.
+    cut values and counts, never rows. A column without values gives an empty list. ``counts``
+    saves a pass where the numbers of usable values (see ``row_counts``) are already known.
     """
     columns = list(dict.fromkeys(columns))
-    counts = row_counts(df, columns)
+    counts = counts or row_counts(df, columns)
     targets = [
         _Target(
             c, -math.inf, math.inf, n, 0,

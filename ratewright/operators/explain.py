@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ratewright.operators.diagnostics import PREDICTED
 from ratewright.operators.models import Fit, _stage, coefficients
 from ratewright.storage import scratch_path
 
@@ -191,12 +192,13 @@ def global_importance(explained: DataFrame) -> DataFrame:
     return totals.select(F.inline(F.array(*entries)))
 
 
-def additivity(fit: Fit, df: DataFrame, explained: DataFrame, key: str = "POLICY_ID") -> DataFrame:
-    """(key, EXPLAINED, PREDICTED): attributions plus baseline against the model's own output."""
+def additivity(fit: Fit, df: DataFrame, key: str = "POLICY_ID") -> DataFrame:
+    """(key, EXPLAINED, PREDICTED): attributions plus baseline next to the model's own output, both
+    computed on the same row."""
+    explained = explain(fit, fit.predict(df), keep=[key, PREDICTED])
     total = F.col(BASELINE)
     for c in explanation_columns(explained.columns):
         total = total + F.col(c)
     if fit.kind == "glm":
         total = F.exp(total)
-    predicted = fit.predict(df).select(key, F.col("PREDICTED_PURE_PREMIUM").alias("PREDICTED"))
-    return explained.select(key, total.alias("EXPLAINED")).join(predicted, key)
+    return explained.select(key, total.alias("EXPLAINED"), F.col(PREDICTED).alias("PREDICTED"))

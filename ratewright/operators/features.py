@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratewright.functions.columns import feature_name, indicator, interval_index
-from ratewright.functions.ordered import approximate_quantiles, exact_quantiles
+from ratewright.functions.ordered import exact_quantiles, number
 
 SPINE = ("POLICY_ID", "PURE_PREMIUM", "EXPOSURE")
 MATRIX_LEAD = ("POLICY_ID", "CLAIM_COUNT", "EXPOSURE", "CLAIM_AMOUNT")
@@ -95,9 +95,11 @@ class FeaturePlan:
         first = []
         for c in spec.imputed:
             first += [F.min(c).cast("double").alias(f"min_{c}"), F.max(c).cast("double").alias(f"max_{c}")]
+            first.append(F.count(number(c)).alias(f"rows_{c}"))
             if not exact:
                 first.append(F.percentile_approx(F.col(c).cast("double"), 0.5, 1000).alias(f"med_{c}"))
         first += [F.approx_count_distinct(c).alias(f"n_{c}") for c in spec.categorical]
+        first.append(F.count("*").alias("rows"))
         row = df.agg(*first).first()
         empty = [c for c in spec.imputed if row[f"min_{c}"] is None]
         if empty:
@@ -106,7 +108,8 @@ class FeaturePlan:
         if wide:
             raise ValueError(f"more than {max_levels} levels in {', '.join(wide)}")
         if exact:
-            medians = {c: q[0] for c, q in exact_quantiles(df, spec.imputed, [0.5]).items()}
+            counts = {c: row[f"rows_{c}"] for c in spec.imputed}
+            medians = {c: q[0] for c, q in exact_quantiles(df, spec.imputed, [0.5], counts=counts).items()}
         else:
             medians = {c: row[f"med_{c}"] for c in spec.imputed}
 
@@ -137,7 +140,8 @@ class FeaturePlan:
             raise ValueError(f"more than {max_levels} levels in {', '.join(wide)}")
         binned = [f"{c}_CLEAN" for c in spec.binned]
         if exact:
-            boundaries = exact_quantiles(clean, binned, spec.points) if binned else {}
+            counts = {f"{c}_CLEAN": row["rows"] for c in spec.binned}
+            boundaries = exact_quantiles(clean, binned, spec.points, counts=counts) if binned else {}
         else:
             boundaries = {f"{c}_CLEAN": list(row2[f"cut_{c}"]) for c in spec.binned}
 
@@ -268,7 +272,3 @@ def level_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         F.array(*[F.struct(F.lit(c).alias("COLUMN_NAME"), F.col(c).cast("string").alias("LEVEL")) for c in columns])
     )
     return df.select(pairs.alias("p")).select("p.*").where("LEVEL IS NOT NULL").distinct()
-
-
-def fitted_quantiles(df: DataFrame, columns: Sequence[str], points: Sequence[float], exact: bool) -> dict[str, list[float]]:
-    return exact_quantiles(df, columns, points) if exact else approximate_quantiles(df, columns, points)

@@ -175,6 +175,7 @@ def fit_glm(
 
 def _fit_tweedie(design: _Design, alpha, power, max_iter, tol, refits):
     penalty = alpha * design.mean ** (power - 2)
+    refits = refits if alpha else 0
     for attempt in range(refits + 1):
         model, scaled = _glm(
             design,
@@ -185,17 +186,14 @@ def _fit_tweedie(design: _Design, alpha, power, max_iter, tol, refits):
             predictionCol="glm_mean",
             regParam=penalty,
             maxIter=max_iter,
-            tol=tol,
+            tol=tol if attempt == refits else max(tol, 1e-4),  # only a sum of these fits is used
         )
-        if alpha == 0 or attempt == refits:
+        if attempt == refits:
             break
         fitted = model.copy().setFeaturesCol(VECTOR).transform(scaled)
         mu = F.col("glm_mean") * F.lit(design.mean)
         working = fitted.agg(F.sum(F.col("w") * F.pow(mu, F.lit(2 - power))).alias("s")).first()["s"]
-        wanted = alpha * design.weight / working
-        if math.isclose(wanted, penalty, rel_tol=1e-9):
-            break
-        penalty = wanted
+        penalty = alpha * design.weight / working
     iterations = model.summary.numIterations
     return model, {
         "scale": design.mean,

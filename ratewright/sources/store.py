@@ -14,6 +14,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ratewright.functions.columns import as_column
 from ratewright.operators.models import Fit
 
 RECORDS = {
@@ -174,17 +175,20 @@ class PricingStore:
             "run_metrics", [(experiment, run, k, step, None if v is None else float(v), now) for k, v in values.items()]
         )
 
-    def log_metric_table(self, experiment: str, table: DataFrame, run: str, metrics: Sequence[str]) -> None:
-        """Append the metric columns of a result table, its ``run`` column naming the run; the
-        values go from table to table without passing through the driver."""
+    def log_metric_table(
+        self, experiment: str, table: DataFrame, run: str | Column, metrics: Sequence[str], step: str | None = None
+    ) -> None:
+        """Append the metric columns of a result table; ``run`` (and ``step``, say the boosting
+        round) say where each row belongs. Values go from table to table."""
         entries = F.array(
             *[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics]
         )
-        rows = table.select(F.col(run).alias("run"), F.inline(entries)).select(
+        at = F.lit(0) if step is None else F.col(step).cast("int")
+        rows = table.select(as_column(run).alias("run"), at.alias("step"), F.inline(entries)).select(
             F.lit(experiment).alias("experiment"),
             "run",
             "metric",
-            F.lit(0).alias("step"),
+            "step",
             "value",
             F.lit(_now()).cast("timestamp").alias("logged_at"),
         )

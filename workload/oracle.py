@@ -586,4 +586,21 @@ ORACLE: dict[str, str] = {
     + """SELECT TABLE_NAME, count(*) AS COLUMNS, count(COLUMN_DESCRIPTION) AS DESCRIBED,
         round(100.0::DOUBLE * count(COLUMN_DESCRIPTION) / count(*), 4) AS COVERAGE FROM dictionary GROUP BY TABLE_NAME""",
 }
+_VALIDATION = "scored s JOIN level_means l ON l.TERRITORY_CODE = s.TERRITORY_CODE"
+_GAP = "(s.PURE_PREMIUM - l.TRAIN_M)"
+ORACLE["glm_against_trees"] = sql(
+    "level_means",
+    f"""SELECT unnest(['GLM', 'GBM']) AS MODEL, round(sqrt(avg({_GAP} * {_GAP})), 3) AS RMSE,
+      round(avg(abs{_GAP}), 3) AS MAE, round(sqrt(sum(s.EXPOSURE * {_GAP} * {_GAP}) / sum(s.EXPOSURE)), 3) AS RMSE_WEIGHTED
+    FROM {_VALIDATION} WHERE NOT s.IS_TRAIN""",
+)
+ORACLE["boosting_run_log"] = sql(
+    "level_means",
+    f"""SELECT CASE WHEN s.IS_TRAIN THEN 'train' ELSE 'validation' END AS run,
+      round(sqrt(sum(s.EXPOSURE * {_GAP} * {_GAP}) / sum(s.EXPOSURE)), 3) AS ROOT_LOSS
+    FROM {_VALIDATION} GROUP BY s.IS_TRAIN""",
+)
+ORACLE["sketched_quantile_ranks"] = "\nUNION ALL ".join(
+    f"SELECT '{c}' AS COLUMN_NAME, unnest([0.1, 0.5, 0.9])::DOUBLE AS POINT, true AS WITHIN" for c in IMPUTED
+)
 ORACLE["batch_scores"] = ORACLE["glm_one_way"]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratewright.functions.columns import indicator
-from ratewright.functions.ordered import exact_quantiles
+from ratewright.functions.ordered import approximate_quantiles, exact_quantiles
 from ratewright.operators import diagnostics as dia
 from ratewright.operators import dictionary as dic
 from ratewright.operators import explain as exp
@@ -150,6 +150,20 @@ def decile_boundaries(spark, sf_dir):
     return rounded(spark.createDataFrame(rows, "COLUMN_NAME string, DECILE int, BOUNDARY double"), BOUNDARY=4)
 
 
+@query
+def sketched_quantile_ranks(spark, sf_dir):
+    """Quantile sketches judged on the whole table: is each value's true rank within a thousandth?"""
+    df, points = stored(spark, sf_dir), [0.1, 0.5, 0.9]
+    found = approximate_quantiles(df, SPEC.imputed, points)
+    entries = []
+    for c in SPEC.imputed:
+        for p, value in zip(points, found[c]):
+            below, upto, n = F.count_if(F.col(c) < value), F.count_if(F.col(c) <= value), F.count(c)
+            close = (below <= (p + 0.001) * n + 1) & (upto >= (p - 0.001) * n - 1)
+            entries.append(F.struct(F.lit(c).alias("COLUMN_NAME"), F.lit(p).alias("POINT"), close.alias("WITHIN")))
+    return df.agg(F.array(*entries).alias("rows")).select(F.inline("rows"))
+
+
 @query
 def impute(spark, sf_dir):
     df = stored(spark, sf_dir)
@@ -496,6 +510,21 @@ def diagnostic_bundle(spark, sf_dir):
     return rounded(lift, PREDICTED=4, OBSERVED=4, EXPOSURE=6)
 
 
+@query
+def glm_against_trees(spark, sf_dir):
+    """Both model families on the same validation rows; on one factor they agree with its means."""
+    df, features = territory_design(spark, sf_dir)
+    train, validation = train_validation(df)
+    both = validation
+    for name, fit in (
+        ("GLM", mdl.fit_glm(train, features, alpha=0.0, collapse=True)),
+        ("GBM", mdl.fit_gbt(train, features, rounds=1)),
+    ):
+        both = fit.predict(both).withColumnRenamed(dia.PREDICTED, name)
+    errors = dia.metrics(both, {"GLM": "GLM", "GBM": "GBM"}).select("MODEL", "RMSE", "MAE", "RMSE_WEIGHTED")
+    return rounded(errors, RMSE=3, MAE=3, RMSE_WEIGHTED=3)
+
+
 # -- explanations ------------------------------------------------------------------------------
 
 
@@ -537,7 +566,7 @@ def tree_attributions_add_up(spark, sf_dir):
     """All features: baseline plus attributions against the prediction, for every policy."""
     df, features = full_design(spark, sf_dir)
     fit = mdl.fit_gbt(df, features, rounds=5)
-    sums = exp.additivity(fit, df, exp.explain(fit, df))
+    sums = exp.additivity(fit, df)
     gap = F.abs(F.col("EXPLAINED") - F.col("PREDICTED")) <= 1e-9 * F.abs(F.col("PREDICTED")) + 1e-6
     return sums.select("POLICY_ID", gap.alias("ADDS_UP"))
 
@@ -560,6 +589,19 @@ def run_comparison(spark, sf_dir):
     return rounded(store.compare_runs("pricing", ["RMSE", "MAE"]), RMSE=4, MAE=4)
 
 
+@query
+def boosting_run_log(spark, sf_dir):
+    """Training and validation loss of every round, logged as steps of two runs and compared."""
+    df, features = territory_design(spark, sf_dir)
+    train, validation = train_validation(df)
+    fit = mdl.fit_gbt(train, features, rounds=2)
+    store = PricingStore(spark, scratch_path(spark, "runs"))
+    for run, rows in (("train", train), ("validation", validation)):
+        store.log_metric_table("boosting", mdl.evaluation_curve(fit, rows), F.lit(run), ["LOSS"], step="ROUND")
+    last = store.compare_runs("boosting", ["LOSS"])
+    return last.select("run", F.round(F.sqrt("LOSS"), 3).alias("ROOT_LOSS"))
+
+
 def registered(spark: SparkSession, sf_dir: str) -> tuple[PricingStore, DataFrame]:
     store = PricingStore(spark, scratch_path(spark, "registry"))
     df, features = territory_design(spark, sf_dir)
