@@ -158,7 +158,8 @@ def lorenz(
         F.row_number().over(inside).alias("n"),
     )
     # one row per group: their number is bounded by the cuts, whatever the size of the portfolio
-    joined = running.join(F.broadcast(offsets), ["bucket", "part"])
+    # every group has its row; a left join keeps Spark from testing the bucket for NULL at the scan
+    joined = running.join(F.broadcast(offsets), ["bucket", "part"], "left")
     return joined.select(
         F.col("key").alias(key),
         F.col("pred").alias("PREDICTION"),
