@@ -11,7 +11,9 @@ import json
 import math
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
@@ -130,6 +132,33 @@ def _glm(design: _Design, vector: str, **settings) -> tuple:
     return model, scaled
 
 
+CELLS_PER_TASK = 20_000
+
+
+@contextmanager
+def _assembled(
+    rows: DataFrame, features: Sequence[str], label: str, weight: str, vector: str, collapse: bool, by: Sequence[str] = ()
+):
+    """Cached rows (by, vector, y, w[, SQUARES]) for the many passes of a fit. Collapsed cells are
+    brought together in as few partitions as their number calls for, so that iterations do not
+    run over the empty remains of a wide shuffle."""
+    cached = []
+    try:
+        if collapse:
+            cells = collapse_cells(rows, features, label, weight, by).persist(StorageLevel.MEMORY_AND_DISK)
+            cached.append(cells)
+            rows = cells.coalesce(cells.count() // CELLS_PER_TASK + 1)
+        else:
+            rows = rows.withColumn("SQUARES", F.col(weight) * F.col(label) * F.col(label))
+        assembled = assembler(features).setOutputCol(vector).transform(rows)
+        assembled = assembled.select(*by, vector, F.col(label).alias("y"), F.col(weight).alias("w"), "SQUARES")
+        cached.append(assembled.persist(StorageLevel.MEMORY_AND_DISK))
+        yield cached[-1]
+    finally:
+        for df in cached:
+            df.unpersist()
+
+
 # -- Tweedie GLM -------------------------------------------------------------------------------
 
 
@@ -144,7 +173,6 @@ def fit_glm(
     tol: float = 1e-8,
     refits: int = 1,
     collapse: bool = False,
-    cache: bool = True,
 ) -> Fit:
     """Tweedie GLM with log link and ridge penalty ``alpha`` on the mean weighted half-deviance.
 
@@ -156,17 +184,9 @@ def fit_glm(
     """
     features = list(features)
     rows = usable_rows(df, label, weight).select(*features, label, weight)
-    if collapse:
-        rows = collapse_cells(rows, features, label, weight)
-    assembled = assembler(features).transform(rows).select(VECTOR, F.col(label).alias("y"), F.col(weight).alias("w"))
-    if cache:
-        assembled = assembled.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    with _assembled(rows, features, label, weight, VECTOR, collapse) as assembled:
         design = _design(assembled, features)
         model, params = _fit_tweedie(design, alpha, power, max_iter, tol, refits)
-    finally:
-        if cache:
-            assembled.unpersist()
     hidden = [stage.getOutputCol() for stage in design.stages] + ["glm_mean"]
     pipeline = PipelineModel([*design.stages, model, _finish(f"glm_mean * {design.mean!r}D", hidden)])
     params = {"alpha": alpha, "power": power, "max_iter": max_iter, "active": design.active, **params}
@@ -293,18 +313,8 @@ def cross_validate(
     """
     features = list(features)
     rows = add_fold(usable_rows(df, label, weight), k, key, salt).select("FOLD", *features, label, weight)
-    if collapse:
-        rows = collapse_cells(rows, features, label, weight, by=["FOLD"])
-    else:
-        rows = rows.withColumn("SQUARES", F.col(weight) * F.col(label) * F.col(label))
-    assembled = (
-        assembler(features)
-        .transform(rows)
-        .select("FOLD", VECTOR, F.col(label).alias("y"), F.col(weight).alias("w"), "SQUARES")
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
 
-    def one(task):
+    def one(assembled, task):
         alpha, fold = task
         design = _design(assembled.where(F.col("FOLD") != fold), features)
         model, params = _fit_tweedie(design, alpha, power, 1000, 1e-8, refits)
@@ -316,12 +326,10 @@ def cross_validate(
         error = F.sqrt(F.greatest(squared, F.lit(0.0)) / F.sum("w"))
         return float(alpha), fold, model.transform(held).agg(error.alias("rmse")).first()["rmse"]
 
-    try:
+    with _assembled(rows, features, label, weight, VECTOR, collapse, by=["FOLD"]) as assembled:
         assembled.count()
         with ThreadPoolExecutor(max(1, parallelism)) as pool:
-            results = list(pool.map(one, itertools.product(alphas, range(k))))
-    finally:
-        assembled.unpersist()
+            results = list(pool.map(partial(one, assembled), itertools.product(alphas, range(k))))
     return df.sparkSession.createDataFrame(results, "ALPHA double, FOLD int, RMSE double")
 
 
@@ -362,17 +370,8 @@ def fit_freq_sev(
     )
     stages, params, hidden = [], {"regParam": reg_param}, []
     for name, family, rows in (("freq", "poisson", frequency), ("sev", "gamma", severity)):
-        if collapse:
-            rows = collapse_cells(rows, features, "y", "w")
         vector = f"{name}_vector"
-        assembled = (
-            assembler(features)
-            .setOutputCol(vector)
-            .transform(rows)
-            .select(vector, "y", "w")
-            .persist(StorageLevel.MEMORY_AND_DISK)
-        )
-        try:
+        with _assembled(rows, features, "y", "w", vector, collapse) as assembled:
             design = _design(assembled, features, vector)
             model, _ = _glm(
                 design,
@@ -384,8 +383,6 @@ def fit_freq_sev(
                 maxIter=max_iter,
                 tol=tol,
             )
-        finally:
-            assembled.unpersist()
         stages += [*design.stages, model]
         hidden += [stage.getOutputCol() for stage in design.stages] + [f"{name}_mean"]
         params[f"{name}_scale"] = design.mean
