@@ -18,7 +18,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-WINDOW_ROWS = 50_000  # a group up to this size is sorted as it is
+WINDOW_ROWS = 50_000  # a table up to this size is ordered as one group
+VALUE_ROWS = 200_000  # a range with up to this many rows has its values ranked in one window
 GROUP_ROWS = 1_000_000  # aimed-at size of a group in larger tables
 MAX_CUTS = 8192
 SAMPLE_ROWS = 4_000_000
@@ -183,7 +184,7 @@ def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probabilities: Sequence[float],
-    window_rows: int = WINDOW_ROWS,
+    window_rows: int = VALUE_ROWS,
     bracket: float = BRACKET,
     counts: Mapping[str, int] | None = None,
 ) -> dict[str, list[float]]:
