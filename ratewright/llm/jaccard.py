@@ -8,7 +8,7 @@ k of the first ``n - ceil(t n) + k`` tokens of either, namely their first k shar
 * any other pair meets under its first two shared tokens, both frequent, within both 2-prefixes.
 
 Equal sets are one node throughout. Before pairs are formed, every node is verified against one leader, the
-smallest node of the buckets it shares most; groups linked that way are known to be connected, so only pairs
+most central node of the buckets it shares most; groups linked that way are known to be connected, so only pairs
 across groups are left. A group of thousands of near copies thus costs a row or two per copy, and no link
 between different groups is missed. Candidates are verified by the size of the true intersection.
 """
@@ -30,10 +30,13 @@ from ratewright.storage import materialise
 SHINGLE = 5
 THRESHOLD = 75  # percent
 FREQUENT = 16  # a token in more 1-prefixes than this is frequent
+COMING_FORWARD = 0.2  # share of frequent tokens in a 1-prefix from which on the rest of the set is counted
 MOST_FREQUENT = 1_000_000  # frequent tokens at most; beyond that the bound above is doubled
 FILTER_BITS = 23
 CACHE = 300_000
-_ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], "uint64")
+_NONE = np.empty(0, "uint64")
+FIRST_FACTOR = 0x9E3779B97F4A7C15
+STEP_FACTOR = 0xC2B2AE3D27D4EB4E
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -43,32 +46,47 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 
 
 class Shingler:
-    """Sorted distinct shingle hashes of a text; word hashes are remembered up to a bound."""
+    """Sorted distinct shingle hashes of texts; word hashes are remembered up to a bound.
+
+    A shingle's hash is the sum of its word hashes, each times the odd factor of its place, mixed.
+    """
 
     def __init__(self, size: int = SHINGLE):
         self.size = size
-        rounds = -(-size // len(_ODD))
-        self.factors = np.concatenate([_ODD + np.uint64(2 * i) for i in range(rounds)])[:size]
-        self.known: dict[bytes, int] = {}
+        self.factors = [np.uint64((FIRST_FACTOR + j * STEP_FACTOR) % (1 << 64)) for j in range(size)]
+        self.known: dict[bytes, bytes] = {}
 
-    def word(self, word: bytes) -> int:
-        found = xxhash.xxh64_intdigest(word)
+    def word(self, word: bytes) -> bytes:
+        found = xxhash.xxh64_digest(word)
         if len(self.known) < CACHE:
             self.known[word] = found
         return found
 
-    def tokens(self, text: bytes) -> np.ndarray:
-        split = words(text)
-        if not split:
-            return np.empty(0, "uint64")
-        get = self.known.get
-        hashes = np.array([get(w) or self.word(w) for w in split], "uint64")
-        size = min(self.size, len(hashes))
+    def _sums(self, hashes: np.ndarray, size: int) -> np.ndarray:
         n = len(hashes) - size + 1
         total = np.full(n, size, "uint64")
         for j in range(size):
-            total += _mixed(hashes[j : j + n] ^ self.factors[j]) * self.factors[j]
-        return np.unique(_mixed(total))
+            total += hashes[j : j + n] * self.factors[j]
+        return _mixed(total)
+
+    def tokens(self, texts: list[bytes]) -> list[np.ndarray]:
+        get, new = self.known.get, self.word
+        split = [words(t) for t in texts]
+        flat = np.frombuffer(b"".join([get(w) or new(w) for row in split for w in row]), "uint64")
+        whole = self._sums(flat, self.size) if len(flat) >= self.size else flat
+        out, at = [], 0
+        for row in split:
+            n = len(row)
+            if n >= self.size:
+                found = np.sort(whole[at : at + n - self.size + 1])
+                keep = np.empty(len(found), bool)
+                keep[0] = True
+                np.not_equal(found[1:], found[:-1], out=keep[1:])
+                out.append(found[keep])
+            else:
+                out.append(self._sums(flat[at : at + n], n) if n else _NONE)
+            at += n
+        return out
 
 
 def node_of(tokens: np.ndarray) -> int:
@@ -105,35 +123,39 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     )
 
 
-_NONE = np.empty(0, "uint64")
-
+def token_counts(docs: DataFrame, percent: int, size: int, order: Order | None = None) -> DataFrame:
+    """token, n: in how many 1-prefixes by plain hash order each token stands; equal sets of a task once.
 
-def prefix_counts(docs: DataFrame, percent: int, size: int) -> DataFrame:
-    """token, n: in how many 1-prefixes by plain hash order each token stands; equal sets of a task once."""
+    Given a first ``order``, the tokens behind the prefix instead, of the sets with a good share of frequent tokens
+    before them: those put last, such tokens come forward, and may be as frequent.
+    """
 
     def run(slabs):
         shingler, met = Shingler(size), set()
         for (texts,) in slabs:
             lists = []
-            for text in as_bytes(texts):
-                tokens = shingler.tokens(text)
+            for tokens in shingler.tokens(as_bytes(texts)):
                 n = len(tokens)
                 if n < 2 or (node := node_of(tokens)) in met:
                     continue
                 met.add(node)
-                lists.append(tokens[: n - needed(n, percent) + 1])
+                first = n - needed(n, percent) + 1
+                if order is None:
+                    lists.append(tokens[:first])
+                elif len(order.split(tokens[:first])[1]) >= COMING_FORWARD * first:
+                    lists.append(order.split(tokens[first:])[0])
             flat, times = np.unique(np.concatenate(lists) if lists else _NONE, return_counts=True)
             yield {"token": pa.array(flat.view("int64")), "n": pa.array(times)}
 
     counted = map_rows(docs, ["text"], "token long, n long", run)
-    return counted.groupBy("token").agg(F.sum("n").alias("n"))
+    often = counted.groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") > FREQUENT)
+    doubled = F.floor(F.log2(F.col("n") / FREQUENT)).alias("doubled")
+    return materialise(often.select("token", doubled), "frequent")
 
 
-def global_order(docs: DataFrame, percent: int, size: int) -> Order:
-    """Frequent tokens, at most MOST_FREQUENT of them (8 bytes each) whatever the corpus holds: if more pass the
-    bound, it is doubled until few enough do. The bound decides how work is dealt, never what is found."""
-    counts = prefix_counts(docs, percent, size).where(F.col("n") > FREQUENT)
-    counts = materialise(counts.select("token", "n", F.floor(F.log2(F.col("n") / FREQUENT)).alias("doubled")), "frequent")
+def most_frequent(counts: DataFrame) -> Order:
+    """At most MOST_FREQUENT tokens (8 bytes each) whatever the corpus holds: if more pass the bound, it is doubled
+    until few enough do."""
     above = {r["doubled"]: r["count"] for r in counts.groupBy("doubled").count().collect()}  # 64 rows at most
     level = 0
     while sum(n for k, n in above.items() if k >= level) > MOST_FREQUENT:
@@ -142,17 +164,22 @@ def global_order(docs: DataFrame, percent: int, size: int) -> Order:
     return Order(np.sort(found.astype("int64").view("uint64")))
 
 
+def global_order(docs: DataFrame, percent: int, size: int) -> Order:
+    """Which tokens are frequent. It decides how work is dealt, never what is found."""
+    counts = token_counts(docs, percent, size)
+    return most_frequent(counts.unionAll(token_counts(docs, percent, size, most_frequent(counts))))
+
+
 def nodes(docs: DataFrame, order: Order, percent: int, size: int) -> DataFrame:
     """row, doc_id, node, n and the 2-prefix of every document: ``rare`` tokens, and frequent ones, ``one`` of the
     1-prefix and ``two`` the one more. Sets that a task has met before come without tokens."""
-    schema = f"row long, doc_id {id_type(docs)}, node long, n long, rare array<long>, one array<long>, two array<long>"
+    schema = f"row long, doc_id {id_type(docs)}, node long, n int, rare array<long>, one array<long>, two array<long>"
 
     def run(slabs):
         shingler, met = Shingler(size), set()
         for rows, ids, texts in slabs:
             names, sizes, rares, ones, twos = [], [], [], [], []
-            for text in as_bytes(texts):
-                tokens = shingler.tokens(text)
+            for tokens in shingler.tokens(as_bytes(texts)):
                 n = len(tokens)
                 sizes.append(n)
                 names.append(node := node_of(tokens) if n else None)
@@ -163,7 +190,7 @@ def nodes(docs: DataFrame, order: Order, percent: int, size: int) -> DataFrame:
                     first = n - needed(n, percent) + 1
                     rare = plain[:first]
                     one = often[: first - len(rare)]
-                    two = often[len(one) : len(one) + 1] if len(rare) == len(plain) or len(one) else _NONE
+                    two = often[len(one) : len(one) + 1] if len(one) else _NONE
                 rares.append(rare)
                 ones.append(one)
                 twos.append(two)
@@ -176,19 +203,24 @@ def nodes(docs: DataFrame, order: Order, percent: int, size: int) -> DataFrame:
 
 
 def shared_tokens(held: DataFrame) -> DataFrame:
-    """node, n, token, kind (0 rare, 1 frequent, 2 frequent and only in the 2-prefix) of tokens that several nodes
-    hold, with ``least``, the smallest of those nodes."""
+    """node, n, ones (frequent tokens of the 1-prefix), token, kind (0 rare, 1 frequent, 2 frequent and only in the
+    2-prefix) of tokens that several nodes hold, with ``lead``, the most central of those nodes: that
+    with the most frequent tokens in its 1-prefix, hence the fewest of its own, and of these the smallest."""
 
     def entries(column: str, kind: int) -> Column:
         return F.transform(column, lambda t: F.struct(t.alias("token"), F.lit(kind).alias("kind")))
 
     every = F.concat(*[entries(c, k) for k, c in enumerate(("rare", "one", "two"))])
-    index = held.select("node", "n", F.inline(every))
+    index = held.select("node", "n", F.size("one").alias("ones"), F.inline(every))
     bucket = Window.partitionBy("token")
+    central = F.max(F.struct(F.col("ones"), (-F.col("node")).alias("node"))).over(bucket)
     index = index.select(
-        "*", F.min("node").over(bucket).alias("least"), F.max("node").over(bucket).alias("most")
+        "*",
+        (-central["node"]).alias("lead"),
+        F.min("node").over(bucket).alias("least"),
+        F.max("node").over(bucket).alias("most"),
     )
-    return index.where("least < most").drop("most")
+    return index.where("least < most").drop("least", "most")
 
 
 def _filter_words(names: DataFrame) -> np.ndarray:
@@ -209,8 +241,7 @@ def token_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
         shingler, met = Shingler(size), set()
         for (texts,) in slabs:
             names, lists = [], []
-            for text in as_bytes(texts):
-                tokens = shingler.tokens(text)
+            for tokens in shingler.tokens(as_bytes(texts)):
                 if len(tokens) < 2 or (node := node_of(tokens)) in met:
                     continue
                 at = node & ((1 << FILTER_BITS) - 1)
@@ -234,54 +265,105 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * F.col("common") >= percent * (F.col("sum") - F.col("common"))).select("a", "b")
 
 
-def _sized(n: Column, m: Column, percent: int) -> Column:
-    return (100 * F.least(n, m) >= percent * F.greatest(n, m))
+def first_tokens(n: Column, percent: int) -> Column:
+    """The length of a 1-prefix."""
+    return n - F.ceil(n * percent / 100) + 1
+
+
+def may_link(shared: Column, n: Column, m: Column, percent: int) -> Column:
+    """Whether sets of n and m tokens that share ``shared`` tokens of both 1-prefixes can be alike enough.
+
+    Of the prefix that ends first in the global order all shared tokens stand in the other prefix too, so the sets
+    share at most what that prefix shares and all that lies behind it.
+    """
+    behind = F.greatest(n - first_tokens(n, percent), m - first_tokens(m, percent))
+    sized = 100 * F.least(n, m) >= percent * F.greatest(n, m)
+    return sized & ((100 + percent) * (shared + behind) >= percent * (n + m))
 
 
 def leaders(shared: DataFrame, percent: int) -> DataFrame:
-    """a, b: each node with the smallest node of the buckets it shares most."""
-    votes = shared.where("node <> least AND kind < 2").groupBy("node", "least").agg(F.count("*").alias("votes"))
-    best = votes.groupBy("node").agg(F.max(F.struct("votes", -F.col("least"))).alias("m"))
+    """a, b: each node with the leading node of the buckets it shares most, if it shares 4 in 10 tokens of its
+    1-prefix with it. Near copies share more; what this leaves out is left to ``crossing``."""
+    votes = shared.where("node <> lead AND kind < 2").groupBy("node", "n", "lead").agg(F.count("*").alias("votes"))
+    votes = votes.where(10 * F.col("votes") >= 4 * first_tokens(F.col("n"), percent))
+    best = votes.groupBy("node").agg(F.max(F.struct("votes", -F.col("lead"))).alias("m"))
     return best.select(F.col("node").alias("a"), (-F.col("m.col2")).alias("b"))
 
 
 def groups(links: DataFrame) -> DataFrame:
-    """node, grp: nodes joined by leader links, two links up. Every leader is smaller than its node."""
+    """node, grp: nodes joined by leader links, two links up. Leaders come before their nodes in (ones, node), so no
+    links go round."""
     up = links.select(F.col("a").alias("node"), F.col("b").alias("up"))
     beyond = links.select(F.col("a").alias("up"), F.col("b").alias("top"))
     return up.join(beyond, "up", "left").select("node", F.coalesce("top", "up").alias("grp"))
 
 
 def crossing(shared: DataFrame, grouped: DataFrame, percent: int) -> DataFrame:
-    """a < b: the candidate pairs across groups, from buckets of a rare token or of two frequent ones."""
-    held = shared.join(grouped, "node", "left")
-    held = held.select("node", "n", "token", "kind", F.coalesce("grp", "node").alias("grp"))
-    bucket = Window.partitionBy("token")
-    held = held.select("*", F.min("grp").over(bucket).alias("g0"), F.max("grp").over(bucket).alias("g1"))
-    held = materialise(held.where("g0 < g1").drop("g0", "g1").distinct(), "crossing")
-    single = held.where("kind = 0").select("node", "n", "grp", F.col("token").alias("u"), F.lit(None).cast("long").alias("v"))
-    often = held.where("kind > 0").groupBy("node", "n", "grp").agg(
-        F.sort_array(F.collect_list(F.struct("kind", "token"))).alias("t")  # as many as the prefix holds
+    """a < b: the candidate pairs across groups, from buckets of a rare token or of two frequent ones.
+
+    ``alone`` counts tokens that a partner met in the bucket cannot share: rare ones of the 1-prefix that no other node
+    has, and where the first shared token is a frequent one, all rare ones. It tells how large a partner may be; where
+    a bucket has none so small, the node leaves it.
+    """
+    held_rare = F.count(F.when(F.col("kind") == 0, 1))
+    own = shared.groupBy("node", "n", "ones").agg(held_rare.alias("met"))
+    held = shared.join(own.select("node", "met"), "node").join(grouped, "node", "left")
+    alone = first_tokens(F.col("n"), percent) - F.col("ones") - F.when(F.col("kind") == 0, F.col("met")).otherwise(0)
+    held = held.select("node", "n", "ones", alone.alias("alone"), "token", "kind", F.coalesce("grp", "node").alias("grp"))
+
+    def fits(n: Column, alone: Column, m: Column) -> Column:
+        return (100 + percent) * (n - alone) >= percent * (n + m)
+
+    def across(index: DataFrame, *keys: str) -> DataFrame:
+        """Without the nodes too far off for any in their bucket, and buckets of one group."""
+        bucket = Window.partitionBy(*keys)
+        near = index.withColumn("n0", F.min("n").over(bucket)).where(fits(F.col("n"), F.col("alone"), F.col("n0")))
+        near = near.select("*", F.min("grp").over(bucket).alias("g0"), F.max("grp").over(bucket).alias("g1"))
+        return near.where("g0 < g1").drop("g0", "g1", "n0")
+
+    held = materialise(across(held, "token").distinct(), "crossing")
+
+    def pairs(index: DataFrame, keys: list[str]) -> DataFrame:
+        x, y = index.alias("x"), index.alias("y")
+        meet = (F.col("x.node") < F.col("y.node")) & (F.col("x.grp") != F.col("y.grp"))
+        for k in keys:
+            meet &= F.col(f"x.{k}") == F.col(f"y.{k}")
+        meet &= 100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")
+        meet &= fits(F.col("x.n"), F.col("x.alone"), F.col("y.n")) & fits(F.col("y.n"), F.col("y.alone"), F.col("x.n"))
+        return x.join(y, meet).select(
+            F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.n").alias("n"), F.col("y.n").alias("m"),
+            F.least("x.ones", "y.ones").alias("ones"),
+        )
+
+    rare = pairs(held.where("kind = 0"), ["token"]).groupBy("a", "b", "n", "m", "ones").agg(F.count("*").alias("c"))
+    # frequent tokens are not counted pair by pair; at most all of the smaller number are shared
+    rare = rare.where(may_link(F.col("c") + F.col("ones"), F.col("n"), F.col("m"), percent))
+
+    # in the global order: hashes are unsigned there
+    place = F.struct("kind", (F.col("token") < 0).alias("high"), "token")
+    often = held.where("kind > 0").groupBy("node", "n", "ones", "alone", "grp").agg(
+        F.sort_array(F.collect_list(place)).alias("t")  # as many as the prefix holds
     )
-    pair = F.flatten(
-        F.transform(
-            "t",
-            lambda x, i: F.transform(
-                F.filter("t", lambda y, j: (j > i) & (x["kind"] == 1)),
-                lambda y: F.struct(F.least(x["token"], y["token"]).alias("u"), F.greatest(x["token"], y["token"]).alias("v")),
+    often = often.withColumn("t", F.transform("t", lambda x, i: F.struct(x["kind"], x["token"], i.alias("at"))))
+
+    def with_later(x: Column) -> Column:
+        """The combinations of x with what comes after it. Where they are the first two tokens a pair shares, none
+        before the second but x is shared."""
+        later = F.filter("t", lambda y: (y["at"] > x["at"]) & (x["kind"] == 1))
+        u = x["token"]
+        return F.transform(
+            later,
+            lambda y: F.struct(
+                F.least(u, y["token"]).alias("u"),
+                F.greatest(u, y["token"]).alias("v"),
+                (F.col("alone") + y["at"] - 1).alias("before"),
             ),
         )
-    )
-    double = often.select("node", "n", "grp", F.inline(pair))
-    index = single.unionByName(double)
-    buckets = Window.partitionBy("u", "v")
-    index = index.select("*", F.min("grp").over(buckets).alias("g0"), F.max("grp").over(buckets).alias("g1"))
-    index = materialise(index.where("g0 < g1").drop("g0", "g1"), "buckets")
-    x, y = index.alias("x"), index.alias("y")
-    same = (F.col("x.u") == F.col("y.u")) & F.col("x.v").eqNullSafe(F.col("y.v"))
-    apart = (F.col("x.node") < F.col("y.node")) & (F.col("x.grp") != F.col("y.grp"))
-    found = x.join(y, same & apart & _sized(F.col("x.n"), F.col("y.n"), percent))
-    return found.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+
+    double = often.select("node", "n", "ones", "grp", F.inline(F.flatten(F.transform("t", with_later))))
+    double = double.withColumnRenamed("before", "alone")
+    double = materialise(across(double, "u", "v"), "combinations")
+    return rare.select("a", "b").unionAll(pairs(double, ["u", "v"]).select("a", "b")).distinct()
 
 
 def join(docs: DataFrame, percent: int = THRESHOLD, size: int = SHINGLE) -> DataFrame:
@@ -297,10 +379,14 @@ def join(docs: DataFrame, percent: int = THRESHOLD, size: int = SHINGLE) -> Data
     order = global_order(docs.select("text"), percent, size)
     held = materialise(nodes(rows, order, percent, size), "nodes")
     shared = materialise(shared_tokens(held), "shared")
-    sets = materialise(token_sets(docs.select("text"), shared.select("node"), size), "sets")
-    first = materialise(verified(leaders(shared, percent), sets, percent), "leaders")
-    across = materialise(crossing(shared, groups(first), percent), "across")
-    links = first.unionByName(verified(across, sets, percent))
+    text = docs.select("text")
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        found = token_sets(text, pairs.select(F.explode(F.array("a", "b")).alias("node")), size)
+        return materialise(verified(pairs, found, percent), "links")
+
+    first = linked(materialise(leaders(shared, percent), "leaders"))
+    links = first.unionByName(linked(materialise(crossing(shared, groups(first), percent), "across")))
     labels = components(links)
 
     key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("row").alias("row"))
@@ -314,7 +400,7 @@ def join(docs: DataFrame, percent: int = THRESHOLD, size: int = SHINGLE) -> Data
     return members.join(named, "node", "left").select(
         "row",
         "doc_id",
-        F.col("n").alias("n_shingles"),
+        F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("best.id")).alias("component_id"),
         (F.col("node").isNull() | (F.col("best.row") == F.col("row"))).alias("keep"),
     )

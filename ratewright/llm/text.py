@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
-SLAB = 512  # rows decoded at a time, so a batch of long texts is never held twice as Python objects
+SLAB = 64  # rows decoded at a time, so a batch of long texts is never held twice as Python objects
 
 
 def words(text: bytes) -> list[bytes]:
