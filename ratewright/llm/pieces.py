@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -23,7 +24,8 @@ from ratewright.llm.text import as_text, id_type, map_rows
 SPACE = "▁"
 # No piece holds a line break, nor a space after another character: all paths meet there.
 SEGMENT = re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n+")
-CACHE = 400_000  # segments remembered by a worker
+CACHE = 300_000  # segments remembered by a worker, and pairs of pieces
+UNKNOWN = -1  # a character without a piece, which stands as its bytes
 COMMIT = 64  # characters between looks for a common boundary
 
 
@@ -55,7 +57,8 @@ class Pieces:
         for b, i in byte.items():
             surfaces[i] = bytes([b])
         self.surfaces = surfaces
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.names = names
+        self.pairs: dict[int, bool] = {}
         self.segments: dict[str, bytes] = {}
 
     def merged(self, text: str) -> list[str]:
@@ -71,32 +74,36 @@ class Pieces:
                 return parts
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
-    def admissible(self, left: str, right: str) -> bool:
-        known = self.pairs.get((left, right))
-        if known is None:
-            known = self.merged(left + right) == [left, right]
-            if len(self.pairs) >= 4 * CACHE:
-                self.pairs.clear()
-            self.pairs[left, right] = known
+    def admissible(self, left: int, right: int) -> bool:
+        """Whether merging the characters of two pieces gives the two again; UNKNOWN characters never merge."""
+        names = self.names
+        known = left < 0 or right < 0 or self.merged(names[left] + names[right]) == [names[left], names[right]]
+        if len(self.pairs) >= CACHE:
+            self.pairs.clear()
+        self.pairs[left << 32 | right] = known
         return known
 
-    def id_bytes(self, piece: str) -> list[int]:
-        found = self.ids.get(piece)
-        return [found] if found is not None else [self.bytes[b] for b in piece.encode()]
-
     def search(self, text: str) -> list[int]:
         """Ids of a text already in piece spelling, committed as soon as all paths agree."""
         out: list[int] = []
-        ids, longest, base = self.ids, self.longest, 0
-        back = [0]  # back[j - base]: where the surviving piece that ends at j begins
-        last = [""]  # last[j - base]: that piece
+        get, longest, base = self.ids.get, self.longest, 0
+        known, admissible = self.pairs.get, self.admissible
+        back, last = [0], [UNKNOWN]  # by boundary - base: where the surviving piece that ends there begins, and its id
         for j in range(1, len(text) + 1):
-            for i in range(max(base, j - longest), j):
-                piece = text[i:j]
-                if (piece in ids or i == j - 1) and (not last[i - base] or self.admissible(last[i - base], piece)):
-                    back.append(i)
-                    last.append(piece)
-                    break
+            for i in range(j - longest if j - longest > base else base, j):
+                piece = get(text[i:j])
+                if piece is None:
+                    if i < j - 1:
+                        continue
+                    piece = UNKNOWN
+                if i:
+                    before = last[i - base]
+                    fits = known(before << 32 | piece)
+                    if not (admissible(before, piece) if fits is None else fits):
+                        continue
+                back.append(i)
+                last.append(piece)
+                break
             else:
                 raise ValueError(f"no path through {text[base:j]!r}")
             if j - base >= COMMIT:
@@ -107,19 +114,23 @@ class Pieces:
                     open_ends.add(back[top - base])
                 meeting = open_ends.pop()
                 if meeting > base:
-                    out += self.path(back, last, base, meeting)
+                    out += self.path(text, back, last, base, meeting)
                     back, last, base = back[meeting - base :], last[meeting - base :], meeting
-        return out + self.path(back, last, base, len(text))
+        return out + self.path(text, back, last, base, len(text))
 
-    def path(self, back: list[int], last: list[str], base: int, end: int) -> list[int]:
-        pieces = []
+    def path(self, text: str, back: list[int], last: list[int], base: int, end: int) -> list[int]:
+        ids: list[int] = []
         while end > base:
-            pieces.append(last[end - base])
-            end = back[end - base]
-        return [i for piece in reversed(pieces) for i in self.id_bytes(piece)]
+            start, piece = back[end - base], last[end - base]
+            if piece >= 0:
+                ids.append(piece)
+            else:
+                ids += [self.bytes[b] for b in reversed(text[start:end].encode())]
+            end = start
+        return ids[::-1]
 
     def segment(self, text: str) -> bytes:
-        found = np.asarray(self.search(text), dtype="<i4").tobytes()
+        found = array("i", self.search(text)).tobytes()
         if len(text) <= 64:
             if len(self.segments) >= CACHE:
                 self.segments.clear()
@@ -193,7 +204,7 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def digest(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """doc_id, n_ids, ids_sha256 (over the ids as comma-joined text), decoded_sha256 (over the decoded text) and
+    """doc_id, n_ids, ids_sha256 (over the ids as little-endian 32-bit numbers), decoded_sha256 (over the decoded text) and
     exact, of every text."""
     path = path or model_file()
     schema = f"doc_id {id_type(docs)}, n_ids long, ids_sha256 string, decoded_sha256 string, exact boolean"
@@ -210,7 +221,7 @@ def digest(docs: DataFrame, path: str | None = None) -> DataFrame:
             yield {
                 "doc_id": keys,
                 "n_ids": [len(i) for i in ids],
-                "ids_sha256": [sha(",".join(map(str, i.tolist())).encode()) for i in ids],
+                "ids_sha256": [sha(i.tobytes()) for i in ids],
                 "decoded_sha256": [sha(t.encode()) for t in decoded],
                 "exact": [a == b for a, b in zip(decoded, texts)],
             }
