@@ -18,10 +18,9 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-WINDOW_ROWS = 50_000  # a table up to this size is ordered as one group
-VALUE_ROWS = 200_000  # a range with up to this many rows has its values ranked in one window
-GROUP_ROWS = 1_000_000  # aimed-at size of a group in larger tables
-MAX_CUTS = 8192
+VALUE_ROWS = 5_000  # a narrowed range with up to this many rows has its values ranked in one window
+GROUP_ROWS = 1_000_000  # aimed-at size of a group
+LEAST_CUTS = 64
 SAMPLE_ROWS = 4_000_000
 
 
@@ -35,8 +34,11 @@ def _doubles(values: Sequence[float]) -> str:
 
 
 def row_counts(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
-    """Rows with a value, per column; one job."""
-    row = df.agg(*[F.count(number(c)).alias(f"n{i}") for i, c in enumerate(columns)]).first()
+    """Rows with a value, per column; one job. Infinite values have no place between cuts and are refused."""
+    infinite = [F.count_if(F.abs(number(c)) == math.inf).alias(f"i{i}") for i, c in enumerate(columns)]
+    row = df.agg(*[F.count(number(c)).alias(f"n{i}") for i, c in enumerate(columns)], *infinite).first()
+    if wrong := [c for i, c in enumerate(columns) if row[f"i{i}"]]:
+        raise ValueError(f"infinite values in {', '.join(wrong)}")
     return {c: row[f"n{i}"] for i, c in enumerate(columns)}
 
 
@@ -49,7 +51,7 @@ def approximate_cuts(
     balance the work, so a few million rows settle them and the sketches that travel stay small
     however many input partitions there are.
     """
-    cuts = cuts or min(MAX_CUTS, max(64, rows // GROUP_ROWS))
+    cuts = cuts or max(LEAST_CUTS, rows // GROUP_ROWS)
     if rows > SAMPLE_ROWS:
         df = df.sample(SAMPLE_ROWS / rows, seed=0)
     grid = _doubles([i / cuts for i in range(1, cuts)])
@@ -190,8 +192,8 @@ def exact_quantiles(
 ) -> dict[str, list[float]]:
     """Exact linearly interpolated quantiles of several columns.
 
-    Columns above ``window_rows`` rows are narrowed pass by pass, each keeping only the few rows
-    per thousand around the wanted ranks, until what is left fits small windows. The driver sees
+    Columns are narrowed pass by pass, each keeping only the few rows per thousand around the wanted
+    ranks, until what is left of a rank has ``window_rows`` rows at most and is ordered in a window. The driver sees
     cut values and counts, never rows. A column without values gives an empty list. ``counts``
     saves a pass where the numbers of usable values (see ``row_counts``) are already known.
     """
@@ -207,11 +209,10 @@ def exact_quantiles(
     ]
     found: dict[tuple[str, int], float] = {}
     while targets:
-        small = [t for t in targets if t.rows <= window_rows]
-        large = [t for t in targets if t.rows > window_rows]
-        if small:
+        targets = _narrow(df, targets, found, bracket)
+        if small := [t for t in targets if t.rows <= window_rows]:
             _read_off(df, small, found)
-        targets = _narrow(df, large, found, bracket) if large else []
+        targets = [t for t in targets if t.rows > window_rows]
     result: dict[str, list[float]] = {c: [] for c in columns}
     for c in columns:
         for p in probabilities if counts[c] else ():
@@ -234,30 +235,45 @@ def approximate_quantiles(
     return {c: list(row[f"q{i}"] or []) for i, c in enumerate(columns)}
 
 
-def order_buckets(
-    df: DataFrame, value: str, key: str, cuts: int | None = None, window_rows: int = WINDOW_ROWS
-) -> DataFrame:
+def order_buckets(df: DataFrame, value: str, key: str, cuts: int | None = None) -> DataFrame:
     """Add ``bucket`` and ``part`` so that (bucket, part, value, key) sorts like (value, key).
 
-    A value frequent enough to fill several cuts is split into as many parts at approximate
-    quantiles of the numeric tie-break ``key``, so no group grows with the number of ties.
+    A value frequent enough to fill several cuts is split into at least as many parts, at approximate
+    quantiles of the numeric tie-break ``key`` among the rows of that value alone. So no group grows
+    with the number of ties, nor with where in the range of keys they lie.
     """
     rows = row_counts(df, [value])[value]
-    if rows <= window_rows:
-        return df.withColumns({"bucket": F.lit(1), "part": F.lit(0)})
-    edges = approximate_cuts(df, [value, key], rows, cuts)
-    cut_values = sorted(set(edges[value]))
-    repeated = Counter(edges[value])
-    df = with_buckets(df, {value: edges[value]}, "_order")
-    part = F.lit(0)
-    if repeated and max(repeated.values()) > 1:
-        # a value filling r cuts gets r parts, so there are never more parts than cuts
-        key_cuts = sorted(set(edges[key]))
-        df = with_buckets(df.withColumn("tie", F.col(key).cast("double")), {"tie": key_cuts}, "_order")
-        fills = F.expr("array(" + ", ".join(str(repeated[e]) for e in cut_values) + ")")
-        bucket = F.col(f"{value}_order")
-        fill = F.when(bucket % 2 == 0, F.try_element_at(fills, (bucket / 2).cast("int"))).otherwise(1)
-        part = F.floor(F.col("tie_order") * fill / (2 * len(key_cuts) + 2)).cast("int")
-        part = F.when(fill > 1, part).otherwise(0)
-    placed = df.withColumns({"bucket": F.col(f"{value}_order"), "part": part})
-    return placed.drop(f"{value}_order", "tie", "tie_order")
+    edges = approximate_cuts(df, [value], rows, cuts)[value]
+    placed = with_buckets(df, {value: edges}, "_order").withColumnRenamed(f"{value}_order", "bucket")
+    repeated = Counter(edges)
+    # a value filling r cuts gets the next power of two parts, so parts are at most twice the cuts
+    parts = {2 * i: 1 << (repeated[e] - 1).bit_length() for i, e in enumerate(sorted(repeated), 1) if repeated[e] > 1}
+    if not parts:
+        return placed.withColumn("part", F.lit(0))
+    tie = F.col(key).cast("double")
+    sketches = []
+    for size in sorted(set(parts.values())):
+        held = F.when(F.col("bucket").isin([b for b, n in parts.items() if n == size]), F.col("tie"))
+        sketches.append(held.alias(f"t{size}"))
+    tied = placed.where(F.col("bucket").isin(list(parts))).select("bucket", tie.alias("tie"))
+    tied = tied.select("bucket", *sketches)
+    found = tied.groupBy("bucket").agg(
+        *[
+            F.expr(
+                f"percentile_approx(t{size}, {_doubles([i / size for i in range(1, size)])}, {max(10_000, 10 * size)})"
+            ).alias(f"q{size}")
+            for size in sorted(set(parts.values()))
+        ]
+    )
+    # at most twice as many numbers as there are cuts
+    ties = [(r["bucket"], sorted(set(r[f"q{parts[r['bucket']]}"] or []))) for r in found.collect()]
+    table = df.sparkSession.createDataFrame(ties, "tied_bucket int, tied_keys array<double>")
+    joined = placed.join(F.broadcast(table), F.col("bucket") == F.col("tied_bucket"), "left")
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(max(parts.values()).bit_length()))])
+
+    def step(low: Column, by: Column) -> Column:
+        inside = low + by <= F.size("tied_keys")
+        return F.when(inside & (F.try_element_at("tied_keys", low + by) < tie), low + by).otherwise(low)
+
+    part = F.when(F.col("tied_keys").isNull(), F.lit(0)).otherwise(F.aggregate(steps, F.lit(0), step))
+    return joined.withColumn("part", part).drop("tied_bucket", "tied_keys")

@@ -62,17 +62,20 @@ def table_profile(tables: Mapping[tuple[str, str], DataFrame], kinds: Mapping[tu
     return _union(parts)
 
 
-def table_sizes(tables: Mapping[tuple[str, str], DataFrame]) -> DataFrame:
-    """(TABLE_SCHEMA, TABLE_NAME, FILES, BYTES, LAST_ALTERED) of file-based tables, from the file
-    metadata of their scans; no data column is read. Empty files do not show."""
+def table_sizes(spark: SparkSession, paths: Mapping[tuple[str, str], str]) -> DataFrame:
+    """(TABLE_SCHEMA, TABLE_NAME, FILES, BYTES, LAST_ALTERED) of file-based tables from the listing of their
+    folders; no file is opened, and files without rows count like any other."""
     parts = []
-    for (schema, name), df in tables.items():
-        files = df.select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+    for (schema, name), path in paths.items():
+        listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option(
+            "pathGlobFilter", "*.parquet"
+        )
+        files = listing.load(path).select("length", "modificationTime")
         parts.append(
             files.agg(
                 F.count("*").alias("FILES"),
-                F.sum("file_size").alias("BYTES"),
-                F.max("file_modification_time").alias("LAST_ALTERED"),
+                F.coalesce(F.sum("length"), F.lit(0)).alias("BYTES"),
+                F.max("modificationTime").alias("LAST_ALTERED"),
             ).select(F.lit(schema).alias("TABLE_SCHEMA"), F.lit(name).alias("TABLE_NAME"), "FILES", "BYTES", "LAST_ALTERED")
         )
     return _union(parts)
@@ -133,14 +136,14 @@ def no_descriptions(spark: SparkSession) -> DataFrame:
 
 
 def describe(current: DataFrame, new: DataFrame) -> DataFrame:
-    """Descriptions after an update: per (schema, table, column) the newest text wins. A NULL
-    column name describes the table itself."""
-    same = (
-        current["TABLE_SCHEMA"].eqNullSafe(new["TABLE_SCHEMA"])
-        & current["TABLE_NAME"].eqNullSafe(new["TABLE_NAME"])
-        & current["COLUMN_NAME"].eqNullSafe(new["COLUMN_NAME"])
-    )
-    return current.join(new, same, "left_anti").unionByName(new)
+    """Descriptions after an update: one row per (schema, table, column), the text with the latest
+    UPDATED_AT. A NULL column name describes the table itself. A text without a time is older than any
+    with one; at equal times the update wins over what is there, then the text that sorts last."""
+    both = current.withColumn("turn", F.lit(0)).unionByName(new.withColumn("turn", F.lit(1)))
+    age = F.struct(F.col("UPDATED_AT"), F.col("turn"), F.col("DESCRIPTION"))
+    # grouping takes NULLs for equal
+    latest = both.groupBy(*KEYS, "COLUMN_NAME").agg(F.max(age).alias("t"))
+    return latest.select(*KEYS, "COLUMN_NAME", "t.DESCRIPTION", "t.UPDATED_AT")
 
 
 def mirror_descriptions(spark: SparkSession, descriptions: DataFrame) -> int:

@@ -17,7 +17,7 @@ from ratewright.operators.diagnostics import PREDICTED, gini, metrics, write_exh
 from ratewright.operators.features import FeaturePlan, FeatureSpec, feature_columns
 from ratewright.operators.models import Fit
 from ratewright.operators.policy import Caps, add_targets, prepare_policies
-from ratewright.sources.store import PricingStore
+from ratewright.sources.store import AlreadyExists, PricingStore, stamp
 from ratewright.storage import spread
 
 
@@ -55,13 +55,22 @@ def freeze_study(
     train_percent: int = 75,
     names: Names = Names(),
 ) -> FeaturePlan:
-    """Prepare policies, fit the feature plan, register the view, freeze both datasets."""
-    prepared_path = f"{store.root}/prepared/version={version}"
-    prepare_policies(freq, sev, caps).write.mode("overwrite").parquet(prepared_path)
+    """Prepare policies, fit the feature plan, register the view, freeze both datasets.
+
+    A version is frozen once: where either dataset or the view has it, nothing is written.
+    """
+    for name in (names.training, names.validation):
+        if store.has_dataset(name, version):
+            raise AlreadyExists(f"dataset {name} version {version}")
+    if store.has_view(names.view, version):
+        raise AlreadyExists(f"feature view {names.view} version {version}")
+    # a folder of its own: what an earlier attempt left cannot be mistaken for this one's input
+    prepared_path = f"{store.root}/prepared/version={version}/at={stamp()}"
+    prepare_policies(freq, sev, caps).write.mode("errorifexists").parquet(prepared_path)
     prepared = store.spark.read.parquet(prepared_path)
     plan = FeaturePlan.fit(prepared, spec, exact=exact, cache=False)
     store.register_view(
-        plan.transform(prepared, lead=["POLICY_ID"]), names.view, version, description=plan.to_json()
+        plan.transform(prepared, lead=["POLICY_ID"]), names.view, version, description=plan.to_json(), overwrite=False
     )
     spine = add_targets(prepared).select("POLICY_ID", "PURE_PREMIUM", "EXPOSURE")
     in_train = key_slot("POLICY_ID", 100) < train_percent

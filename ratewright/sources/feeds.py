@@ -154,7 +154,14 @@ def write_predictions_feed(df: DataFrame, path: str, compression: str = "gzip",
 
 
 def read_predictions_feed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.format("xml").option("rowTag", "Prediction").schema(schema).load(path)
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
+    rows = spark.read.format("xml").option("rowTag", "Prediction").schema(text).load(path)
+    return rows.select(
+        *[
+            (F.col(f.name) if isinstance(f.dataType, T.StringType) else F.trim(f.name).try_cast(f.dataType)).alias(f.name)
+            for f in schema
+        ]
+    )
 
 
 # -- reading -----------------------------------------------------------------------------------
@@ -222,20 +229,22 @@ def feed_quality(spark: SparkSession, path: str, feed=POLICY_FEED, pattern: str
 
 
 def land_feed(spark: SparkSession, path: str, feed=POLICY_FEED, pattern: str | None = None) -> DataFrame:
-    """Untyped landing: one ``SRC`` variant per element, no element dropped.
-
-    The variant reader turns text that looks like a number into a number, so a code such as
-    ``007`` lands as 7; ``read_policy_feed`` keeps it as written.
-    """
-    _, row, _ = feed
-    location = f"{path.rstrip('/')}/{pattern}" if pattern else path
-    return spark.read.format("xml").option("rowTag", row).option("singleVariantColumn", "SRC").load(location)
+    """Untyped landing: one ``SRC`` variant per element, no element dropped and every leaf as the text it
+    holds, so a code such as ``007`` stays what it is."""
+    rows = _scan(spark, path, feed, pattern)
+    return rows.select(F.to_variant_object(F.struct(*rows.columns)).alias("SRC"))
 
 
 def extract_fields(landed: DataFrame, feed=POLICY_FEED) -> DataFrame:
-    """Typed columns out of landed variants; an element of another type gives NULL."""
+    """Typed columns out of landed variants, the same as the typed read of the feed gives; text that does not
+    parse as the column's type gives NULL."""
     _, _, fields = feed
-    return landed.select(*[F.try_variant_get("SRC", f"$.{path}", kind).alias(column) for column, path, kind in fields])
+
+    def typed(path: str, kind: str) -> Column:
+        text = F.try_variant_get("SRC", f"$.{path}", "string")
+        return text if kind == "string" else F.trim(text).try_cast(kind)
+
+    return landed.select(*[typed(path, kind).alias(column) for column, path, kind in fields])
 
 
 def load_feeds(spark: SparkSession, inbound: str, policies_to: str, claims_to: str) -> dict[str, dict[str, int]]:

@@ -97,7 +97,7 @@ class PricingStore:
         """Materialise a feature table under a version after checking its entity key."""
         if not overwrite and self._one("feature_views", name=name, version=version):
             raise AlreadyExists(f"feature view {name} version {version}")
-        path = f"{self.root}/views/name={name}/version={version}/at={_stamp()}"
+        path = f"{self.root}/views/name={name}/version={version}/at={stamp()}"
         df.write.parquet(path)
         stored = self.spark.read.schema(df.schema).parquet(path)
         check = entity_check(stored, keys).first()
@@ -111,6 +111,12 @@ class PricingStore:
         )
         return stored
 
+    def has_view(self, name: str, version: str) -> bool:
+        return self._one("feature_views", name=name, version=version) is not None
+
+    def has_dataset(self, name: str, version: str) -> bool:
+        return self._one("datasets", name=name, version=version) is not None
+
     def view(self, name: str, version: str) -> DataFrame:
         record = self._one("feature_views", name=name, version=version)
         if record is None:
@@ -199,13 +205,13 @@ class PricingStore:
         self._append("run_artifacts", [(experiment, run, p, now) for p in paths])
 
     def compare_runs(self, experiment: str, metrics: Sequence[str]) -> DataFrame:
-        """One row per run, one column per metric: the latest value of its highest step."""
+        """One row per run, one column per metric: of the latest logging, the value of its highest step."""
         rows = self.records("run_metrics").where(F.col("experiment") == experiment)
         return (
             rows.where(F.col("metric").isin(list(metrics)))
             .groupBy("run")
             .pivot("metric", list(metrics))
-            .agg(F.max_by("value", F.struct("step", "logged_at")))
+            .agg(F.max_by("value", F.struct("logged_at", "step")))
         )
 
     # -- models --------------------------------------------------------------------------------
@@ -252,7 +258,7 @@ class PricingStore:
 
     def model_versions(self) -> DataFrame:
         """All versions, the default of each model marked."""
-        latest = Window.partitionBy("model").orderBy(F.desc("logged_at"))
+        latest = Window.partitionBy("model").orderBy(F.desc("logged_at"), F.desc("version"))
         defaults = (
             self.records("model_defaults")
             .withColumn("n", F.row_number().over(latest))
@@ -284,5 +290,5 @@ def _now() -> datetime:
     return datetime.now(timezone.utc)
 
 
-def _stamp() -> str:
+def stamp() -> str:
     return _now().strftime("%Y%m%dT%H%M%S%f")

@@ -39,6 +39,34 @@ def test_newest_description_wins_and_coverage(spark, tables):
     assert [(r["TABLE_SCHEMA"], r["TABLES"], r["ROW_COUNT"]) for r in roll] == [("s", 1, 2)]
 
 
+def test_updates_out_of_order_and_repeated(spark):
+    def timed(rows):
+        df = spark.createDataFrame(rows, "TABLE_SCHEMA string, TABLE_NAME string, COLUMN_NAME string, DESCRIPTION string, at string")
+        return df.withColumn("UPDATED_AT", F.to_timestamp("at")).drop("at")
+
+    current = timed([("s", "t", None, "now", "2024-05-01"), ("s", "t", "id", "old key", "2024-01-01"), ("s", "t", "x", "kept", None)])
+    update = timed(
+        [
+            ("s", "t", None, "late arrival", "2024-02-01"),
+            ("s", "t", "id", "new key", "2024-03-01"),
+            ("s", "t", "id", "older still", "2023-03-01"),
+            ("s", "t", "x", "same time", None),
+        ]
+    )
+    found = {r["COLUMN_NAME"]: r["DESCRIPTION"] for r in dic.describe(current, update).collect()}
+    assert found == {None: "now", "id": "new key", "x": "same time"}
+    assert dic.describe(current, update).count() == 3
+
+
+def test_sizes_count_empty_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(5).coalesce(1).write.parquet(path)
+    spark.range(0).coalesce(1).write.mode("append").parquet(path)
+    row = dic.table_sizes(spark, {("s", "t"): path}).first()
+    files = list((tmp_path / "t").glob("*.parquet"))
+    assert row["FILES"] == len(files) == 2 and row["BYTES"] == sum(f.stat().st_size for f in files)
+
+
 def test_catalog_comments_are_mirrored_and_read_back(spark, tmp_path):
     path = (tmp_path / "dictionary_t").as_uri()
     spark.sql(f"CREATE TABLE dictionary_t (id BIGINT, name STRING) USING parquet LOCATION '{path}'")

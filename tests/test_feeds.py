@@ -69,7 +69,9 @@ def test_variant_landing(spark, inbound):
     rows = feeds.extract_fields(landed).orderBy("POLICY_ID").collect()
     assert rows[1]["PROPERTY_AGE"] is None and rows[1]["CONSTRUCTION_QUALITY"] == 3
     assert rows[0]["EXPOSURE"] == 0.5 and rows[2]["TERRITORY_CODE"] is None
-    assert rows[0]["TERRITORY_CODE"] == "7"  # number-like text lands as a number
+    assert rows[0]["TERRITORY_CODE"] == "007"  # a code stays the text it is
+    typed = feeds.read_policy_feed(spark, inbound, feeds.POLICY_PATTERN).orderBy("POLICY_ID").collect()
+    assert rows == typed
 
 
 def test_empty_feed(spark, tmp_path):

@@ -50,7 +50,7 @@ def test_approximate_quantiles_are_observed_values_near_the_rank(numbers):
 
 
 def test_buckets_keep_the_order_and_split_ties(numbers):
-    rows = order_buckets(numbers.select("k", "tied"), "tied", "k", cuts=64, window_rows=10).toPandas()
+    rows = order_buckets(numbers.select("k", "tied"), "tied", "k", cuts=64).toPandas()
     by_bucket = rows.sort_values(["bucket", "part", "tied", "k"])
     by_value = rows.sort_values(["tied", "k"])
     assert (by_bucket["k"].to_numpy() == by_value["k"].to_numpy()).all()
@@ -60,6 +60,25 @@ def test_buckets_keep_the_order_and_split_ties(numbers):
     assert largest < len(rows) / 20
 
 
+@pytest.mark.parametrize("lowest", [0.05, 0.12, 0.5])
+def test_ties_on_a_range_of_keys_are_split_among_themselves(spark, lowest):
+    """A score tied on a contiguous range of keys, as new business with one default score."""
+    count, cuts = 20_000, 64
+    tied = F.when(F.col("k") < lowest * count, 7.0).otherwise((F.col("k") * 7919 % count).cast("double"))
+    rows = order_buckets(spark.range(count).toDF("k").withColumn("tied", tied), "tied", "k", cuts=cuts).toPandas()
+    by_bucket = rows.sort_values(["bucket", "part", "tied", "k"])
+    assert (by_bucket["k"].to_numpy() == rows.sort_values(["tied", "k"])["k"].to_numpy()).all()
+    assert rows.groupby(["bucket", "part"]).size().max() <= 2 * count / cuts
+
+
+def test_infinite_values_are_refused(spark):
+    df = spark.range(9).select(F.when(F.col("id") == 3, float("inf")).otherwise(F.col("id").cast("double")).alias("x"), "id")
+    with pytest.raises(ValueError, match="infinite"):
+        exact_quantiles(df, ["x"], [0.5])
+    with pytest.raises(ValueError, match="infinite"):
+        order_buckets(df, "x", "id")
+
+
 def _curve(local, score):
     local = local.sort_values([score, "k"])
     exposure, claims = local["w"].to_numpy(), (local["y"] * local["w"]).to_numpy()
@@ -71,9 +90,9 @@ def test_lorenz_and_gini_equal_numpy(numbers, cuts, monkeypatch):
     import ratewright.operators.diagnostics as dia
     import ratewright.functions.ordered as ordered
 
-    if cuts:  # force the bucketed path on a small table
+    if cuts:
         monkeypatch.setattr(
-            dia, "order_buckets", lambda df, v, k, c: ordered.order_buckets(df, v, k, cuts=cuts, window_rows=1)
+            dia, "order_buckets", lambda df, v, k, c: ordered.order_buckets(df, v, k, cuts=cuts)
         )
     df = numbers.withColumns({"y": F.col("wild"), "w": 0.1 + (F.col("k") % 10) / 10.0})
     keys, exposure, claims = _curve(df.toPandas(), "tied")
@@ -106,7 +125,7 @@ def test_only_group_totals_meet_in_one_partition(numbers, monkeypatch):
     import ratewright.functions.ordered as ordered
 
     monkeypatch.setattr(
-        dia, "order_buckets", lambda df, v, k, c: ordered.order_buckets(df, v, k, cuts=16, window_rows=1)
+        dia, "order_buckets", lambda df, v, k, c: ordered.order_buckets(df, v, k, cuts=16)
     )
     df = numbers.withColumns({"y": F.col("wild"), "w": F.lit(1.0)})
     plan = explained(lorenz(df, "tied", "y", "w", "k"), "simple")

@@ -40,6 +40,20 @@ def test_frozen_datasets(study, sf_dir, spark):
     assert FeaturePlan.from_json(record["description"]) == plan
 
 
+def test_freezing_again_changes_nothing(study, sf_dir, spark):
+    store, _ = study
+    kinds = ("feature_views", "datasets")
+    before = {k: sorted(map(repr, store.records(k).collect())) for k in kinds}
+    stored = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(store.root)
+    files = sorted((r["path"], r["modificationTime"]) for r in stored.select("path", "modificationTime").collect())
+    half = policy_freq(spark, sf_dir).where("POLICY_ID % 2 = 0")
+    with pytest.raises(AlreadyExists):
+        freeze_study(store, half, policy_sev(spark, sf_dir), spec=SPEC)
+    assert {k: sorted(map(repr, store.records(k).collect())) for k in kinds} == before
+    stored = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(store.root)
+    assert sorted((r["path"], r["modificationTime"]) for r in stored.select("path", "modificationTime").collect()) == files
+
+
 def test_training_scoring_and_comparison(study):
     store, _ = study
     glm = train_and_register(store, "GLM", "glm_1", "1", lambda df, f: mdl.fit_glm(df, f, alpha=0.5))

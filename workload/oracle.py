@@ -460,6 +460,15 @@ ORACLE: dict[str, str] = {
         """SELECT POLICY_ID, P AS PREDICTION, RANK, round(CE / TE, 6) AS CUM_EXPOSURE, round(CC / TC, 6) AS CUM_CLAIMS
         FROM curve WHERE MODEL = 'score'""",
     ),
+    "lorenz_clustered_ties": sql(
+        "scored",
+        """SELECT POLICY_ID, S AS PREDICTION, row_number() OVER w AS RANK,
+          round(sum(EXPOSURE) OVER w / sum(EXPOSURE) OVER (), 6) AS CUM_EXPOSURE,
+          round(sum(PURE_PREMIUM * EXPOSURE) OVER w / sum(PURE_PREMIUM * EXPOSURE) OVER (), 6) AS CUM_CLAIMS
+        FROM (SELECT *, CASE WHEN POLICY_ID * 10 <= (SELECT max(POLICY_ID) FROM scored) THEN 300.0::DOUBLE ELSE SCORE END
+          AS S FROM scored)
+        WINDOW w AS (ORDER BY S, POLICY_ID ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
+    ),
     "lorenz_display": sql(
         "curve",
         """SELECT POINT, round(max(CE / TE), 6) AS CUM_EXPOSURE, round(arg_max(CC / TC, RANK), 6) AS CUM_CLAIMS,

@@ -460,6 +460,15 @@ def lorenz_points(spark, sf_dir):
     return rounded(dia.lorenz(scored(spark, sf_dir), "SCORE"), CUM_EXPOSURE=6, CUM_CLAIMS=6)
 
 
+@query
+def lorenz_clustered_ties(spark, sf_dir):
+    """A score tied on the tenth of policies with the lowest keys, as a batch of new business."""
+    df = scored(spark, sf_dir)
+    highest = df.agg(F.max("POLICY_ID")).first()[0]
+    tied = df.withColumn("SCORE", F.when(F.col("POLICY_ID") * 10 <= highest, 300.0).otherwise(F.col("SCORE")))
+    return rounded(dia.lorenz(tied, "SCORE"), CUM_EXPOSURE=6, CUM_CLAIMS=6)
+
+
 @query
 def lorenz_display(spark, sf_dir):
     points = dia.lorenz_display(dia.lorenz(scored(spark, sf_dir), "DENSITY"), 50)
@@ -764,7 +773,8 @@ def table_counts(spark, sf_dir):
 @query
 def table_sizes(spark, sf_dir):
     """Files and bytes per table; file paths are not known to SQL."""
-    return dic.table_sizes(all_tables(spark, sf_dir)).drop("LAST_ALTERED")
+    paths = {("testdata", name): f"{sf_dir}/{name}.parquet" for name in TABLES}
+    return dic.table_sizes(spark, paths).drop("LAST_ALTERED")
 
 
 @query
