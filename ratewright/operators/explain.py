@@ -182,6 +182,16 @@ def top_factors(explained: DataFrame, k: int = 5, keep: Sequence[str] = ("POLICY
     return ranked.select(*keep, (F.col("pos") + 1).alias("RANK"), "col.FEATURE", "col.CONTRIBUTION")
 
 
+def explain_policy(
+    fit: Fit, df: DataFrame, policy, key: str = "POLICY_ID", background: DataFrame | None = None
+) -> DataFrame:
+    """(key, RANK, FEATURE, CONTRIBUTION) of the policy picked by its key, every feature, largest first. The
+    key filter comes before the attribution, so no other row is explained; the mean contributions of a GLM are
+    measured against are those of ``background`` (default: ``df``). No row where no policy has the key."""
+    picked = explain(fit, df.where(F.col(key) == F.lit(policy)), df if background is None else background, keep=[key])
+    return top_factors(picked, len(fit.features), keep=[key])
+
+
 def global_importance(explained: DataFrame) -> DataFrame:
     """(FEATURE, IMPORTANCE): mean absolute contribution; one aggregate row, then turned."""
     columns = explanation_columns(explained.columns)

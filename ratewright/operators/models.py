@@ -189,7 +189,9 @@ def fit_glm(
         model, params = _fit_tweedie(design, alpha, power, max_iter, tol, refits)
     hidden = [stage.getOutputCol() for stage in design.stages] + ["glm_mean"]
     pipeline = PipelineModel([*design.stages, model, _finish(f"glm_mean * {design.mean!r}D", hidden)])
-    params = {"alpha": alpha, "power": power, "max_iter": max_iter, "active": design.active, **params}
+    params = {
+        "alpha": alpha, "power": power, "max_iter": max_iter, "collapse": collapse, "active": design.active, **params
+    }
     return Fit(pipeline, "glm", features, params)
 
 

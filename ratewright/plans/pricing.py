@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ratewright.functions.columns import key_slot
 from ratewright.operators.diagnostics import PREDICTED, gini, metrics, write_exhibits
 from ratewright.operators.features import FeaturePlan, FeatureSpec, feature_columns
-from ratewright.operators.models import Fit
+from ratewright.operators.models import Fit, cross_validate, cv_summary, evaluation_curve
 from ratewright.operators.policy import Caps, add_targets, prepare_policies
 from ratewright.sources.store import AlreadyExists, PricingStore, stamp
 from ratewright.storage import spread
@@ -92,9 +92,14 @@ def train_and_register(
     version: str,
     fit: Callable[[DataFrame, Sequence[str]], Fit],
     names: Names = Names(),
+    folds: int = 5,
 ) -> dict[str, float]:
     """Fit on the frozen training rows, judge on the frozen validation rows, save the exhibits, log
-    the run and register the model. Validation rows are scored once and kept as a table."""
+    the run and register the model. Validation rows are scored once and kept as a table.
+
+    A Tweedie GLM is also cross-validated on the training rows (``cv_rmse_mean``, ``cv_rmse_std``; not with
+    ``folds`` of 1 or less); of boosted trees the validation loss of every round is logged (``val_loss``).
+    """
     train = spread(store.load_dataset(names.training, version))
     validation = store.load_dataset(names.validation, version)
     fitted = fit(train, feature_columns(train.columns))
@@ -105,7 +110,15 @@ def train_and_register(
     errors = metrics(scored, {model: PREDICTED}).first()
     values = {"val_rmse": errors["RMSE"], "val_mae": errors["MAE"], "val_rmse_weighted": errors["RMSE_WEIGHTED"]}
     values["val_gini"] = gini(scored, {model: PREDICTED}).first()["GINI"]
+    if fitted.kind == "glm" and folds > 1:
+        settings = {k: fitted.params[k] for k in ("power", "collapse")}
+        by_fold = cross_validate(train, fitted.features, folds, [fitted.params["alpha"]], **settings)
+        summary = cv_summary(by_fold).first()
+        values |= {"cv_rmse_mean": summary["CV_RMSE_MEAN"], "cv_rmse_std": summary["CV_RMSE_STD"]}
     store.log_metrics(names.experiment, run, values)
+    if fitted.kind == "gbt":
+        losses = evaluation_curve(fitted, validation).withColumnRenamed("LOSS", "val_loss")
+        store.log_metric_table(names.experiment, losses, F.lit(run), ["val_loss"], step="ROUND")
     exhibits = write_exhibits(scored, model, f"{run_path}/exhibits")
     store.log_artifacts(names.experiment, run, list(exhibits.values()))
     store.register_model(
@@ -129,3 +142,18 @@ def score_portfolio(
     """Score the frozen validation features with the model's default version into ``path``."""
     features = store.load_dataset(names.validation, version, only_features=True)
     return store.score_batch(store.get_model(model), features, path)
+
+
+def score_policies(
+    store: PricingStore, model: str, policies: DataFrame, path: str, version: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Score raw policies with a model version (or the default) through the feature plan it was trained with.
+
+    Returns the stored scores (POLICY_ID, features, prediction) and the stored input report: missing values,
+    unseen levels and values out of range by column. Absent and mistyped columns are refused.
+    """
+    plan = store.feature_plan(model, version)
+    plan.check_input(policies).write.mode("overwrite").parquet(f"{path}/input_check")
+    features = plan.transform(policies, lead=["POLICY_ID"])
+    scores = store.score_batch(store.get_model(model, version), features, f"{path}/scores")
+    return scores, store.spark.read.parquet(f"{path}/input_check")

@@ -13,8 +13,10 @@ from datetime import datetime, timezone
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ratewright.functions.columns import as_column
+from ratewright.operators.features import FeaturePlan
 from ratewright.operators.models import Fit
 
 RECORDS = {
@@ -270,18 +272,35 @@ class PricingStore:
 
     def get_model(self, model: str, version: str | None = None) -> Fit:
         """A registered version, or the model's default."""
+        record = self._model_record(model, version)
+        return Fit.load(record["path"], record["description"])
+
+    def _model_record(self, model: str, version: str | None):
         rows = self.model_versions().where(F.col("model") == model)
         rows = rows.where("is_default") if version is None else rows.where(F.col("version") == version)
         record = rows.first()
         if record is None:
             raise KeyError(f"no model {model} version {version or '(default)'}")
-        return Fit.load(record["path"], record["description"])
+        return record
+
+    def feature_plan(self, model: str, version: str | None = None) -> FeaturePlan:
+        """The fitted plan behind the dataset that a model version (or the default) was trained on."""
+        record = self._model_record(model, version)
+        dataset = self._one("datasets", name=record["dataset"], version=record["dataset_version"])
+        if dataset is None:
+            raise KeyError(f"model {model} names no dataset")
+        view = self._one("feature_views", name=dataset["feature_view"], version=dataset["feature_view_version"])
+        return FeaturePlan.from_json(view["description"])
 
     def score_batch(self, fit: Fit, features: DataFrame, path: str) -> DataFrame:
-        """Score a frame of features, replace the Parquet table at ``path`` and return its scan."""
+        """Score a frame of features, replace the Parquet table at ``path`` and return its scan. A frame without
+        a feature of the model, or with one that is not a number, is refused before anything is written."""
         absent = [f for f in fit.features if f not in features.columns]
         if absent:
             raise ValueError(f"input lacks model features: {', '.join(absent)}")
+        mistyped = [f for f in fit.features if not isinstance(features.schema[f].dataType, T.NumericType)]
+        if mistyped:
+            raise ValueError(f"not numeric: {', '.join(mistyped)}")
         fit.predict(features).write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 

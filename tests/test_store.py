@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from ratewright.operators import models as mdl
 from ratewright.operators.diagnostics import PREDICTED
 from ratewright.operators.features import FeaturePlan, FeatureSpec
-from ratewright.plans.pricing import Names, freeze_study, score_portfolio, train_and_register
+from ratewright.plans.pricing import Names, freeze_study, score_policies, score_portfolio, train_and_register
 from ratewright.sources.adapter import policy_freq, policy_sev
 from ratewright.sources.store import AlreadyExists, PricingStore, spine_join
 from ratewright.storage import scratch_path, shared_dir, spread
@@ -56,7 +56,7 @@ def test_freezing_again_changes_nothing(study, sf_dir, spark):
 
 def test_training_scoring_and_comparison(study):
     store, _ = study
-    glm = train_and_register(store, "GLM", "glm_1", "1", lambda df, f: mdl.fit_glm(df, f, alpha=0.5))
+    glm = train_and_register(store, "GLM", "glm_1", "1", lambda df, f: mdl.fit_glm(df, f, alpha=0.5), folds=2)
     gbt = train_and_register(store, "GBT", "gbt_1", "1", lambda df, f: mdl.fit_gbt(df, f, rounds=2))
     assert glm["val_rmse"] > 0 and gbt["val_rmse"] > 0
     runs = {r["run"]: r for r in store.compare_runs(Names.experiment, ["val_rmse", "val_gini"]).collect()}
@@ -81,6 +81,36 @@ def test_training_scoring_and_comparison(study):
     assert gap.where(F.col("p") != F.col(PREDICTED)).count() == 0
     with pytest.raises(ValueError, match="lacks"):
         store.score_batch(store.get_model("GLM"), validation.select("POLICY_ID"), path)
+    fit = store.get_model("GLM")
+    with pytest.raises(ValueError, match=f"not numeric: {fit.features[0]}"):
+        store.score_batch(fit, validation.withColumn(fit.features[0], F.col(fit.features[0]).cast("string")), path)
+
+    # cross-validation of the GLM and the losses of every boosting round are in the run log
+    logged = store.records("run_metrics")
+    cv = mdl.cross_validate(store.load_dataset(Names.training, "1"), fit.features, 2, [0.5])
+    assert glm["cv_rmse_mean"] == pytest.approx(mdl.cv_summary(cv).first()["CV_RMSE_MEAN"])
+    assert "cv_rmse_mean" not in gbt
+    steps = {r["step"]: r["value"] for r in logged.where("run = 'gbt_1' AND metric = 'val_loss'").collect()}
+    assert sorted(steps) == [1, 2] and all(v > 0 for v in steps.values())
+    once = train_and_register(store, "GLM", "glm_2", "1", lambda df, f: mdl.fit_glm(df, f, alpha=0.5), folds=1)
+    assert not [k for k in once if k.startswith("cv_")]
+
+
+def test_raw_policies_are_scored_through_the_stored_plan(study, sf_dir, spark):
+    store, plan = study
+    train_and_register(store, "RAW", "raw_1", "1", lambda df, f: mdl.fit_glm(df, f, alpha=0.5), folds=0)
+    policies = policy_freq(spark, sf_dir)
+    scores, check = score_policies(store, "RAW", policies, f"{store.root}/raw")
+    frozen = store.score_batch(store.get_model("RAW"), store.load_dataset(Names.validation, "1", True), f"{store.root}/f")
+    both = frozen.select("POLICY_ID", F.col(PREDICTED).alias("p")).join(scores, "POLICY_ID")
+    assert scores.count() == policies.count() and both.count() == frozen.count()
+    assert both.where(F.abs(F.col("p") - F.col(PREDICTED)) > 1e-9 * F.col("p")).count() == 0
+    assert {r["COLUMN_NAME"] for r in check.collect()} == {*plan.spec.imputed, *plan.spec.categorical}
+    new = policies.withColumn("OCCUPANCY_TYPE", F.lit("Houseboat"))
+    _, check = score_policies(store, "RAW", new, f"{store.root}/raw_new")
+    assert {r["COLUMN_NAME"]: r["UNSEEN_LEVELS"] for r in check.collect()}["OCCUPANCY_TYPE"] == policies.count()
+    with pytest.raises(ValueError, match="missing input"):
+        score_policies(store, "RAW", policies.drop("OCCUPANCY_TYPE"), f"{store.root}/raw_bad")
 
 
 def test_versions_and_defaults(store, policies):

@@ -214,6 +214,23 @@ _LIFT_OUT = (
     "SELECT MODEL, DECILE, round(PREDICTED, 4) AS PREDICTED, round(OBSERVED, 4) AS OBSERVED, round(EXPOSURE, 6) AS EXPOSURE"
 )
 _SCORE_AREA = "round({0}, 9) AS AUC, round(1 - 2 * {0}, 9) AS GINI"
+_OBSERVED_AREA = """
+    SELECT sum(CASE WHEN RANK = 1 THEN 0 ELSE DE / TE * (CC - DC / 2) / TC END) AS AUC FROM (
+      SELECT row_number() OVER w AS RANK, EXPOSURE AS DE, PURE_PREMIUM * EXPOSURE AS DC,
+        sum(EXPOSURE) OVER () AS TE, sum(PURE_PREMIUM * EXPOSURE) OVER () AS TC,
+        sum(PURE_PREMIUM * EXPOSURE) OVER w AS CC
+      FROM scored
+      WINDOW w AS (ORDER BY PURE_PREMIUM, POLICY_ID ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
+
+
+def _measures(exhibit: str, point: str, table: str, **digits: int) -> str:
+    return _union(
+        f"SELECT '{exhibit}' AS EXHIBIT, MODEL, {point} AS POINT, '{m}' AS MEASURE, round({m}, {n}) AS VALUE "
+        f"FROM {table} WHERE MODEL = 'score'"
+        for m, n in digits.items()
+    )
+
+
 _DECILE_LIST = "[0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]"
 _TABLE_LIST = ", ".join(f"'{t}'" for t in TABLES)
 _COUNTS = _union(f"SELECT '{t}' AS TABLE_NAME, count(*) AS ROW_COUNT FROM {t}" for t in TABLES)
@@ -480,13 +497,7 @@ ORACLE: dict[str, str] = {
     "lorenz_gini_from_origin": sql("area", f"SELECT MODEL, {_SCORE_AREA.format('FULL_AUC')} FROM area"),
     "oracle_gini": sql(
         "scored",
-        f"""SELECT 'oracle' AS MODEL, {_SCORE_AREA.format('AUC')} FROM (
-          SELECT sum(CASE WHEN RANK = 1 THEN 0 ELSE DE / TE * (CC - DC / 2) / TC END) AS AUC FROM (
-            SELECT row_number() OVER w AS RANK, EXPOSURE AS DE, PURE_PREMIUM * EXPOSURE AS DC,
-              sum(EXPOSURE) OVER () AS TE, sum(PURE_PREMIUM * EXPOSURE) OVER () AS TC,
-              sum(PURE_PREMIUM * EXPOSURE) OVER w AS CC
-            FROM scored
-            WINDOW w AS (ORDER BY PURE_PREMIUM, POLICY_ID ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)))""",
+        f"SELECT 'oracle' AS MODEL, {_SCORE_AREA.format('AUC')} FROM ({_OBSERVED_AREA})",
     ),
     "model_comparison": sql(
         ["errors", "area", "lift"],
@@ -506,7 +517,21 @@ ORACLE: dict[str, str] = {
             for c in (*LEVELS, *IMPUTED)
         ),
     ),
-    "diagnostic_bundle": sql("lift", f"{_LIFT_OUT} FROM lift WHERE MODEL = 'score'"),
+    "diagnostic_bundle": sql(
+        ["lift", "area", "errors"],
+        _measures("double_lift", "DECILE", "lift", PREDICTED=4, OBSERVED=4, EXPOSURE=6)
+        + f"""
+        UNION ALL SELECT 'double_lift', MODEL, DECILE, 'GAP', round(PREDICTED - OBSERVED, 4) FROM lift WHERE MODEL = 'score'
+        UNION ALL SELECT 'double_lift', MODEL, DECILE, 'RATIO', round(PREDICTED / OBSERVED, 6) FROM lift WHERE MODEL = 'score'
+        UNION ALL SELECT 'lorenz', 'score', POINT, unnest(['CUM_EXPOSURE', 'CUM_CLAIMS', 'RANDOM']),
+          round(unnest([max(CE / TE), arg_max(CC / TC, RANK), max(CE / TE)]), 6)
+        FROM (SELECT *, CAST(least(floor(CE / TE * 200), 199) AS INT) AS POINT FROM curve WHERE MODEL = 'score')
+        GROUP BY POINT
+        UNION ALL SELECT 'gini', MODEL, 0, unnest(['AUC', 'GINI']), round(unnest([AUC, 1 - 2 * AUC]), 9)
+        FROM (SELECT MODEL, AUC FROM area WHERE MODEL = 'score' UNION ALL SELECT 'oracle', AUC FROM ({_OBSERVED_AREA}))
+        UNION ALL """
+        + _measures("metrics", "0", "errors", RMSE=4, MAE=4, RMSE_WEIGHTED=4, MAE_WEIGHTED=4),
+    ),
     "glm_contributions": sql(
         "contributions",
         "SELECT POLICY_ID, round((SELECT max(BASE) + sum(BETA * SHARE) FROM betas), 5) AS BASELINE, "
@@ -525,6 +550,32 @@ ORACLE: dict[str, str] = {
     "global_importance": sql(
         "contributions", "SELECT FEATURE, round(avg(abs(PHI)), 5) AS IMPORTANCE FROM contributions GROUP BY FEATURE"
     ),
+    "explain_policy": sql(
+        "contributions",
+        """SELECT POLICY_ID, CAST(row_number() OVER (ORDER BY abs(PHI) DESC, FEATURE) AS INT) AS RANK, FEATURE,
+          round(PHI, 5) AS CONTRIBUTION
+        FROM contributions WHERE POLICY_ID = (SELECT max(POLICY_ID) FROM scored)""",
+    ),
+    "training_run_log": sql(
+        "level_means",
+        """SELECT 'glm_1' AS run, v.*, c.* FROM (
+          SELECT round(sqrt(avg((s.PURE_PREMIUM - l.TRAIN_M) * (s.PURE_PREMIUM - l.TRAIN_M))), 3) AS val_rmse,
+            round(avg(abs(s.PURE_PREMIUM - l.TRAIN_M)), 3) AS val_mae
+          FROM scored s JOIN level_means l ON l.TERRITORY_CODE = s.TERRITORY_CODE WHERE NOT s.IS_TRAIN) v,
+        (SELECT round(avg(E), 3) AS cv_rmse_mean, round(stddev_pop(E), 3) AS cv_rmse_std FROM (
+          SELECT sqrt(sum(h.EXPOSURE * (h.PURE_PREMIUM - t.M) * (h.PURE_PREMIUM - t.M)) / sum(h.EXPOSURE)) AS E
+          FROM scored h
+          JOIN (SELECT f.FOLD, s.TERRITORY_CODE, sum(s.CLAIM_AMOUNT) / sum(s.EXPOSURE) AS M
+                FROM (SELECT DISTINCT FOLD FROM scored) f JOIN scored s ON s.FOLD <> f.FOLD
+                WHERE s.IS_TRAIN GROUP BY f.FOLD, s.TERRITORY_CODE) t
+            ON t.FOLD = h.FOLD AND t.TERRITORY_CODE = h.TERRITORY_CODE
+          WHERE h.IS_TRAIN GROUP BY h.FOLD)) c""",
+    ),
+    "score_new_policies": sql(
+        "level_means",
+        """SELECT s.POLICY_ID, round(l.TRAIN_M, 3) AS PREDICTED_PURE_PREMIUM
+        FROM scored s JOIN level_means l ON l.TERRITORY_CODE = s.TERRITORY_CODE""",
+    ),
     "tree_attributions": sql(
         "scored",
         """SELECT s.POLICY_ID, round(t.M, 2) AS BASELINE, round(a.M - t.M, 2) AS AGE_explanation
@@ -537,10 +588,14 @@ ORACLE: dict[str, str] = {
     "run_comparison": sql("errors", "SELECT MODEL AS run, round(RMSE, 4) AS RMSE, round(MAE, 4) AS MAE FROM errors"),
     "model_versions": sql(
         "level_means",
-        """SELECT 'TWEEDIE_GLM' AS model, unnest(['v1', 'v2']) AS version, unnest([true, false]) AS is_default,
-          round(E, 3) AS val_rmse FROM (
-          SELECT sqrt(avg((s.PURE_PREMIUM - l.TRAIN_M) * (s.PURE_PREMIUM - l.TRAIN_M))) AS E
-          FROM scored s JOIN level_means l ON l.TERRITORY_CODE = s.TERRITORY_CODE WHERE NOT s.IS_TRAIN)""",
+        f"""SELECT 'TWEEDIE_GLM' AS model, 'v1' AS version, true AS is_default,
+          round(sqrt(avg((s.PURE_PREMIUM - l.TRAIN_M) * (s.PURE_PREMIUM - l.TRAIN_M))), 3) AS val_rmse
+        FROM scored s JOIN level_means l ON l.TERRITORY_CODE = s.TERRITORY_CODE WHERE NOT s.IS_TRAIN
+        UNION ALL SELECT 'TWEEDIE_GLM', 'v2', false, round(sqrt(avg((s.PURE_PREMIUM - h.M) * (s.PURE_PREMIUM - h.M))), 3)
+        FROM scored s JOIN (
+          SELECT TERRITORY_CODE = '{TERRITORIES[1]}' AS ONE, sum(CLAIM_AMOUNT) / sum(EXPOSURE) AS M
+          FROM scored WHERE IS_TRAIN GROUP BY 1) h ON h.ONE = (s.TERRITORY_CODE = '{TERRITORIES[1]}')
+        WHERE NOT s.IS_TRAIN""",
     ),
     "xml_policy_roundtrip": sql("home_policy_freq", f"SELECT {FEED_COLUMNS} FROM home_policy_freq"),
     "xml_variant_landing": sql("home_policy_freq", f"SELECT {FEED_COLUMNS} FROM home_policy_freq"),
@@ -586,7 +641,11 @@ ORACLE: dict[str, str] = {
         SELECT c.TABLE_NAME, CAST(c.ORDINAL_POSITION AS INT) AS ORDINAL_POSITION, c.COLUMN_NAME, c.DATA_TYPE,
           p.MAX_LENGTH, p.NULL_COUNT
         FROM cols c JOIN profiles p ON p.TABLE_NAME = c.TABLE_NAME AND p.COLUMN_NAME = c.COLUMN_NAME""",
-    "data_dictionary": _DICTIONARY + "SELECT * FROM dictionary",
+    "data_dictionary": _DICTIONARY
+    + f""", profiles AS ({_PROFILES})
+    SELECT 'testdata' AS TABLE_SCHEMA, 'BASE TABLE' AS TABLE_TYPE, d.*, 'YES' AS IS_NULLABLE, p.MAX_LENGTH,
+      NULL::INT AS NUMERIC_PRECISION, NULL::INT AS NUMERIC_SCALE, NULL::VARCHAR AS COLUMN_DEFAULT
+    FROM dictionary d JOIN profiles p ON p.TABLE_NAME = d.TABLE_NAME AND p.COLUMN_NAME = d.COLUMN_NAME""",
     "dictionary_one_table": _DICTIONARY
     + "SELECT * EXCLUDE (TABLE_DESCRIPTION) FROM dictionary WHERE TABLE_NAME = 'orders'",
     "undocumented_columns": _DICTIONARY

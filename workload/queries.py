@@ -16,7 +16,7 @@ from ratewright.operators import models as mdl
 from ratewright.operators import policy as pol
 from ratewright.operators import splits as spl
 from ratewright.operators.features import DECILES, FeaturePlan, FeatureSpec, feature_columns, level_table
-from ratewright.plans.pricing import Names, burning_cost, freeze_study
+from ratewright.plans.pricing import Names, burning_cost, freeze_study, score_policies, train_and_register
 from ratewright.sources import feeds
 from ratewright.sources.adapter import policy_freq, policy_sev, read_table, sample_score
 from ratewright.sources.store import PricingStore, entity_check, spine_join
@@ -361,14 +361,9 @@ def cv_mean_and_std(spark, sf_dir):
 
 @query
 def alpha_grid(spark, sf_dir):
-    """Regularisation strengths compared by cross-validated error on rating cells."""
-    df = pol.add_targets(stored(spark, sf_dir))
-    factors = ("TERRITORY_CODE", "CONSTRUCTION_TYPE", "OCCUPANCY_TYPE")
-    spec = FeatureSpec(categorical=factors, binned=(), numeric=(), log_scaled=())
-    plan = FeaturePlan.fit(df, spec, cache=False)
-    design = plan.transform(df, lead=["POLICY_ID", "PURE_PREMIUM", "EXPOSURE"])
-    folds = mdl.cross_validate(design, plan.names, k=3, alphas=[0.1, 0.5], collapse=True)
-    return mdl.cv_summary(folds)
+    """Regularisation strengths compared by cross-validated error, five folds and all features."""
+    df, features = full_design(spark, sf_dir)
+    return mdl.cv_summary(mdl.cross_validate(df, features, k=5, alphas=[0.1, 0.5]))
 
 
 @query
@@ -512,11 +507,23 @@ def distinct_counts(spark, sf_dir):
 
 @query
 def diagnostic_bundle(spark, sf_dir):
-    """The saved exhibits of one model, read back: its lift table."""
+    """The saved exhibits of one model, all four read back, a row per point and measure."""
     df = scored(spark, sf_dir).withColumn(dia.PREDICTED, F.col("SCORE"))
     paths = dia.write_exhibits(df, "score", scratch_path(spark, "exhibits"))
-    lift = spark.read.parquet(paths["double_lift"]).select("MODEL", "DECILE", "PREDICTED", "OBSERVED", "EXPOSURE")
-    return rounded(lift, PREDICTED=4, OBSERVED=4, EXPOSURE=6)
+    parts = []
+    for name, point, digits in (
+        ("double_lift", F.col("DECILE"), {"PREDICTED": 4, "OBSERVED": 4, "EXPOSURE": 6, "GAP": 4, "RATIO": 6}),
+        ("lorenz", F.col("POINT"), {"CUM_EXPOSURE": 6, "CUM_CLAIMS": 6, "RANDOM": 6}),
+        ("gini", F.lit(0), {"AUC": 9, "GINI": 9}),
+        ("metrics", F.lit(0), {"RMSE": 4, "MAE": 4, "RMSE_WEIGHTED": 4, "MAE_WEIGHTED": 4}),
+    ):
+        values = [F.struct(F.lit(m).alias("MEASURE"), F.round(m, n).alias("VALUE")) for m, n in digits.items()]
+        parts.append(
+            spark.read.parquet(paths[name]).select(
+                F.lit(name).alias("EXHIBIT"), "MODEL", point.cast("int").alias("POINT"), F.inline(F.array(*values))
+            )
+        )
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
 
 
 @query
@@ -561,6 +568,15 @@ def global_importance(spark, sf_dir):
     return rounded(exp.global_importance(territory_explained(spark, sf_dir)), IMPORTANCE=5)
 
 
+@query
+def explain_policy(spark, sf_dir):
+    """The contributions of one policy picked by its key, the highest, largest first."""
+    df, features = territory_design(spark, sf_dir)
+    fit = mdl.fit_glm(df, features, alpha=0.0, collapse=True)
+    highest = df.agg(F.max("POLICY_ID")).first()[0]
+    return rounded(exp.explain_policy(fit, df, highest), CONTRIBUTION=5)
+
+
 @query
 def tree_attributions(spark, sf_dir):
     """Trees on one feature: its attribution is the prediction less the training mean."""
@@ -615,8 +631,8 @@ def registered(spark: SparkSession, sf_dir: str) -> tuple[PricingStore, DataFram
     store = PricingStore(spark, scratch_path(spark, "registry"))
     df, features = territory_design(spark, sf_dir)
     train, validation = train_validation(df)
-    for version, alpha in (("v1", 0.0), ("v2", 0.0)):
-        fit = mdl.fit_glm(train, features, alpha=alpha, collapse=True)
+    for version, used in (("v1", features), ("v2", features[:1])):
+        fit = mdl.fit_glm(train, used, alpha=0.0, collapse=True)
         errors = dia.metrics(fit.predict(validation)).first()
         store.register_model(
             fit, "TWEEDIE_GLM", version, {"val_rmse": errors["RMSE"]}, sample=train, make_default=version == "v1"
@@ -643,6 +659,31 @@ def batch_scores(spark, sf_dir):
     return rounded(scores.select("POLICY_ID", dia.PREDICTED), PREDICTED_PURE_PREMIUM=3)
 
 
+def trained(spark: SparkSession, sf_dir: str, folds: int) -> PricingStore:
+    """A one-factor study with its GLM trained and registered; the first level is the base."""
+    spec = FeatureSpec(categorical=("TERRITORY_CODE",), binned=(), numeric=(), log_scaled=())
+    store = study(spark, sf_dir, spec, exact=False)
+    fit = lambda df, features: mdl.fit_glm(df, features[1:], alpha=0.0, collapse=True)
+    train_and_register(store, "GLM", "glm_1", "1", fit, folds=folds)
+    return store
+
+
+@query
+def training_run_log(spark, sf_dir):
+    """Validation and cross-validation errors of a training run, read back from the run log."""
+    names = ["val_rmse", "val_mae", "cv_rmse_mean", "cv_rmse_std"]
+    found = trained(spark, sf_dir, folds=5).compare_runs(Names.experiment, names)
+    return rounded(found, **{n: 3 for n in names})
+
+
+@query
+def score_new_policies(spark, sf_dir):
+    """Raw policies scored by the default version through the feature plan it was trained with."""
+    store = trained(spark, sf_dir, folds=0)
+    scores, _ = score_policies(store, "GLM", policy_freq(spark, sf_dir), f"{store.root}/new")
+    return rounded(scores.select("POLICY_ID", dia.PREDICTED), PREDICTED_PURE_PREMIUM=3)
+
+
 # -- feeds -------------------------------------------------------------------------------------
 
 
@@ -790,9 +831,7 @@ def dictionary_columns(spark, sf_dir):
 
 @query
 def data_dictionary(spark, sf_dir):
-    return dictionary(spark, sf_dir).select(
-        "TABLE_NAME", "ROW_COUNT", "TABLE_DESCRIPTION", "COL_POSITION", "COLUMN_NAME", "DATA_TYPE", "COLUMN_DESCRIPTION"
-    )
+    return dictionary(spark, sf_dir)
 
 
 @query
