@@ -656,12 +656,16 @@ ORACLE: dict[str, str] = {
 }
 _VALIDATION = "scored s JOIN level_means l ON l.TERRITORY_CODE = s.TERRITORY_CODE"
 _GAP = "(s.PURE_PREMIUM - l.TRAIN_M)"
-ORACLE["glm_against_trees"] = sql(
-    "level_means",
-    f"""SELECT unnest(['GLM', 'GBM']) AS MODEL, round(sqrt(avg({_GAP} * {_GAP})), 3) AS RMSE,
-      round(avg(abs{_GAP}), 3) AS MAE, round(sqrt(sum(s.EXPOSURE * {_GAP} * {_GAP}) / sum(s.EXPOSURE)), 3) AS RMSE_WEIGHTED
-    FROM {_VALIDATION} WHERE NOT s.IS_TRAIN""",
-)
+ORACLE["glm_against_trees"] = sql("level_means", "") + f"""
+    , predictions AS (
+      SELECT unnest(['GLM', 'GBM']) AS MODEL, s.POLICY_ID, l.TRAIN_M AS P, s.PURE_PREMIUM AS Y, s.EXPOSURE AS W
+      FROM {_VALIDATION} WHERE NOT s.IS_TRAIN),
+    {", ".join(f"{n} AS ({CTES[n]})" for n in ("edges", "lift", "curve", "area", "errors"))}
+    SELECT e.MODEL, round(e.RMSE, 3) AS RMSE, round(e.MAE, 3) AS MAE, round(e.RMSE_WEIGHTED, 3) AS RMSE_WEIGHTED,
+      round(1 - 2 * a.AUC, 8) AS GINI, round(l.R, 6) AS LIFT_RATIO, round(l.G, 3) AS WORST_GAP
+    FROM errors e JOIN area a ON a.MODEL = e.MODEL
+    JOIN (SELECT MODEL, arg_max(OBSERVED, DECILE) / arg_min(OBSERVED, DECILE) AS R,
+            max(abs(PREDICTED - OBSERVED)) AS G FROM lift GROUP BY MODEL) l ON l.MODEL = e.MODEL"""
 ORACLE["boosting_run_log"] = sql(
     "level_means",
     f"""SELECT CASE WHEN s.IS_TRAIN THEN 'train' ELSE 'validation' END AS run,

@@ -416,7 +416,7 @@ def gbt_unweighted_one_way(spark, sf_dir):
 def gbt_predictions(spark, sf_dir):
     df, features = full_design(spark, sf_dir)
     train, validation = train_validation(df)
-    return mdl.fit_gbt(train, features, rounds=10).predict(validation).select("POLICY_ID", dia.PREDICTED)
+    return mdl.fit_gbt(train, features).predict(validation).select("POLICY_ID", dia.PREDICTED)
 
 
 @query
@@ -528,17 +528,18 @@ def diagnostic_bundle(spark, sf_dir):
 
 @query
 def glm_against_trees(spark, sf_dir):
-    """Both model families on the same validation rows; on one factor they agree with its means."""
+    """Both model families judged on the same validation rows; on one factor they agree with its means."""
     df, features = territory_design(spark, sf_dir)
     train, validation = train_validation(df)
     both = validation
     for name, fit in (
         ("GLM", mdl.fit_glm(train, features, alpha=0.0, collapse=True)),
-        ("GBM", mdl.fit_gbt(train, features, rounds=1)),
+        ("GBM", mdl.fit_gbt(train, features, rounds=5)),
     ):
         both = fit.predict(both).withColumnRenamed(dia.PREDICTED, name)
-    errors = dia.metrics(both, {"GLM": "GLM", "GBM": "GBM"}).select("MODEL", "RMSE", "MAE", "RMSE_WEIGHTED")
-    return rounded(errors, RMSE=3, MAE=3, RMSE_WEIGHTED=3)
+    judged = dia.compare_models(materialise(both, "judged"), {"GLM": "GLM", "GBM": "GBM"})
+    judged = judged.select("MODEL", "RMSE", "MAE", "RMSE_WEIGHTED", "GINI", "LIFT_RATIO", "WORST_GAP")
+    return rounded(judged, RMSE=3, MAE=3, RMSE_WEIGHTED=3, GINI=8, LIFT_RATIO=6, WORST_GAP=3)
 
 
 # -- explanations ------------------------------------------------------------------------------
