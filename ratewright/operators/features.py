@@ -182,6 +182,11 @@ class FeaturePlan:
             for level in self.levels[c]
         }
 
+    def factors(self) -> dict[str, list[str]]:
+        """The indicator columns of each binned and each categorical factor."""
+        binned = {c: [f"{c}_BIN_{b}" for b in range(len(cuts) + 1)] for c, cuts in self.boundaries.items()}
+        return binned | {c: [feature_name(c, level) for level in self.levels[c]] for c in self.spec.categorical}
+
     def log_features(self) -> dict[str, Column]:
         result = {}
         for c in self.spec.log_scaled:

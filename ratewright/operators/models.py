@@ -132,31 +132,23 @@ def _glm(design: _Design, vector: str, **settings) -> tuple:
     return model, scaled
 
 
-CELLS_PER_TASK = 20_000
-
-
 @contextmanager
 def _assembled(
     rows: DataFrame, features: Sequence[str], label: str, weight: str, vector: str, collapse: bool, by: Sequence[str] = ()
 ):
-    """Cached rows (by, vector, y, w[, SQUARES]) for the many passes of a fit. Collapsed cells are
-    brought together in as few partitions as their number calls for, so that iterations do not
-    run over the empty remains of a wide shuffle."""
-    cached = []
+    """Cached rows (by, vector, y, w, SQUARES) for the many passes of a fit. How many partitions collapsed
+    cells are left in is up to adaptive execution."""
+    if collapse:
+        rows = collapse_cells(rows, features, label, weight, by)
+    else:
+        rows = rows.withColumn("SQUARES", F.col(weight) * F.col(label) * F.col(label))
+    assembled = assembler(features).setOutputCol(vector).transform(rows)
+    assembled = assembled.select(*by, vector, F.col(label).alias("y"), F.col(weight).alias("w"), "SQUARES")
+    assembled = assembled.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if collapse:
-            cells = collapse_cells(rows, features, label, weight, by).persist(StorageLevel.MEMORY_AND_DISK)
-            cached.append(cells)
-            rows = cells.coalesce(cells.count() // CELLS_PER_TASK + 1)
-        else:
-            rows = rows.withColumn("SQUARES", F.col(weight) * F.col(label) * F.col(label))
-        assembled = assembler(features).setOutputCol(vector).transform(rows)
-        assembled = assembled.select(*by, vector, F.col(label).alias("y"), F.col(weight).alias("w"), "SQUARES")
-        cached.append(assembled.persist(StorageLevel.MEMORY_AND_DISK))
-        yield cached[-1]
+        yield assembled
     finally:
-        for df in cached:
-            df.unpersist()
+        assembled.unpersist()
 
 
 # -- Tweedie GLM -------------------------------------------------------------------------------

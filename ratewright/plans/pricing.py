@@ -16,7 +16,7 @@ from ratewright.functions.columns import key_slot
 from ratewright.operators.diagnostics import PREDICTED, gini, metrics, write_exhibits
 from ratewright.operators.features import FeaturePlan, FeatureSpec, feature_columns
 from ratewright.operators.models import Fit, cross_validate, cv_summary, evaluation_curve
-from ratewright.operators.policy import Caps, add_targets, prepare_policies
+from ratewright.operators.policy import Caps, add_targets, prepare_policies, segment_exposure
 from ratewright.sources.store import AlreadyExists, PricingStore, stamp
 from ratewright.storage import spread
 
@@ -31,17 +31,7 @@ class Names:
 
 def burning_cost(freq: DataFrame, sev: DataFrame, segment: str = "TERRITORY_CODE") -> DataFrame:
     """Exposure, claims and burning cost per segment, straight from the two source tables."""
-    return (
-        prepare_policies(freq, sev)
-        .groupBy(segment)
-        .agg(
-            F.count("*").alias("POLICIES"),
-            F.sum("EXPOSURE").alias("EXPOSURE"),
-            F.sum("CLAIM_COUNT").alias("CLAIM_COUNT"),
-            F.sum("CLAIM_AMOUNT").alias("CLAIM_AMOUNT"),
-        )
-        .withColumn("PURE_PREMIUM", F.try_divide("CLAIM_AMOUNT", "EXPOSURE"))
-    )
+    return segment_exposure(prepare_policies(freq, sev), [segment]).drop("IS_THIN")
 
 
 def freeze_study(

@@ -312,9 +312,14 @@ def territory_design(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[
 
 def full_design(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
     """Targets and the sketched feature matrix of the whole portfolio."""
+    df, plan = planned_design(spark, sf_dir)
+    return df, plan.names
+
+
+def planned_design(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, FeaturePlan]:
     df = pol.add_targets(spread(stored(spark, sf_dir)))
     plan = FeaturePlan.fit(df, SPEC, cache=False)
-    return plan.transform(df, lead=["POLICY_ID", "PURE_PREMIUM", "CLAIM_COUNT", "CLAIM_AMOUNT", "EXPOSURE"]), plan.names
+    return plan.transform(df, lead=["POLICY_ID", "PURE_PREMIUM", "CLAIM_COUNT", "CLAIM_AMOUNT", "EXPOSURE"]), plan
 
 
 def train_validation(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -378,10 +383,8 @@ def glm_relativities_one_way(spark, sf_dir):
 
 @query
 def glm_relativities(spark, sf_dir):
-    df, features = full_design(spark, sf_dir)
-    fit = mdl.fit_glm(df, features, alpha=0.1)
-    factors = {c: [f for f in features if f.startswith(f"{c}_")] for c in SPEC.categorical}
-    return mdl.relativities(fit, df, factors)
+    df, plan = planned_design(spark, sf_dir)
+    return mdl.relativities(mdl.fit_glm(df, plan.names, alpha=0.1), df, plan.factors())
 
 
 @query
