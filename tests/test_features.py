@@ -138,3 +138,11 @@ def test_scan_reads_only_what_is_needed(spark, sf_dir):
     assert lineitem and all("l_shipdate" not in s and "l_comment" not in s for s in lineitem)
     assert any("EqualTo(l_returnflag,R)" in s for s in lineitem)
     assert "CartesianProduct" not in plan
+
+
+def test_factors_list_their_own_indicators(policies):
+    spec = FeatureSpec(categorical=("TERRITORY_CODE",), binned=("PROPERTY_AGE",))
+    plan = FeaturePlan.fit(policies, spec, cache=False)
+    factors = plan.factors()
+    assert list(factors) == ["PROPERTY_AGE_CLEAN", "TERRITORY_CODE"]
+    assert sum(factors.values(), []) == [*plan.bin_indicators(), *plan.level_indicators()]
