@@ -203,15 +203,17 @@ def nodes(docs: DataFrame, order: Order, percent: int, size: int) -> DataFrame:
 
 
 def shared_tokens(held: DataFrame) -> DataFrame:
-    """node, n, ones (frequent tokens of the 1-prefix), token, kind (0 rare, 1 frequent, 2 frequent and only in the
-    2-prefix) of tokens that several nodes hold, with ``lead``, the most central of those nodes: that
-    with the most frequent tokens in its 1-prefix, hence the fewest of its own, and of these the smallest."""
+    """node, n, ones (frequent tokens of the 1-prefix), last (the last rare token of the 1-prefix), token, kind (0 rare,
+    1 frequent, 2 frequent and only in the 2-prefix), at (place among those of its kind) of tokens that several nodes
+    hold, with ``lead``, the most central of those nodes: that with the most frequent tokens in its 1-prefix, hence
+    the fewest of its own, and of these the smallest."""
 
     def entries(column: str, kind: int) -> Column:
-        return F.transform(column, lambda t: F.struct(t.alias("token"), F.lit(kind).alias("kind")))
+        return F.transform(column, lambda t, i: F.struct(t.alias("token"), F.lit(kind).alias("kind"), i.alias("at")))
 
     every = F.concat(*[entries(c, k) for k, c in enumerate(("rare", "one", "two"))])
-    index = held.select("node", "n", F.size("one").alias("ones"), F.inline(every))
+    last = F.try_element_at("rare", F.lit(-1)).alias("last")
+    index = held.select("node", "n", F.size("one").alias("ones"), last, F.inline(every))
     bucket = Window.partitionBy("token")
     central = F.max(F.struct(F.col("ones"), (-F.col("node")).alias("node"))).over(bucket)
     index = index.select(
@@ -301,27 +303,47 @@ def groups(links: DataFrame) -> DataFrame:
 def crossing(shared: DataFrame, grouped: DataFrame, percent: int) -> DataFrame:
     """a < b: the candidate pairs across groups, from buckets of a rare token or of two frequent ones.
 
-    ``alone`` counts tokens that a partner met in the bucket cannot share: rare ones of the 1-prefix that no other node
-    has, and where the first shared token is a frequent one, all rare ones. It tells how large a partner may be; where
-    a bucket has none so small, the node leaves it.
+    ``alone`` counts tokens of the 1-prefix that no partner met in the bucket shares. Where the first shared token is a
+    frequent one, those are all rare ones. Otherwise they are the rare ones in no other 1-prefix, but only as far as
+    the partner's own 1-prefix reaches, behind which it may hold them: all of them (``alone``) if it ends no
+    sooner, and in any case those before the bucket's token (``before``), which both hold. That tells how large a
+    partner may be; where a bucket has none so small, the node leaves it.
     """
-    held_rare = F.count(F.when(F.col("kind") == 0, 1))
-    own = shared.groupBy("node", "n", "ones").agg(held_rare.alias("met"))
-    held = shared.join(own.select("node", "met"), "node").join(grouped, "node", "left")
-    alone = first_tokens(F.col("n"), percent) - F.col("ones") - F.when(F.col("kind") == 0, F.col("met")).otherwise(0)
-    held = held.select("node", "n", "ones", alone.alias("alone"), "token", "kind", F.coalesce("grp", "node").alias("grp"))
+    # kind 0: the place among all rare tokens less that among those met elsewhere
+    along = Window.partitionBy("node", "kind").orderBy("at")
+    whole = Window.partitionBy("node", "kind")
+    held = shared.drop("lead").distinct().join(grouped, "node", "left")  # several tasks may have met a node
+    held = held.withColumns({"met": F.count("*").over(whole), "earlier": F.row_number().over(along) - 1})
+    rare_ones = first_tokens(F.col("n"), percent) - F.col("ones")
+    is_rare = F.col("kind") == 0
+    # where a 1-prefix ends, as far as rare tokens go; hashes are unsigned in the global order
+    end = F.struct((F.col("ones") > 0).alias("all"), (F.col("last") < 0).alias("high"), "last")
+    end = F.when(is_rare & (F.col("ones") == 0), end).otherwise(
+        F.struct(F.lit(True).alias("all"), F.lit(True).alias("high"), F.lit(0).cast("long").alias("last"))
+    )
+    held = held.select(
+        "node", "n", "ones", "token", "kind",
+        F.when(is_rare, rare_ones - F.col("met")).otherwise(rare_ones).alias("alone"),
+        F.when(is_rare, F.col("at") - F.col("earlier")).otherwise(rare_ones).alias("before"),
+        end.alias("end"), F.coalesce("grp", "node").alias("grp"),
+    )
 
     def fits(n: Column, alone: Column, m: Column) -> Column:
         return (100 + percent) * (n - alone) >= percent * (n + m)
 
+    def unshared(x: str, end: Column) -> Column:
+        """Tokens of the 1-prefix of x that a partner whose 1-prefix ends at ``end`` or later cannot share."""
+        return F.when(F.col(f"{x}end") <= end, F.col(f"{x}alone")).otherwise(F.col(f"{x}before"))
+
     def across(index: DataFrame, *keys: str) -> DataFrame:
         """Without the nodes too far off for any in their bucket, and buckets of one group."""
         bucket = Window.partitionBy(*keys)
-        near = index.withColumn("n0", F.min("n").over(bucket)).where(fits(F.col("n"), F.col("alone"), F.col("n0")))
+        near = index.withColumns({"n0": F.min("n").over(bucket), "end0": F.min("end").over(bucket)})
+        near = near.where(fits(F.col("n"), unshared("", F.col("end0")), F.col("n0")))
         near = near.select("*", F.min("grp").over(bucket).alias("g0"), F.max("grp").over(bucket).alias("g1"))
-        return near.where("g0 < g1").drop("g0", "g1", "n0")
+        return near.where("g0 < g1").drop("g0", "g1", "n0", "end0")
 
-    held = materialise(across(held, "token").distinct(), "crossing")
+    held = materialise(across(held, "token"), "crossing")
 
     def pairs(index: DataFrame, keys: list[str]) -> DataFrame:
         x, y = index.alias("x"), index.alias("y")
@@ -329,7 +351,8 @@ def crossing(shared: DataFrame, grouped: DataFrame, percent: int) -> DataFrame:
         for k in keys:
             meet &= F.col(f"x.{k}") == F.col(f"y.{k}")
         meet &= 100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")
-        meet &= fits(F.col("x.n"), F.col("x.alone"), F.col("y.n")) & fits(F.col("y.n"), F.col("y.alone"), F.col("x.n"))
+        meet &= fits(F.col("x.n"), unshared("x.", F.col("y.end")), F.col("y.n"))
+        meet &= fits(F.col("y.n"), unshared("y.", F.col("x.end")), F.col("x.n"))
         return x.join(y, meet).select(
             F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.n").alias("n"), F.col("y.n").alias("m"),
             F.least("x.ones", "y.ones").alias("ones"),
@@ -341,7 +364,7 @@ def crossing(shared: DataFrame, grouped: DataFrame, percent: int) -> DataFrame:
 
     # in the global order: hashes are unsigned there
     place = F.struct("kind", (F.col("token") < 0).alias("high"), "token")
-    often = held.where("kind > 0").groupBy("node", "n", "ones", "alone", "grp").agg(
+    often = held.where("kind > 0").groupBy("node", "n", "ones", "alone", "end", "grp").agg(
         F.sort_array(F.collect_list(place)).alias("t")  # as many as the prefix holds
     )
     often = often.withColumn("t", F.transform("t", lambda x, i: F.struct(x["kind"], x["token"], i.alias("at"))))
@@ -360,8 +383,8 @@ def crossing(shared: DataFrame, grouped: DataFrame, percent: int) -> DataFrame:
             ),
         )
 
-    double = often.select("node", "n", "ones", "grp", F.inline(F.flatten(F.transform("t", with_later))))
-    double = double.withColumnRenamed("before", "alone")
+    double = often.select("node", "n", "ones", "end", "grp", F.inline(F.flatten(F.transform("t", with_later))))
+    double = double.withColumn("alone", F.col("before"))
     double = materialise(across(double, "u", "v"), "combinations")
     return rare.select("a", "b").unionAll(pairs(double, ["u", "v"]).select("a", "b")).distinct()
 

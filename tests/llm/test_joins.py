@@ -81,6 +81,22 @@ def test_join_on_near_copies(make, monkeypatch, frequent):
     assert shown(jaccard.join(make(rows))) == plain_join(rows)
 
 
+def test_join_on_containment_chains(make):
+    """Each set inside the next, at a Jaccard of just 0.75 to 0.8: a shared token may lie behind the larger one's prefix."""
+    rng = random.Random(8)
+    texts = []
+    for g in range(60):
+        sizes = [rng.choice((57, 60, 76, 80))]
+        for _ in range(4):
+            share = rng.choice((75, 76, 80))
+            sizes.append(sizes[-1] * 100 // share)
+        word = [f"c{g}x{i}" for i in range(sizes[-1] + 4)]
+        texts += [" ".join(word[: n + 4]) for n in sizes]
+    rng.shuffle(texts)
+    rows = list(enumerate(texts))
+    assert shown(jaccard.join(make(rows))) == plain_join(rows)
+
+
 def test_join_with_a_bounded_order(make, monkeypatch):
     monkeypatch.setattr(jaccard, "FREQUENT", 1)
     monkeypatch.setattr(jaccard, "MOST_FREQUENT", 5)
