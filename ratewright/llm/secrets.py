@@ -1,8 +1,8 @@
 """Secrets: three plain patterns, and a token-efficiency test for random strings.
 
 A public byte-pair vocabulary packs words into long tokens and random characters into short ones. A run
-of key-like characters with few characters per token is taken for a secret, unless it is a known
-kind of digest or identifier.
+of key-like characters with few characters per token is taken for a secret, and so is any part of a longer run with
+a stretch like that, whatever words stand around it, unless it is a known kind of digest or identifier.
 """
 
 from __future__ import annotations
@@ -26,10 +26,18 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}+")  # shorter runs are no match, and runs are never cut
 
-RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}+")
+LEAST = 20  # characters of a random string
+RUN = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST},}}+")
+SEPARATORS = "=/_-"  # between the parts of a run; they say nothing about the stretch they stand in
+PART = re.compile(rf"[^{SEPARATORS}]+")
 MIXED = re.compile(r"(?=[^0-9]*+[0-9])(?=[^A-Za-z]*+[A-Za-z])")
 IDENTIFIER = re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}|[0-9A-Fa-f]+")
 DIGESTS = (32, 40, 56, 64, 96, 128)  # hex digits of the usual digests
+KNOWN = re.compile(
+    r"(?<![0-9A-Za-z])(?:[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}|"
+    + "|".join(f"[0-9A-Fa-f]{{{n}}}" for n in DIGESTS)
+    + r")(?![0-9A-Za-z])"
+)
 CHARS_PER_TOKEN = 2.2
 
 
@@ -57,9 +65,57 @@ def random_looking(value: str, path: str, most: float = CHARS_PER_TOKEN) -> bool
     return len(value) < most * len(encoder(path).encode_ordinary(value))
 
 
+def _windows(value: str, path: str, most: float) -> list[tuple[int, int]]:
+    """The parts of ``value`` between separators that a stretch of tokens with LEAST characters and few of them per
+    token touches, from the first to the last it touches. Separators count neither as characters nor as tokens."""
+    coder = encoder(path)
+    sizes = [len(coder.decode_single_token_bytes(t)) for t in coder.encode_ordinary(value)]
+    starts = [0]
+    for n in sizes:
+        starts.append(starts[-1] + n)
+    chars = [n - sum(value.count(c, a, a + n) for c in SEPARATORS) for a, n in zip(starts, sizes)]
+    parts = [m.span() for m in PART.finditer(value)]
+    found: list[tuple[int, int]] = []
+    end = held = tokens = k = 0  # the stretch from token i up to ``end``
+    for i, n in enumerate(chars):
+        while held < LEAST and end < len(chars):
+            held, tokens, end = held + chars[end], tokens + (chars[end] > 0), end + 1
+        if held < LEAST:
+            break
+        a, b = starts[i], starts[end]
+        if n and held < most * tokens and MIXED.match(value[a:b]):
+            while parts[k][1] <= a:
+                k += 1
+            last = k
+            while last + 1 < len(parts) and parts[last + 1][0] < b:
+                last += 1
+            a, b = parts[k][0], parts[last][1]
+            if found and a < found[-1][1]:
+                found[-1] = (found[-1][0], max(b, found[-1][1]))
+            else:
+                found.append((a, b))
+        held, tokens = held - n, tokens - (n > 0)
+    return found
+
+
+def random_stretches(run: str, path: str, most: float = CHARS_PER_TOKEN) -> list[tuple[int, int]]:
+    """(start, end) of what looks random in ``run``: all of it, or parts; digests and identifiers in it are left out."""
+    if not MIXED.match(run):
+        return []
+    found, at = [], 0
+    for a, b in [*(m.span() for m in KNOWN.finditer(run)), (len(run), len(run))]:
+        piece = run[at:a]
+        if len(piece) >= LEAST and MIXED.match(piece):
+            whole = random_looking(piece, path, most)
+            spans = [(0, len(piece))] if whole else _windows(piece, path, most)
+            found += [(at + x, at + y) for x, y in spans if not IDENTIFIER.fullmatch(piece, x, y) or y - x not in DIGESTS]
+        at = b
+    return found
+
+
 def find(text: str, path: str, most: float = CHARS_PER_TOKEN) -> list[tuple[str, int, int]]:
-    """(kind, start, end) by start, then kind as listed. A random string that touches a base span is
-    left to that span."""
+    """(kind, start, end) by start, then kind as listed. What a base span covers of a run is left to that span, the
+    rest of the run is looked at."""
     spans = [("assign", *m.span()) for m in ASSIGN.finditer(text) if len(m.group(2)) >= 6]
     if "AKIA" in text:
         spans += [("access", *m.span()) for m in ACCESS.finditer(text) if len(m.group()) >= 20]
@@ -68,10 +124,15 @@ def find(text: str, path: str, most: float = CHARS_PER_TOKEN) -> list[tuple[str,
     k, reach = 0, 0
     for m in RUN.finditer(text):
         a, b = m.span()
+        at = max(a, reach)
+        rest = []
         while k < len(base) and base[k][0] < b:
+            rest.append((at, base[k][0]))
             reach, k = max(reach, base[k][1]), k + 1
-        if reach <= a and random_looking(m.group(), path, most):
-            spans.append(("random", a, b))
+            at = max(at, reach)
+        for x, y in (*rest, (at, b)):
+            if y - x >= LEAST:
+                spans += [("random", x + c, x + d) for c, d in random_stretches(text[x:y], path, most)]
     return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0])))
 
 

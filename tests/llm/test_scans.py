@@ -96,6 +96,34 @@ def test_random_strings_and_known_identifiers():
     assert [s[0] for s in spans] == ["random", "assign"]
 
 
+LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+WORDS_IN_FRONT = [
+    "my_application_configuration_credentials=", "/var/lib/application/config/credentials/", "download/report/archive/user/",
+    "my_application_configuration_credentials_", "5d41402abc4b2a76b9719d911017c592/",
+]
+
+
+@pytest.mark.parametrize("front", WORDS_IN_FRONT)
+@pytest.mark.parametrize("size", [20, 32])
+def test_words_around_do_not_hide_a_secret(front, size):
+    rng, path = random.Random(size), secrets.vocabulary()
+    drawn = ["".join(rng.choices(LETTERS, k=size)) for _ in range(300)]
+    alone = sum(bool(secrets.find(s, path)) for s in drawn)
+    texts = [f"see {front}{s}/ordinary/words/behind it" for s in drawn]
+    left = sum(s in secrets.redacted(t, secrets.find(t, path), "#") for s, t in zip(drawn, texts))
+    assert 300 - left >= 0.97 * alone
+
+
+def test_ordinary_runs_have_no_secret():
+    path = secrets.vocabulary()
+    for run in (
+        "internationalization_of_words_2024", "/usr/local/lib/python3/dist-packages/numpy/core/tests", "blog/archive/entries/announcement/2019/07/03/v1-2-3_final",
+        "/wp-content/uploads/2019/07/img-01-02", "report/550e8400-e29b-41d4-a716-446655440000/download/file_1",
+        "checksum/sha256=D41D8CD98F00B204E9800998ECF8427ED41D8CD98F00B204E9800998ECF8427E",
+    ):
+        assert secrets.find(run, path) == [], run
+
+
 def test_long_runs_take_linear_time():
     for text in ("a" * 200_000 + "@", "1" * 100_000 + ".2", "1." * 60_000, "+1" + " " * 100_000, "a@" * 50_000):
         pii.find(text)
