@@ -7,6 +7,9 @@ alike as the share of subsets, among those either text uses, in which they agree
 
 The hash of a subset is the exclusive or of its terms' hashes. It depends on the set of terms alone, as the hash
 of a sorted list would, and sums up without a sort.
+
+A text puts few terms in each of many subsets, so that an edit changes the hashes of some and leaves the others,
+also where the text is long. Until they are printed, hashes are held for the subsets in use alone.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from ratewright.llm.text import WORD
 from ratewright.storage import materialise
 
 LOW, HIGH = 0.0005, 0.05  # shares of documents between which a term counts
-SUBSETS = 32
+SUBSETS = 1024
 EMPTY = "." * 8
 
 
@@ -99,12 +102,20 @@ def edited(text: Column, following: Column) -> Column:
 
 def likeness(a: Column, b: Column) -> Column:
     """The share of subsets, of those that either fingerprint uses, in which both agree; 1 if neither uses any."""
-    pairs = F.arrays_zip(a.alias("a"), b.alias("b"))
-    used = F.size(F.filter(pairs, lambda p: (p["a"] != EMPTY) | (p["b"] != EMPTY)))
-    same = F.size(F.filter(pairs, lambda p: (p["a"] == p["b"]) & (p["a"] != EMPTY)))
+    subset = lambda c: F.transform(c, lambda x: F.shiftright(x, 32))
+    used = F.size(a) + F.size(b) - F.size(F.array_intersect(subset(a), subset(b)))
+    same = F.size(F.array_intersect(a, b))
     return F.when(used == 0, F.lit(1.0)).otherwise(same / used)
 
 
+def printed(cells: Column, subsets: int) -> Column:
+    """Eight characters a subset, from sorted cells (subset, then the 32 bits of its hash)."""
+    subset = lambda at: F.coalesce(F.shiftright(F.get(cells, at), 32), F.lit(-1)).cast("int")
+    code = lambda x: F.lpad(F.lower(F.hex(x.bitwiseAND(F.lit(0xFFFFFFFF)))), 8, "0")
+    used = F.transform(cells, lambda x, i: F.concat(F.repeat(F.lit(EMPTY), subset(i) - subset(i - 1) - 1), code(x)))
+    return F.concat(F.array_join(used, ""), F.repeat(F.lit(EMPTY), subsets - 1 - subset(F.size(cells) - 1)))
+
+
 def fingerprints(docs: DataFrame, low: float = LOW, high: float = HIGH, subsets: int = SUBSETS) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, a row per row of
     ``docs``.
@@ -131,27 +142,18 @@ def fingerprints(docs: DataFrame, low: float = LOW, high: float = HIGH, subsets:
     joined = held.join(F.broadcast(known), "term", "left")
     keys = ["grp", "row", "ghost", "doc_id", "n_chars", "edited_sha256"]
     codes = joined.groupBy(*keys, "version", "subset").agg(F.expr("bit_xor(code)").alias("code"))
-    cell = lambda v: F.collect_list(
-        F.when((F.col("version") == v) & F.col("subset").isNotNull(), F.struct("subset", "code"))
-    )
-    listed = codes.groupBy(*keys).agg(cell(0).alias("c0"), cell(1).alias("c1"))
-
-    def printed(column: str) -> Column:
-        by_subset = F.map_from_entries(F.col(column))
-        slots = F.sequence(F.lit(0), F.lit(subsets - 1))
-        return F.transform(
-            slots, lambda k: F.coalesce(F.lpad(F.lower(F.hex(F.try_element_at(by_subset, k))), 8, "0"), F.lit(EMPTY))
-        )
+    codes = codes.withColumn("cell", F.expr("shiftleft(cast(subset AS long), 32) + code"))
+    cells = lambda v: F.sort_array(F.collect_list(F.when(F.col("version") == v, F.col("cell"))))
+    listed = codes.groupBy(*keys).agg(cells(0).alias("c0"), cells(1).alias("c1"))
 
     order = Window.partitionBy("grp").orderBy("ghost", "doc_id", "row")
-    done = listed.select(*keys, printed("c0").alias("f0"), printed("c1").alias("f1"))
-    done = done.withColumn("f2", F.coalesce(F.lead("f0").over(order), F.col("f0"))).where("NOT ghost")
+    done = listed.withColumn("c2", F.coalesce(F.lead("c0").over(order), F.col("c0"))).where("NOT ghost")
     return done.select(
         "doc_id",
         "n_chars",
         "edited_sha256",
-        F.array_join("f0", "").alias("fingerprint"),
-        F.array_join("f1", "").alias("edited_fingerprint"),
-        likeness(F.col("f0"), F.col("f1")).alias("near_edited"),
-        likeness(F.col("f0"), F.col("f2")).alias("near_next"),
+        printed(F.col("c0"), subsets).alias("fingerprint"),
+        printed(F.col("c1"), subsets).alias("edited_fingerprint"),
+        likeness(F.col("c0"), F.col("c1")).alias("near_edited"),
+        likeness(F.col("c0"), F.col("c2")).alias("near_next"),
     )

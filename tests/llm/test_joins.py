@@ -189,6 +189,25 @@ def test_fingerprints_by_hand(documents, texts):
         assert rows[i] == "".join(fingerprints.EMPTY if c is None else f"{c:08x}" for c in cells)
 
 
+def test_long_texts_keep_their_likeness(make):
+    """Texts of 50 to 1,600 lexicon terms, each term in two of them: three quarters of a text stay when it is edited."""
+    rng = random.Random(3)
+    held = [[] for _ in range(40)]
+    sizes = [(50, 100, 200, 400, 1600)[i % 5] for i in range(40)]
+    for i, size in enumerate(sizes):
+        near = (i + 5) % 40  # of the same length
+        for k in range(size // 2):
+            held[i].append(f"t{i}x{k}")
+            held[near].append(f"t{i}x{k}")
+    for words in held:
+        rng.shuffle(words)
+    rows = fingerprints.fingerprints(make([(i, " ".join(words)) for i, words in enumerate(held)])).collect()
+    assert len(rows) == 40
+    for r in rows:
+        assert r["near_edited"] > 0.25, (sizes[r["doc_id"]], r["near_edited"])
+        assert r["near_next"] < 0.1
+
+
 def test_fingerprints_odd_rows(odd, odd_rows, make):
     rows = fingerprints.fingerprints(odd).collect()
     assert sorted(map(repr, [(r["doc_id"], r["n_chars"]) for r in rows])) == sorted(
