@@ -112,8 +112,16 @@ def _prepared(items: tuple[tuple[str, str], ...]):
 def find(
     text: str, templates: Mapping[str, str] = TEMPLATES, coverage: float = COVERAGE
 ) -> list[tuple[str, float, int, int]]:
-    """(license, coverage, start, end) of each template aligned at ``coverage`` or more, by name; offsets in
-    code points. A template whose words cannot reach the coverage is not aligned at all."""
+    """(license, coverage, start, end) of each template aligned at ``coverage`` or more, its best stretch, by name;
+    offsets in code points."""
+    return [stretches[0] for stretches in find_all(text, templates, coverage, 1)]
+
+
+def find_all(
+    text: str, templates: Mapping[str, str] = TEMPLATES, coverage: float = COVERAGE, most: int | None = None
+) -> list[list[tuple[str, float, int, int]]]:
+    """Of each such template all stretches that do not overlap (or ``most``), the best first. A template whose words
+    cannot reach the coverage is not aligned at all."""
     low = lowered(text)
     present = Counter(TOKEN.findall(low))
     found = []
@@ -125,15 +133,32 @@ def find(
             matches = list(TOKEN.finditer(low))
             spans, tokens = [m.span() for m in matches], [m.group() for m in matches]
         part = _best(template, wanted, tokens, present, coverage)
-        if len(part) >= coverage * len(template):
-            found.append((name, len(part) / len(template), spans[part[0][1]][0], spans[part[-1][1]][1]))
+        if len(part) < coverage * len(template):
+            continue
+        parts = [part]
+        if most != 1:
+            parts = _apart([part, *_stretches(template, wanted, tokens, present, coverage)])[:most]
+        found.append([(name, len(p) / len(template), spans[p[0][1]][0], spans[p[-1][1]][1]) for p in parts])
     return found
 
 
-def _best(template, wanted, tokens, present, coverage) -> list[tuple[int, int]]:
-    """The best compact alignment of all stretches that can reach the coverage.
+def _apart(parts: list[list[tuple[int, int]]]) -> list[list[tuple[int, int]]]:
+    """The longest, then the longest of those that overlap none before, and so on."""
+    kept: list[tuple[int, int]] = []  # ascending, apart
+    out = []
+    for part in sorted(parts, key=len, reverse=True):
+        a, b = part[0][1], part[-1][1]
+        at = bisect_left(kept, (a, b))
+        if (at == 0 or kept[at - 1][1] < a) and (at == len(kept) or b < kept[at][0]):
+            kept.insert(at, (a, b))
+            out.append(part)
+    return out
+
 
-    Such a stretch misses few template words, so it holds one of the rarest, as many as may be
+def _places(template, wanted, tokens, present, coverage) -> tuple[list[int], int]:
+    """Where to look, and how far around.
+
+    A stretch that reaches the coverage misses few template words, so it holds one of the rarest, as many as may be
     missed and one more; only the surroundings of their places are aligned.
     """
     missed, rare = len(template) - coverage * len(template), set()
@@ -142,14 +167,22 @@ def _best(template, wanted, tokens, present, coverage) -> list[tuple[int, int]]:
         missed -= wanted[w]
         if missed < 0:
             break
-    reach = len(template) * (GAP + 1)
+    return [j for j, w in enumerate(tokens) if w in rare], len(template) * (GAP + 1)
+
+
+def _aligned(template, tokens, low: int, high: int) -> list[tuple[int, int]]:
+    return [(i, j + low) for i, j in compact(align(template, tokens[low:high]))]
+
+
+def _best(template, wanted, tokens, present, coverage) -> list[tuple[int, int]]:
+    """The best compact alignment of all stretches that can reach the coverage."""
+    places, reach = _places(template, wanted, tokens, present, coverage)
     best: list[tuple[int, int]] = []
     covered = -1
-    for at in [j for j, w in enumerate(tokens) if w in rare]:
+    for at in places:
         if at <= covered:
             continue
-        low, high = max(0, at - reach), min(len(tokens), at + reach)
-        part = [(i, j + low) for i, j in compact(align(template, tokens[low:high]))]
+        part = _aligned(template, tokens, max(0, at - reach), min(len(tokens), at + reach))
         best = max(best, part, key=len)
         if len(best) == len(template):
             break
@@ -158,10 +191,31 @@ def _best(template, wanted, tokens, present, coverage) -> list[tuple[int, int]]:
     return best
 
 
+def _stretches(template, wanted, tokens, present, coverage) -> list[list[tuple[int, int]]]:
+    """Compact alignments that reach the coverage, around each place; where a better one stands beside the place, also
+    what is left on the place's side of it."""
+    places, reach = _places(template, wanted, tokens, present, coverage)
+    found, covered = [], -1
+    for at in places:
+        if at <= covered:
+            continue
+        low, high = max(0, at - reach), min(len(tokens), at + reach)
+        while len(part := _aligned(template, tokens, low, high)) >= max(1, coverage * len(template)):
+            found.append(part)
+            if part[-1][1] < at:
+                low = part[-1][1] + 1
+            elif part[0][1] > at:
+                high = part[0][1]
+            else:
+                covered = part[-1][1]
+                break
+    return found
+
+
 def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, coverage: float = COVERAGE) -> DataFrame:
     """One row per row of ``docs`` (columns doc_id, text): doc_id, n_licenses, license (the one with the best
     coverage, then the longest, then by name; NULL if none), coverage (0 if none), and spans, all of them
-    as ``license:start:end``.
+    as ``license:start:end`` by name and start, a license as often as its notice stands in the text.
 
     NULL and empty texts have none; repeated rows each give a row; an empty table gives none.
     """
@@ -170,14 +224,15 @@ def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, coverage: fl
 
     def run(slabs):
         for ids, texts in slabs:
-            found = [find(t, templates, coverage) for t in as_text(texts)]
+            every = [find_all(t, templates, coverage) for t in as_text(texts)]
+            found = [[stretches[0] for stretches in e] for e in every]
             best = [min(f, key=lambda x: (-x[1], x[2] - x[3], x[0])) if f else (None, 0.0) for f in found]
             yield {
                 "doc_id": ids,
                 "n_licenses": [len(f) for f in found],
                 "license": [b[0] for b in best],
                 "coverage": [b[1] for b in best],
-                "spans": [",".join(f"{n}:{a}:{b}" for n, _, a, b in f) for f in found],
+                "spans": [",".join(f"{n}:{a}:{b}" for f in e for n, _, a, b in sorted(f, key=lambda x: x[2])) for e in every],
             }
 
     return map_rows(docs, ["doc_id", "text"], schema, run)

@@ -175,6 +175,15 @@ def test_alignments_rise_and_match(template, text):
     assert all((i, i) in found for i in range(len(template))) if template == text else True
 
 
+def test_every_copy_of_a_notice(make):
+    notice, near = "Released under the MIT License", "Released by us under the MIT License"
+    text = f"{notice}. {near}. one two {notice}, and " + "some words between them " * 60 + near
+    wanted = sorted((m.start(), m.end()) for m in re.finditer(f"{notice}|{near}", text))
+    (row,) = licenses.scan(make([(1, text)])).collect()
+    assert (row["n_licenses"], row["license"], row["coverage"]) == (1, "mit", 1.0)
+    assert row["spans"] == ",".join(f"mit:{a}:{b}" for a, b in wanted)
+
+
 def test_license_table(documents, texts, odd, make):
     names = {
         "apache-2.0": "Licensed under the Apache License, Version 2.0", "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0",
