@@ -47,13 +47,3 @@ def design(spark, sf_dir):
 
     df, names = full_design(spark, sf_dir)
     return materialise(df, "design"), names
-
-
-def explained(df, mode="formatted"):
-    import contextlib
-    import io
-
-    out = io.StringIO()
-    with contextlib.redirect_stdout(out):
-        df.explain(mode)
-    return out.getvalue()

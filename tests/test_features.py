@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import explained
+from plan_text import explained
 from ratewright.functions.columns import cap, interval_index, key_slot, relabel, strip_quotes
 from ratewright.operators.features import FeaturePlan, FeatureSpec, feature_columns
 from ratewright.operators.policy import Caps, add_targets, condition, prepare_policies

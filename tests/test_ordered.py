@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import explained
+from plan_text import explained
 from ratewright.functions.ordered import approximate_quantiles, exact_quantiles, order_buckets
 from ratewright.operators.diagnostics import gini, lorenz
 
