@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewright.llm import fingerprints, jaccard, licenses, mixing, pieces, pii, quality, secrets, suffix_tree, topk
+from ratewright.llm import (
+    collocations,
+    fingerprints,
+    jaccard,
+    licenses,
+    mixing,
+    packing,
+    pieces,
+    pii,
+    quality,
+    secrets,
+    suffix_tree,
+    topk,
+    whitening,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -74,6 +88,21 @@ def op10_licenses(spark, sf_dir):
     return licenses.scan(read(spark, sf_dir, "documents"))
 
 
+@query
+def op11_best_fit(spark, sf_dir):
+    return packing.packed(read(spark, sf_dir, "documents"))
+
+
+@query
+def op12_setm_phrases(spark, sf_dir):
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
+@query
+def op13_whitening(spark, sf_dir):
+    return whitening.whitened(read(spark, sf_dir, "embeddings"))
+
+
 ORACLE = {
     "op6_top_products": """
         WITH v AS (
@@ -124,4 +153,40 @@ ORACLE = {
           WHERE so_far <= (SELECT floor(sum(target) + 1e-6) FROM plan) GROUP BY doc_id)
         SELECT t.doc_id, t.size, t.source_size, t.target, CAST(coalesce(c.copies, 0) * t.size AS BIGINT) AS taken
         FROM timed t LEFT JOIN chosen c ON c.doc_id IS NOT DISTINCT FROM t.doc_id""",
+    "op12_setm_phrases": """
+        WITH pieces AS (
+          SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS piece, p
+          FROM (SELECT lang, unnest(regexp_extract_all(
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^.,;:!?\\x0A-\\x0D]+')) AS p FROM documents)),
+        split AS (SELECT lang, piece, regexp_extract_all(p, '[^\\x20\\x09]+') AS w FROM pieces),
+        totals AS (SELECT lang, CAST(sum(len(w)) AS HUGEINT) AS n FROM split GROUP BY lang),
+        spans AS (
+          SELECT lang, unnest(flatten(list_transform(range(1, 6), lambda k:
+            list_transform(range(1, greatest(len(w) - k, -1) + 2), lambda i: w[i : i + k - 1])))) AS words
+          FROM split WHERE len(w) > 0),
+        f AS (SELECT lang, words, count(*) AS n FROM spans GROUP BY lang, words HAVING count(*) >= 100),
+        cut AS (
+          SELECT c.lang, c.words, CAST(c.n AS HUGEINT) AS a, k, CAST(h.n AS HUGEINT) AS l, CAST(t.n AS HUGEINT) AS r, totals.n AS n,
+            (1000::HUGEINT * c.n * totals.n) // (CAST(h.n AS HUGEINT) * t.n) AS score
+          FROM (SELECT *, unnest(range(1, len(words))) AS k FROM f WHERE len(words) > 1) c
+          JOIN f h ON h.lang = c.lang AND h.words = c.words[1 : k]
+          JOIN f t ON t.lang = c.lang AND t.words = c.words[k + 1 : len(c.words)]
+          JOIN totals ON totals.lang = c.lang),
+        best AS (
+          SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, k) = 1),
+        inside AS (
+          SELECT lang, words, max(n) AS most FROM (
+            SELECT lang, n, unnest(flatten(list_transform(range(2, len(words)), lambda k:
+              list_transform(range(1, len(words) - k + 2), lambda i: words[i : i + k - 1])))) AS words
+            FROM f WHERE len(words) > 2)
+          GROUP BY lang, words),
+        kept AS (
+          SELECT b.*, array_to_string(b.words, ' ') AS phrase FROM best b LEFT JOIN inside i ON i.lang = b.lang AND i.words = b.words
+          WHERE i.most IS NULL OR 100 * i.most < 100 * b.a),
+        ranked AS (
+          SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+        SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+          CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+        FROM ranked WHERE rank <= 2000""",
 }
