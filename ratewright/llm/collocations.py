@@ -5,22 +5,28 @@ is stored in runs: a run is a stretch of words in which every k in a row are fre
 so a position's neighbour in the array is its neighbour in the piece. The step from k to k + 1 is
 
 * the merge-join of the relation with itself on adjacent positions: the windows of k + 1 words in a run;
-* group and count: every task counts its windows, Spark adds the counts up by phrase;
+* group and count: every task counts its windows, and Spark adds the counts up by phrase. Longer windows, most of which
+  are rare, are counted in hashed buckets first: those in a bucket below the least count cannot be frequent, and go.
+  Windows of two words are about as many as there are words, and would fill all buckets of a large corpus;
 * the semi-join with the frequent groups, whose result is stored as the next relation.
 
-The semi-join tests a bitmap of fixed size over hashes of the frequent phrases. It lets a few others through, which
-makes work but never a count: every group is counted over all its occurrences, and only then held against the
-least count. Words stand in the relations as 64-bit hashes, which are checked to be distinct within the
+Buckets and semi-join are bitmaps over hashes of phrases, of bounded size. They let a few others through, the more the
+larger the corpus, which makes work but never a count: every group is counted over all its occurrences, and only
+then held against the least count. Words stand in the relations as 64-bit hashes, which are checked to be distinct within the
 vocabulary; phrases are never hashed, but are lists of words.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,7 +38,10 @@ LONGEST = 5  # words
 TOP = 2000  # phrases reported for a language
 COVER = 100  # percent of its occurrences that a phrase has inside a longer one, and so goes
 UNKNOWN = "und"
-FILTER_BITS = 26
+FILTER_BITS = 26  # at most; two less than the corpus has words do for a smaller one
+BUCKETED = 3  # words from which on windows are counted in buckets first
+CHUNK_BITS = 16
+FAN_IN = 64  # tasks whose buckets are added up at a time
 CACHE = 300_000  # words a task remembers
 WORDS = 1_000_000  # words counted at a time
 SALTS = 256
@@ -199,10 +208,67 @@ def _array(words: pa.Array, i: int) -> np.ndarray:
     return words[i].values.to_numpy().view("uint64")
 
 
-def grams(h: np.ndarray, k: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """The distinct windows of k words within runs, as k arrays, and their counts. Codes of a task stand for prefixes,
-    so windows are told apart exactly."""
-    at = _windows(h, k) if len(h) >= k else np.empty(0, "int64")
+def _held(slabs) -> Iterator[tuple[str, np.ndarray]]:
+    """Runs of a relation by language, some WORDS words at a time."""
+    held: dict[str, list[np.ndarray]] = {}
+    size = 0
+    for langs, words in slabs:
+        for i, lang in enumerate(as_text(langs)):
+            held.setdefault(lang, []).append(_array(words, i))  # ends with a 0
+            size += len(held[lang][-1])
+            if size >= WORDS:
+                yield from ((lang, np.concatenate(lists)) for lang, lists in held.items())
+                held, size = {}, 0
+    yield from ((lang, np.concatenate(lists)) for lang, lists in held.items())
+
+
+def promising(relation: DataFrame, k: int, least: int, filter_bits: int) -> np.ndarray:
+    """A bitmap of the buckets in which windows of k words occur ``least`` times and more, all together. Buckets count
+    up to 255."""
+    size = 1 << min(CHUNK_BITS, filter_bits)
+
+    def run(slabs):
+        buckets = np.zeros(1 << filter_bits, "uint8")
+        for lang, h in _held(slabs):
+            at = _windows(h, k) if len(h) >= k else np.empty(0, "int64")
+            places = _places(lang, [h[at + j] for j in range(k)]) & np.uint64(len(buckets) - 1)
+            places, counts = np.unique(places, return_counts=True)
+            buckets[places] = np.minimum(buckets[places] + counts, 255)
+        part = TaskContext.get().partitionId()
+        for chunk, data in enumerate(buckets.reshape(-1, size)):
+            if data.any():
+                yield {"part": [part], "chunk": [chunk], "data": [zlib.compress(data.tobytes(), 1)]}
+
+    def counts_of(data: bytes) -> np.ndarray:
+        return np.frombuffer(zlib.decompress(data), "uint8")
+
+    def add(rows: pd.DataFrame) -> pd.DataFrame:
+        total = np.zeros(size, "uint32")
+        for data in rows["data"]:
+            total += counts_of(data)
+        data = zlib.compress(np.minimum(total, 255).astype("uint8").tobytes(), 1)
+        return pd.DataFrame({"part": [int(rows["part"].iat[0]) // FAN_IN], "chunk": [rows["chunk"].iat[0]], "data": [data]})
+
+    def often(slabs):
+        for chunks, datas in slabs:
+            bits = [np.packbits(counts_of(d.as_py()) >= min(least, 255), bitorder="little").tobytes() for d in datas]
+            yield {"chunk": chunks, "bits": bits}
+
+    schema = "part int, chunk int, data binary"
+    counted = map_rows(relation, ["lang", "words"], schema, run)
+    many = relation.rdd.getNumPartitions()
+    while many > 1:
+        counted = counted.groupBy(F.floor(F.col("part") / FAN_IN), "chunk").applyInPandas(add, schema)
+        many = -(-many // FAN_IN)
+    out = np.zeros((1 << filter_bits) // 8, "uint8").reshape(-1, size // 8)
+    for r in map_rows(counted, ["chunk", "data"], "chunk int, bits binary", often).toLocalIterator():
+        out[r["chunk"]] = np.frombuffer(r["bits"], "uint8")
+    return out.ravel().view("uint64")
+
+
+def grams(h: np.ndarray, at: np.ndarray, k: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """The distinct windows of k words that begin at ``at``, as k arrays, and their counts. Codes of a task stand for
+    prefixes, so windows are told apart exactly."""
     if not len(at):
         return [h[:0]] * k, np.empty(0, "int64")
     _, word = np.unique(h, return_inverse=True)
@@ -216,35 +282,28 @@ def grams(h: np.ndarray, k: int) -> tuple[list[np.ndarray], np.ndarray]:
     return [h[at[first] + j] for j in range(k)], counts
 
 
-def phrase_counts(relation: DataFrame, k: int) -> DataFrame:
-    """lang, words (array<long>), n: the windows of k words of a relation of length k - 1, counted."""
+def phrase_counts(relation: DataFrame, k: int, least: int, filter_bits: int) -> DataFrame:
+    """lang, words (array<long>), n: the windows of k words of a relation of length k - 1 that occur ``least`` times and
+    more."""
     names = [f"w{j}" for j in range(k)]
+    bits = promising(relation, k, least, filter_bits) if k >= BUCKETED else None
 
-    def rows(held: dict[str, list[np.ndarray]]):
-        for lang, lists in held.items():
-            parts, counts = grams(np.concatenate(lists), k)
+    def run(slabs):
+        for lang, h in _held(slabs):
+            at = _windows(h, k) if len(h) >= k else np.empty(0, "int64")
+            if bits is not None:
+                at = at[_among(bits, _places(lang, [h[at + j] for j in range(k)]))]
+            parts, counts = grams(h, at, k)
             yield {
                 "lang": pa.repeat(pa.scalar(lang), len(counts)),
                 **{c: p.view("int64") for c, p in zip(names, parts)},
                 "n": counts,
             }
 
-    def run(slabs):
-        held: dict[str, list[np.ndarray]] = {}
-        size = 0
-        for langs, words in slabs:
-            for i, lang in enumerate(as_text(langs)):
-                held.setdefault(lang, []).append(_array(words, i))  # ends with a 0
-                size += len(held[lang][-1])
-                if size >= WORDS:
-                    yield from rows(held)
-                    held, size = {}, 0
-        yield from rows(held)
-
     schema = f"lang string, {', '.join(f'{c} long' for c in names)}, n long"
     counted = map_rows(relation, ["lang", "words"], schema, run)
     summed = counted.groupBy("lang", *names).agg(F.sum("n").alias("n"))
-    return summed.select("lang", F.array(*names).alias("words"), "n")
+    return summed.where(F.col("n") >= least).select("lang", F.array(*names).alias("words"), "n")
 
 
 def _bitmap(phrases: DataFrame, filter_bits: int) -> np.ndarray:
@@ -271,17 +330,20 @@ def _bitmap(phrases: DataFrame, filter_bits: int) -> np.ndarray:
 
 
 def frequent_phrases(
-    docs: DataFrame, least: int = LEAST, longest: int = LONGEST, filter_bits: int = FILTER_BITS
+    docs: DataFrame, least: int = LEAST, longest: int = LONGEST, filter_bits: int | None = None
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(lang, words, n) of all phrases of 1 to ``longest`` words that occur ``least`` times and more in their language,
     (lang, h, word, n) of the frequent words, and (lang, n) of all word occurrences."""
     every, seed = vocabulary(docs)
+    if filter_bits is None:
+        many = every.agg(F.sum("n").alias("n")).first()["n"] or 0
+        filter_bits = min(FILTER_BITS, max(CHUNK_BITS, int(many).bit_length() - 2))
     words = every.where(F.col("n") >= least)
     found = [words.select("lang", F.array("h").alias("words"), "n")]
     relation = first_relation(docs, _bitmap(found[0], filter_bits), seed)
     for k in range(2, longest + 1):
         relation = materialise(relation, f"relation_{k - 1}")
-        often = materialise(phrase_counts(relation, k).where(F.col("n") >= least), f"frequent_{k}")
+        often = materialise(phrase_counts(relation, k, least, filter_bits), f"frequent_{k}")
         found.append(often)
         if k < longest:
             relation = next_relation(relation, _bitmap(often, filter_bits), k)

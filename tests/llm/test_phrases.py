@@ -89,11 +89,20 @@ def test_stretches():
 
 def test_grams():
     h = np.array([5, 6, 5, 6, 5, 0, 5, 6, 0], "uint64")
-    parts, counts = C.grams(h, 2)
+    parts, counts = C.grams(h, C._windows(h, 2), 2)
     assert sorted(zip(*(p.tolist() for p in parts), counts.tolist())) == [(5, 6, 3), (6, 5, 2)]
-    parts, counts = C.grams(h, 3)
+    parts, counts = C.grams(h, C._windows(h, 3), 3)
     assert sorted(zip(*(p.tolist() for p in parts), counts.tolist())) == [(5, 6, 5, 2), (6, 5, 6, 1)]
-    assert len(C.grams(h[:0], 2)[1]) == 0
+    assert len(C.grams(h, C._windows(h, 6), 6)[1]) == 0
+
+
+def test_buckets_add_up_over_many_tasks(mine, monkeypatch):
+    monkeypatch.setattr(C, "FAN_IN", 4)
+    docs = mine([("en", f"w{i} x y z") for i in range(60)] + [("de", "x y")] * 9).repartition(20)
+    phrases, words, _ = C.frequent_phrases(docs, 50)
+    names = {r["h"]: r["word"] for r in words.collect()}
+    found = sorted((r["lang"], " ".join(names[w] for w in r["words"]), r["n"]) for r in phrases.collect())
+    assert found == [("en", p, 60) for p in ("x", "x y", "x y z", "y", "y z", "z")]
 
 
 def test_shared_hashes_ask_for_another_seed(mine, monkeypatch):
