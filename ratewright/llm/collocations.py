@@ -79,11 +79,12 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def _places(lang: str, parts: list[np.ndarray]) -> np.ndarray:
-    """Hashes of phrases, from the hashes of their words in turn; the last bits are their places in a bitmap."""
-    total = np.full(len(parts[0]), xxhash.xxh64_intdigest(lang.encode()), "uint64")
-    for h, factor in zip(parts, _FACTORS):
-        total += _mixed(h) * factor
+def _places(lang: str, h: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of the phrases of k words that begin at ``at``; the last bits are their places in a bitmap."""
+    words = _mixed(h)
+    total = np.full(len(at), xxhash.xxh64_intdigest(lang.encode()), "uint64")
+    for j in range(k):
+        total += words[at + j] * _FACTORS[j]
     return _mixed(total)
 
 
@@ -166,20 +167,23 @@ def _semi_joined(h: np.ndarray, lang: str, bits: np.ndarray, k: int) -> np.ndarr
         return h[:0]
     alive = np.zeros(len(h) - k + 1, bool)
     at = _windows(h, k)
-    alive[at] = _among(bits, _places(lang, [h[at + j] for j in range(k)]))
+    alive[at] = _among(bits, _places(lang, h, at, k))
     return _stretches(h, alive, k)
 
 
 def first_relation(docs: DataFrame, bits: np.ndarray, seed: int) -> DataFrame:
-    """lang, words: the runs of frequent words of every text that has one of two words and more."""
+    """lang, words: the runs of frequent words of two words and more, a few texts of a language to a row."""
 
     def run(slabs):
         hashes = _Hashes(seed)
         for langs, texts in slabs:
             names, lists = [], []
+            held: dict[str, list[bytes]] = {}
             for lang, text in zip(as_text(langs), as_bytes(texts)):
-                h = np.frombuffer(b"".join(map(hashes.__getitem__, tokens(text))), "uint64")
-                found = _semi_joined(h, lang, bits, 1)
+                held.setdefault(lang, []).extend(map(hashes.__getitem__, tokens(text)))
+                held[lang].append(hashes[BREAK])
+            for lang, parts in held.items():
+                found = _semi_joined(np.frombuffer(b"".join(parts), "uint64"), lang, bits, 1)
                 if len(found):
                     names.append(lang)
                     lists.append(found.view("int64"))
@@ -231,7 +235,7 @@ def promising(relation: DataFrame, k: int, least: int, filter_bits: int) -> np.n
         buckets = np.zeros(1 << filter_bits, "uint8")
         for lang, h in _held(slabs):
             at = _windows(h, k) if len(h) >= k else np.empty(0, "int64")
-            places = _places(lang, [h[at + j] for j in range(k)]) & np.uint64(len(buckets) - 1)
+            places = _places(lang, h, at, k) & np.uint64(len(buckets) - 1)
             places, counts = np.unique(places, return_counts=True)
             buckets[places] = np.minimum(buckets[places] + counts, 255)
         part = TaskContext.get().partitionId()
@@ -271,15 +275,21 @@ def grams(h: np.ndarray, at: np.ndarray, k: int) -> tuple[list[np.ndarray], np.n
     prefixes, so windows are told apart exactly."""
     if not len(at):
         return [h[:0]] * k, np.empty(0, "int64")
-    _, word = np.unique(h, return_inverse=True)
-    word = word.astype("uint64")
-    code, shift = word[at], np.uint64(32)
+    known = np.unique(h)
+    word = np.searchsorted(known, h).astype("uint64")
+    code, prefixes, shift = word[at], [], np.uint64(32)
     for j in range(1, k):
         key = (code << shift) | word[at + j]
         if j < k - 1:
-            code = np.unique(key, return_inverse=True)[1].astype("uint64")
-    _, first, counts = np.unique(key, return_index=True, return_counts=True)
-    return [h[at[first] + j] for j in range(k)], counts
+            prefixes.append(np.unique(key))
+            code = np.searchsorted(prefixes[-1], key).astype("uint64")
+    key, counts = np.unique(key, return_counts=True)
+    parts = []
+    for table in (*reversed(prefixes), None):
+        parts.append(known[key & np.uint64((1 << 32) - 1)])
+        code = key >> shift
+        key = code if table is None else table[code]
+    return [known[key], *reversed(parts)], counts
 
 
 def phrase_counts(relation: DataFrame, k: int, least: int, filter_bits: int) -> DataFrame:
@@ -292,7 +302,7 @@ def phrase_counts(relation: DataFrame, k: int, least: int, filter_bits: int) ->
         for lang, h in _held(slabs):
             at = _windows(h, k) if len(h) >= k else np.empty(0, "int64")
             if bits is not None:
-                at = at[_among(bits, _places(lang, [h[at + j] for j in range(k)]))]
+                at = at[_among(bits, _places(lang, h, at, k))]
             parts, counts = grams(h, at, k)
             yield {
                 "lang": pa.repeat(pa.scalar(lang), len(counts)),
@@ -315,10 +325,10 @@ def _bitmap(phrases: DataFrame, filter_bits: int) -> np.ndarray:
             out = np.empty(len(langs), "uint64")
             names = np.array(as_text(langs), object)
             k = len(words[0]) if len(words) else 0
-            flat = words.flatten().to_numpy().view("uint64").reshape(len(langs), k)
+            flat = words.flatten().to_numpy().view("uint64")
             for lang in set(names):
                 mine = np.flatnonzero(names == lang)
-                out[mine] = _places(lang, [flat[mine, j] for j in range(k)])
+                out[mine] = _places(lang, flat, mine * k, k)
             out &= last
             yield {"w": (out >> np.uint64(6)).view("int64"), "b": (np.uint64(1) << (out & np.uint64(63))).view("int64")}
 
