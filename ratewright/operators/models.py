@@ -53,7 +53,12 @@ class Fit:
 
     @classmethod
     def load(cls, path: str, description: str) -> Fit:
-        return cls(PipelineModel.load(path), **json.loads(description))
+        described = json.loads(description)
+        if described["kind"] == "leafwise":
+            from ratewright.operators.leafwise import LeafwiseFit
+
+            return LeafwiseFit.restore(path, described)
+        return cls(PipelineModel.load(path), **described)
 
 
 def assembler(features: Sequence[str]) -> VectorAssembler:
@@ -435,6 +440,10 @@ def fit_gbt(
 
 def evaluation_curve(fit: Fit, df: DataFrame) -> DataFrame:
     """(ROUND, LOSS): squared loss on ``df`` after each boosting round."""
+    if fit.kind == "leafwise":
+        from ratewright.operators import leafwise
+
+        return leafwise.evaluation_curve(fit, df)
     from pyspark.ml.regression import GBTRegressionModel
 
     model = _stage(fit, GBTRegressionModel)

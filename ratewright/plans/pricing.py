@@ -93,7 +93,9 @@ def train_and_register(
     train = spread(store.load_dataset(names.training, version))
     validation = store.load_dataset(names.validation, version)
     fitted = fit(train, feature_columns(train.columns))
-    store.log_params(names.experiment, run, {**fitted.params, "ds_version": version})
+    # the curve of losses is logged below, as a metric by round
+    plain = {k: v for k, v in fitted.params.items() if k != "val_loss"}
+    store.log_params(names.experiment, run, {**plain, "ds_version": version})
 
     run_path = f"{store.root}/runs/{names.experiment}/{run}"
     scored = store.score_batch(fitted, validation, f"{run_path}/scored")
@@ -106,7 +108,7 @@ def train_and_register(
         summary = cv_summary(by_fold).first()
         values |= {"cv_rmse_mean": summary["CV_RMSE_MEAN"], "cv_rmse_std": summary["CV_RMSE_STD"]}
     store.log_metrics(names.experiment, run, values)
-    if fitted.kind == "gbt":
+    if fitted.kind in ("gbt", "leafwise"):
         losses = evaluation_curve(fitted, validation).withColumnRenamed("LOSS", "val_loss")
         store.log_metric_table(names.experiment, losses, F.lit(run), ["val_loss"], step="ROUND")
     exhibits = write_exhibits(scored, model, f"{run_path}/exhibits")

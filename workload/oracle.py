@@ -459,6 +459,22 @@ ORACLE: dict[str, str] = {
           SELECT sqrt(sum(s.EXPOSURE * (s.PURE_PREMIUM - l.TRAIN_M) * (s.PURE_PREMIUM - l.TRAIN_M)) / sum(s.EXPOSURE)) AS E
           FROM scored s JOIN level_means l ON l.TERRITORY_CODE = s.TERRITORY_CODE WHERE NOT s.IS_TRAIN)""",
     ),
+    "gbt_leafwise": sql(
+        "level_means",
+        """SELECT s.POLICY_ID, round(l.M, 3) AS PREDICTED_PURE_PREMIUM
+        FROM scored s JOIN level_means l ON l.TERRITORY_CODE = s.TERRITORY_CODE""",
+    ),
+    "gbt_leafwise_unweighted": sql(
+        "level_means",
+        """SELECT s.POLICY_ID, round(l.PLAIN, 3) AS PREDICTED_PURE_PREMIUM
+        FROM scored s JOIN level_means l ON l.TERRITORY_CODE = s.TERRITORY_CODE""",
+    ),
+    "gbt_leafwise_watched": sql(
+        "level_means",
+        """SELECT unnest([1, 2, 3]) AS ROUND, round(E, 3) AS ROOT_LOSS FROM (
+          SELECT sqrt(sum(s.EXPOSURE * (s.PURE_PREMIUM - l.TRAIN_M) * (s.PURE_PREMIUM - l.TRAIN_M)) / sum(s.EXPOSURE)) AS E
+          FROM scored s JOIN level_means l ON l.TERRITORY_CODE = s.TERRITORY_CODE WHERE NOT s.IS_TRAIN)""",
+    ),
     "prediction_errors": sql(
         "errors",
         """SELECT MODEL, round(RMSE, 4) AS RMSE, round(MAE, 4) AS MAE, round(RMSE_WEIGHTED, 4) AS RMSE_WEIGHTED,

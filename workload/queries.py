@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewright.functions.columns import indicator
+from ratewright.functions.columns import indicator, key_slot
 from ratewright.functions.ordered import approximate_quantiles, exact_quantiles
 from ratewright.operators import diagnostics as dia
 from ratewright.operators import dictionary as dic
 from ratewright.operators import explain as exp
+from ratewright.operators import leafwise as lw
 from ratewright.operators import models as mdl
 from ratewright.operators import policy as pol
 from ratewright.operators import splits as spl
@@ -431,6 +432,46 @@ def gbt_eval_curve(spark, sf_dir):
     return curve.select("ROUND", F.round(F.sqrt("LOSS"), 3).alias("ROOT_LOSS"))
 
 
+@query
+def gbt_leafwise(spark, sf_dir):
+    """Leaf-limited trees on one factor, exposure-weighted: every leaf is a level's weighted mean."""
+    df, features = territory_design(spark, sf_dir)
+    fit = lw.fit_leafwise(df, features, rounds=3)
+    return rounded(fit.predict(df).select("POLICY_ID", dia.PREDICTED), PREDICTED_PURE_PREMIUM=3)
+
+
+@query
+def gbt_leafwise_unweighted(spark, sf_dir):
+    df, features = territory_design(spark, sf_dir)
+    fit = lw.fit_leafwise(df, features, rounds=3, weight=None)
+    return rounded(fit.predict(df).select("POLICY_ID", dia.PREDICTED), PREDICTED_PURE_PREMIUM=3)
+
+
+def in_validation():
+    """The rows that ``train_validation`` keeps for validation."""
+    return key_slot("POLICY_ID", 100) >= 75
+
+
+@query
+def gbt_leafwise_watched(spark, sf_dir):
+    """Validation loss by round, watched while one factor is fitted."""
+    df, features = territory_design(spark, sf_dir)
+    fit = lw.fit_leafwise(df, features, rounds=3, validation=in_validation())
+    rows = [(i, float(x)) for i, x in enumerate(fit.params["val_loss"], start=1)]
+    curve = spark.createDataFrame(rows, "ROUND int, LOSS double")
+    return curve.select("ROUND", F.round(F.sqrt("LOSS"), 3).alias("ROOT_LOSS"))
+
+
+@query
+def gbt_leafwise_predictions(spark, sf_dir):
+    """31 leaves, up to 200 rounds on all features, ended where 20 rounds bring no better validation loss."""
+    df, features = full_design(spark, sf_dir)
+    df = materialise(df, "design")
+    held = in_validation()
+    fit = lw.fit_leafwise(df, features, validation=held, patience=20)
+    return fit.predict(df.where(held)).select("POLICY_ID", dia.PREDICTED)
+
+
 # -- exhibits ----------------------------------------------------------------------------------
 
 
