@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratewright.llm.components import components
-from ratewright.llm.text import as_bytes, id_type, map_rows, words
+from ratewright.llm.text import WordHasher, as_bytes, id_type, map_rows, mixed, whole_rows
 from ratewright.storage import materialise
 
 SHINGLE = 5
@@ -33,20 +33,13 @@ FREQUENT = 16  # a token in more 1-prefixes than this is frequent
 COMING_FORWARD = 0.2  # share of frequent tokens in a 1-prefix from which on the rest of the set is counted
 MOST_FREQUENT = 1_000_000  # frequent tokens at most; beyond that the bound above is doubled
 FILTER_BITS = 23
-CACHE = 300_000
 _NONE = np.empty(0, "uint64")
 FIRST_FACTOR = 0x9E3779B97F4A7C15
 STEP_FACTOR = 0xC2B2AE3D27D4EB4E
 
 
-def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
-
-
 class Shingler:
-    """Sorted distinct shingle hashes of texts; word hashes are remembered up to a bound.
+    """Sorted distinct shingle hashes of texts.
 
     A shingle's hash is the sum of its word hashes, each times the odd factor of its place, mixed.
     """
@@ -54,38 +47,32 @@ class Shingler:
     def __init__(self, size: int = SHINGLE):
         self.size = size
         self.factors = [np.uint64((FIRST_FACTOR + j * STEP_FACTOR) % (1 << 64)) for j in range(size)]
-        self.known: dict[bytes, bytes] = {}
-
-    def word(self, word: bytes) -> bytes:
-        found = xxhash.xxh64_digest(word)
-        if len(self.known) < CACHE:
-            self.known[word] = found
-        return found
+        self.hasher = WordHasher()
 
     def _sums(self, hashes: np.ndarray, size: int) -> np.ndarray:
         n = len(hashes) - size + 1
         total = np.full(n, size, "uint64")
         for j in range(size):
             total += hashes[j : j + n] * self.factors[j]
-        return _mixed(total)
+        return mixed(total)
 
     def tokens(self, texts: list[bytes]) -> list[np.ndarray]:
-        get, new = self.known.get, self.word
-        split = [words(t) for t in texts]
-        flat = np.frombuffer(b"".join([get(w) or new(w) for row in split for w in row]), "uint64")
+        flat, starts, _ = self.hasher(b" ".join(texts).lower())
+        ends = np.cumsum([len(t) + 1 for t in texts])  # lower() keeps the length of bytes
+        upto = np.searchsorted(starts, ends).tolist()
         whole = self._sums(flat, self.size) if len(flat) >= self.size else flat
         out, at = [], 0
-        for row in split:
-            n = len(row)
+        for end in upto:
+            n = end - at
             if n >= self.size:
-                found = np.sort(whole[at : at + n - self.size + 1])
+                found = np.sort(whole[at : end - self.size + 1])
                 keep = np.empty(len(found), bool)
                 keep[0] = True
                 np.not_equal(found[1:], found[:-1], out=keep[1:])
                 out.append(found[keep])
             else:
-                out.append(self._sums(flat[at : at + n], n) if n else _NONE)
-            at += n
+                out.append(self._sums(flat[at:end], n) if n else _NONE)
+            at = end
         return out
 
 
@@ -171,13 +158,13 @@ def global_order(docs: DataFrame, percent: int, size: int) -> Order:
 
 
 def nodes(docs: DataFrame, order: Order, percent: int, size: int) -> DataFrame:
-    """row, doc_id, node, n and the 2-prefix of every document: ``rare`` tokens, and frequent ones, ``one`` of the
+    """row, doc_id, key, node, n and the 2-prefix of every document: ``rare`` tokens, and frequent ones, ``one`` of the
     1-prefix and ``two`` the one more. Sets that a task has met before come without tokens."""
-    schema = f"row long, doc_id {id_type(docs)}, node long, n int, rare array<long>, one array<long>, two array<long>"
+    schema = f"row long, doc_id {id_type(docs)}, key long, node long, n int, rare array<long>, one array<long>, two array<long>"
 
     def run(slabs):
         shingler, met = Shingler(size), set()
-        for rows, ids, texts in slabs:
+        for rows, ids, keys, texts in slabs:
             names, sizes, rares, ones, twos = [], [], [], [], []
             for tokens in shingler.tokens(as_bytes(texts)):
                 n = len(tokens)
@@ -195,11 +182,11 @@ def nodes(docs: DataFrame, order: Order, percent: int, size: int) -> DataFrame:
                 ones.append(one)
                 twos.append(two)
             yield {
-                "row": rows, "doc_id": ids, "node": names, "n": sizes,
+                "row": rows, "doc_id": ids, "key": keys, "node": names, "n": sizes,
                 "rare": _lists(rares), "one": _lists(ones), "two": _lists(twos),
             }
 
-    return map_rows(docs, ["row", "doc_id", "text"], schema, run)
+    return map_rows(docs, ["row", "doc_id", "key", "text"], schema, run)
 
 
 def shared_tokens(held: DataFrame) -> DataFrame:
@@ -226,34 +213,36 @@ def shared_tokens(held: DataFrame) -> DataFrame:
 
 
 def _filter_words(names: DataFrame) -> np.ndarray:
-    """A bitmap of 2^FILTER_BITS bits over hashes of ``node``: fixed in size, it only saves work."""
-    bit = F.pmod(F.col("node"), F.lit(1 << FILTER_BITS))
-    packed = names.select(F.shiftright(bit, 6).alias("w"), F.expr("shiftleft(1L, int(pmod(node, 64)))").alias("b"))
+    """A bitmap of 2^FILTER_BITS bits over ``key``, a hash: fixed in size, it only saves work."""
+    bit = F.pmod(F.col("key"), F.lit(1 << FILTER_BITS))
+    packed = names.select(F.shiftright(bit, 6).alias("w"), F.expr("shiftleft(1L, int(pmod(key, 64)))").alias("b"))
     rows = packed.groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
     out = np.zeros(1 << (FILTER_BITS - 6), "int64")
     out[rows["w"].to_numpy()] = rows["b"].to_numpy()
     return out.view("uint64")
 
 
-def token_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """node and all its tokens, for the nodes in ``wanted`` and a few the filter lets through."""
-    bits = _filter_words(wanted)
+def token_sets(docs: DataFrame, held: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """node and all its tokens, for the nodes in ``wanted`` and a few the filter lets through. Of each node one text is
+    split again; others are passed over by their ``key``."""
+    rows = held.where(F.size("rare") + F.size("one") > 0).join(wanted.distinct(), "node", "left_semi")
+    bits = _filter_words(rows.groupBy("node").agg(F.min("key").alias("key")))
 
     def run(slabs):
         shingler, met = Shingler(size), set()
-        for (texts,) in slabs:
+        for keys, texts in slabs:
+            places = keys.to_numpy().view("uint64") & np.uint64((1 << FILTER_BITS) - 1)
+            chosen = (bits[places >> np.uint64(6)] >> (places & np.uint64(63))) & np.uint64(1) != 0
             names, lists = [], []
-            for tokens in shingler.tokens(as_bytes(texts)):
+            for tokens in shingler.tokens(as_bytes(texts.filter(pa.array(chosen)))) if chosen.any() else ():
                 if len(tokens) < 2 or (node := node_of(tokens)) in met:
                     continue
-                at = node & ((1 << FILTER_BITS) - 1)
-                if int(bits[at >> 6]) >> (at & 63) & 1:
-                    met.add(node)
-                    names.append(node)
-                    lists.append(tokens)
+                met.add(node)
+                names.append(node)
+                lists.append(tokens)
             yield {"node": names, "tokens": _lists(lists)}
 
-    return map_rows(docs, ["text"], "node long, tokens array<long>", run)
+    return map_rows(docs, ["key", "text"], "node long, tokens array<long>", run)
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -398,14 +387,13 @@ def join(docs: DataFrame, percent: int = THRESHOLD, size: int = SHINGLE) -> Data
     sets are linked, however often they repeat. A NULL doc_id counts as larger than all others and shows only where a
     component has no other.
     """
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.xxhash64("text").alias("key"), "text")
     order = global_order(docs.select("text"), percent, size)
     held = materialise(nodes(rows, order, percent, size), "nodes")
     shared = materialise(shared_tokens(held), "shared")
-    text = docs.select("text")
 
     def linked(pairs: DataFrame) -> DataFrame:
-        found = token_sets(text, pairs.select(F.explode(F.array("a", "b")).alias("node")), size)
+        found = token_sets(rows, held, pairs.select(F.explode(F.array("a", "b")).alias("node")), size)
         return materialise(verified(pairs, found, percent), "links")
 
     first = linked(materialise(leaders(shared, percent), "leaders"))
@@ -434,6 +422,5 @@ def deduplicated(docs: DataFrame, percent: int = THRESHOLD, size: int = SHINGLE)
 
     ``docs`` must be a stored table: its rows are numbered in two scans, which have to agree.
     """
-    numbered = docs.withColumn("jaccard_row", F.monotonically_increasing_id())
-    kept = join(docs, percent, size).where("keep").select(F.col("row").alias("jaccard_row"))
-    return numbered.join(kept, "jaccard_row", "left_semi").select(docs.columns)
+    kept = join(docs, percent, size).where("keep").select("row")
+    return whole_rows(docs).join(kept, "row", "left_semi").select("doc.*")

@@ -251,3 +251,20 @@ def test_mix_odd_rows_and_spread(odd, odd_rows, make, monkeypatch):
     for r in stream.collect():
         counts[r["doc_id"]] = counts.get(r["doc_id"], 0) + len(r["text"].split())
     assert counts == {r["doc_id"]: r["taken"] for r in found if r["taken"]}
+
+
+def test_words_are_hashed_alike_in_every_segment():
+    from ratewright.llm.text import WordHasher, words
+
+    hasher = WordHasher()
+    hasher.SEGMENT = 16
+    parts = [b"a bb", b"", b"ccc" * 5, b"x" * 16, b"y" * 17, b"z" * 40, b"\t\n tail\x0b\x0c\r end"]
+    rng = random.Random(4)
+    seen = {}
+    for _ in range(200):
+        text = b" ".join(rng.choices(parts, k=rng.randint(0, 12)))
+        h, starts, ends = hasher(text)
+        assert [text[a:b] for a, b in zip(starts, ends)] == words(text)
+        for word, value in zip(words(text), h.tolist()):
+            assert seen.setdefault(word, value) == value
+    assert len(set(seen.values())) == len(seen)
