@@ -19,7 +19,6 @@ vocabulary; phrases are never hashed, but are lists of words.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratewright.llm.text import as_bytes, as_text, map_rows
+from ratewright.llm.text import WordHasher, as_bytes, as_text, map_rows, mixed
 from ratewright.storage import materialise
 
 LEAST = 100  # occurrences of a phrase
@@ -42,50 +41,52 @@ FILTER_BITS = 26  # at most; two less than the corpus has words do for a smaller
 BUCKETED = 3  # words from which on windows are counted in buckets first
 CHUNK_BITS = 16
 FAN_IN = 64  # tasks whose buckets are added up at a time
-CACHE = 300_000  # words a task remembers
+CACHE = 300_000  # words a task counts before it passes them on
+BUFFER = 1 << 22  # bytes of text hashed at a time
 WORDS = 1_000_000  # words counted at a time
 SALTS = 256
 BREAK = b"\xff"  # no byte of a text
 
-# A-Z to a-z, and what ends a piece to the break
+# A-Z to a-z, tabs to spaces, and what ends a piece to the break
 _TABLE = bytes(
-    0xFF if chr(b) in ".,;:!?\n\x0b\x0c\r" else b + 32 if 65 <= b <= 90 else b for b in range(256)
-)
+    0xFF if chr(b) in ".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256)
+)
 _FACTORS = [np.uint64((0x9E3779B97F4A7C15 * (2 * j + 1)) % (1 << 64)) for j in range(64)]
 
 
-def tokens(text: bytes) -> list[bytes]:
-    """The words of all pieces of ``text``, with a break between pieces."""
-    return text.translate(_TABLE).replace(BREAK, b" \xff ").split()
+def plain_bytes(texts: list[bytes]) -> bytes:
+    """Texts in lower case, with a break after every piece."""
+    return BREAK.join([*texts, b""]).translate(_TABLE)
 
 
-class _Hashes(dict):
-    """8-byte hashes of words, remembered up to a bound; a break has the hash 0, which no word has."""
+class Words:
+    """Hashes of the words of texts; 0, which no word has, stands where a piece ends."""
 
     def __init__(self, seed: int):
-        super().__init__({BREAK: bytes(8)})
-        self.seed = seed
+        self.hasher = WordHasher(b" " + BREAK, seed)
 
-    def __missing__(self, word: bytes) -> bytes:
-        found = (xxhash.xxh64_intdigest(word, seed=self.seed) or 1).to_bytes(8, "little")
-        if len(self) < CACHE:
-            self[word] = found
-        return found
+    def spans(self, buffer: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(hash, start, end) of every word of a buffer from ``plain_bytes``."""
+        h, starts, ends = self.hasher(buffer)
+        return np.maximum(h, np.uint64(1)), starts, ends
 
-
-def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
+    def runs(self, buffer: bytes) -> np.ndarray:
+        """The hashes in turn, with a 0 after the last word of each piece."""
+        h, starts, _ = self.spans(buffer)
+        if not len(h):
+            return h
+        ends = np.flatnonzero(np.frombuffer(buffer, "uint8") == 0xFF)
+        after = np.unique(np.searchsorted(starts, ends))  # words before each end
+        return np.insert(h, after[after > 0], np.uint64(0))
 
 
 def _places(lang: str, h: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
     """Hashes of the phrases of k words that begin at ``at``; the last bits are their places in a bitmap."""
-    words = _mixed(h)
+    words = mixed(h)
     total = np.full(len(at), xxhash.xxh64_intdigest(lang.encode()), "uint64")
     for j in range(k):
         total += words[at + j] * _FACTORS[j]
-    return _mixed(total)
+    return mixed(total)
 
 
 def _among(bits: np.ndarray, places: np.ndarray) -> np.ndarray:
@@ -103,25 +104,37 @@ def _lang(df: DataFrame) -> DataFrame:
 def word_counts(docs: DataFrame, seed: int) -> DataFrame:
     """lang, h (hash), word, other, n of every word: ``other`` differs from ``word`` where two words share a hash."""
 
-    def rows(counts: dict[str, Counter], hashes: _Hashes):
-        for lang, found in counts.items():
-            found.pop(BREAK, None)
-            yield {
-                "lang": pa.repeat(pa.scalar(lang), len(found)),
-                "h": np.frombuffer(b"".join(map(hashes.__getitem__, found)), "int64"),
-                "word": pa.array(list(found), pa.binary()).cast(pa.string()),
-                "n": list(found.values()),
-            }
+    def rows(lang: str, found: dict[bytes, list[int]]):
+        return {
+            "lang": pa.repeat(pa.scalar(lang), len(found)),
+            "h": np.array([h for h, _ in found.values()], "uint64").view("int64"),
+            "word": pa.array(list(found), pa.binary()).cast(pa.string()),
+            "n": [n for _, n in found.values()],
+        }
 
     def run(slabs):
-        hashes, counts = _Hashes(seed), {}
+        words, held, counts = Words(seed), {}, {}
+
+        def count(lang: str) -> None:
+            buffer = plain_bytes(held.pop(lang))
+            found = counts.setdefault(lang, {})
+            h, starts, ends = words.spans(buffer)
+            _, first, many = np.unique(h, return_index=True, return_counts=True)
+            for hashed, a, b, n in zip(h[first].tolist(), starts[first].tolist(), ends[first].tolist(), many.tolist()):
+                found.setdefault(buffer[a:b], [hashed, 0])[1] += n
+
         for langs, texts in slabs:
             for lang, text in zip(as_text(langs), as_bytes(texts)):
-                counts.setdefault(lang, Counter()).update(tokens(text))
+                held.setdefault(lang, []).append(text)
+            if sum(len(t) for ts in held.values() for t in ts) > BUFFER:
+                for lang in list(held):
+                    count(lang)
             if sum(map(len, counts.values())) > CACHE:
-                yield from rows(counts, hashes)
+                yield from (rows(*x) for x in counts.items())
                 counts = {}
-        yield from rows(counts, hashes)
+        for lang in list(held):
+            count(lang)
+        yield from (rows(*x) for x in counts.items())
 
     counted = map_rows(_lang(docs), ["lang", "text"], "lang string, h long, word string, n long", run)
     return counted.groupBy("lang", "h").agg(
@@ -175,15 +188,14 @@ def first_relation(docs: DataFrame, bits: np.ndarray, seed: int) -> DataFrame:
     """lang, words: the runs of frequent words of two words and more, a few texts of a language to a row."""
 
     def run(slabs):
-        hashes = _Hashes(seed)
+        words = Words(seed)
         for langs, texts in slabs:
             names, lists = [], []
             held: dict[str, list[bytes]] = {}
             for lang, text in zip(as_text(langs), as_bytes(texts)):
-                held.setdefault(lang, []).extend(map(hashes.__getitem__, tokens(text)))
-                held[lang].append(hashes[BREAK])
-            for lang, parts in held.items():
-                found = _semi_joined(np.frombuffer(b"".join(parts), "uint64"), lang, bits, 1)
+                held.setdefault(lang, []).append(text)
+            for lang, mine in held.items():
+                found = _semi_joined(words.runs(plain_bytes(mine)), lang, bits, 1)
                 if len(found):
                     names.append(lang)
                     lists.append(found.view("int64"))

@@ -105,12 +105,24 @@ def test_buckets_add_up_over_many_tasks(mine, monkeypatch):
     assert found == [("en", p, 60) for p in ("x", "x y", "x y z", "y", "y z", "z")]
 
 
-def test_shared_hashes_ask_for_another_seed(mine, monkeypatch):
-    rows = [("en", "x y x y x y")] * 3
-    real = C.xxhash.xxh64_intdigest
-    monkeypatch.setattr(C.xxhash, "xxh64_intdigest", lambda w, seed=0: 7 if seed == 0 and w in (b"x", b"y") else real(w, seed))
-    hashes = C._Hashes(0)
-    assert hashes[b"x"] == hashes[b"y"] and C._Hashes(1)[b"x"] != C._Hashes(1)[b"y"]
+def test_runs():
+    words = C.Words(0)
+    buffer = C.plain_bytes([b"A b,, c\t d. ", b"", b".e", b"!", b"a"])
+    h = words.runs(buffer).tolist()
+    a, e = h[0], h[6]
+    assert [x == 0 for x in h] == [False, False, True, False, False, True, False, True, False, True]
+    assert h[8] == a != e and len(words.runs(C.plain_bytes([b"", b" . "]))) == 0
+
+
+def test_shared_hashes_ask_for_another_seed(spark, monkeypatch):
+    counted = {
+        0: [("en", 7, "x", "y", 5), ("en", 8, "z", "z", 1)],
+        1: [("en", 7, "x", "x", 3), ("en", 9, "y", "y", 2), ("en", 8, "z", "z", 1)],
+    }
+    schema = "lang string, h long, word string, other string, n long"
+    monkeypatch.setattr(C, "word_counts", lambda docs, seed: spark.createDataFrame(counted[seed], schema))
+    found, seed = C.vocabulary(None)
+    assert seed == 1 and found.count() == 3 and found.columns == ["lang", "h", "word", "n"]
 
 
 def test_empty(make):
