@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratewright.llm.text import WORD
+from ratewright.llm.text import WORD, whole_rows
 from ratewright.storage import materialise
 
 WEIGHTS = (5, 2, 1)
@@ -153,18 +153,11 @@ def mixed(docs: DataFrame, weights: Sequence[float] = WEIGHTS, limit: int = LIMI
     """The mixed stream: the rows of ``docs``, a row for each time it is taken, range-sorted by virtual finish
     time. Documents without words do not come. ``docs`` must be a stored table: its rows are numbered in two
     scans, which have to agree."""
-    numbered = docs.withColumn("mix_row", F.monotonically_increasing_id())
-    rows = materialise(
-        numbered.select(
-            F.col("mix_row").alias("row"), "doc_id", "source", word_count().alias("size"), shuffled().alias("place")
-        ),
-        "mix_rows",
-    )
+    rows = materialise(_rows(docs), "mix_rows")
     plan = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, limit)
     timed = materialise(finish_times(rows, plan), "mix_times")
     counts = timed.join(taken(timed, limit), "row").where("size > 0")
     turns = counts.withColumn("turn", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
     finish = (F.col("turn") * F.col("source_size") + F.col("upto")).cast("double") / F.col("target")
-    keyed = turns.select(F.col("row").alias("mix_row"), finish.alias("mix_finish"), "turn", "place")
-    joined = numbered.join(keyed, "mix_row")
-    return joined.orderBy("mix_finish", "place", "turn", "mix_row").select(docs.columns)
+    keyed = turns.select("row", finish.alias("finish"), "turn", "place")
+    return whole_rows(docs).join(keyed, "row").orderBy("finish", "place", "turn", "row").select("doc.*")

@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratewright.llm.text import as_bytes, check_value, id_type, map_rows, words
+from ratewright.llm.text import as_bytes, check_value, id_type, map_rows, numbered_columns, words
 
 HASHED = 1 << 15
 BINS = 12
@@ -227,7 +227,8 @@ def score(docs: DataFrame, machine: Machine, threshold: float = THRESHOLD) -> Da
 
 
 def accept(docs: DataFrame, machine: Machine, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that the machine does not reject, all columns as they are."""
+    """The rows of ``docs`` that the machine does not reject, all columns as they are. Without a column n_chars no length
+    is declared, as in ``score``."""
     names = docs.columns
 
     def batches(source):
@@ -237,8 +238,12 @@ def accept(docs: DataFrame, machine: Machine, threshold: float = THRESHOLD) -> D
         for batch in source:
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
-                sizes = part.column(names.index("n_chars")).cast(pa.int64())
+                if "n_chars" in names:
+                    sizes = part.column(names.index("n_chars")).cast(pa.int64())
+                else:
+                    sizes = pa.nulls(part.num_rows, pa.int64())
                 found = _margins(machine, featuriser, part.column(names.index("text")), sizes)
-                yield part.filter(pa.array(found >= threshold))
+                kept = part.filter(pa.array(found >= threshold))
+                yield pa.RecordBatch.from_arrays(kept.columns, names=names)
 
-    return docs.mapInArrow(batches, docs.schema)
+    return numbered_columns(docs).mapInArrow(batches, docs.schema)

@@ -13,9 +13,8 @@ import re
 from functools import lru_cache
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from ratewright.llm.text import as_text, id_type, map_rows
+from ratewright.llm.text import as_text, id_type, map_rows, numbered_columns
 
 BASE = ("assign", "access", "hex")
 KINDS = (*BASE, "random")
@@ -177,23 +176,25 @@ def redacted(text: str, spans: list[tuple[str, int, int]], mark: str) -> str:
 
 def redact(docs: DataFrame, path: str | None = None, mark: str = "[secret]") -> DataFrame:
     """``docs`` with every found span replaced by ``mark`` (overlapping spans by one mark) and n_chars counted
-    again where the text changed. Other columns, NULL texts and clean texts stay as they are."""
+    again, if there is such a column, where the text changed. Other columns, NULL texts and clean texts stay as they are."""
     path = path or vocabulary()
-    names, schema = docs.columns, docs.schema
+    names = docs.columns
 
     def batches(source):
         import pyarrow as pa
 
-        at, size = names.index("text"), names.index("n_chars")
+        at, size = names.index("text"), names.index("n_chars") if "n_chars" in names else None
         for batch in source:
-            texts, sizes = batch.column(at).to_pylist(), batch.column(size).to_pylist()
+            texts = batch.column(at).to_pylist()
+            sizes = batch.column(size).to_pylist() if size is not None else [None] * len(texts)
             for i, text in enumerate(texts):
                 if text and (spans := find(text, path)):
                     texts[i] = redacted(text, spans, mark)
                     sizes[i] = len(texts[i])
             columns = list(batch.columns)
             columns[at] = pa.array(texts, type=columns[at].type)
-            columns[size] = pa.array(sizes, type=columns[size].type)
-            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+            if size is not None:
+                columns[size] = pa.array(sizes, type=columns[size].type)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return docs.select([F.col(c) for c in names]).mapInArrow(batches, schema)
+    return numbered_columns(docs).mapInArrow(batches, docs.schema)

@@ -52,3 +52,31 @@ def test_odd_rows_pass_every_stage(spark, sf_dir, odd, odd_rows, make):
 def test_run_gives_the_last_stage(spark, sf_dir):
     df = corpus_pipeline.run(spark, sf_dir)
     assert df.columns == ["doc_id", "source", "ids", "n_ids", "exact"] and df.count() > 0
+
+
+def test_columns_of_any_name_come_through(spark, sf_dir, make, odd_rows):
+    """Every name that the stages' operators use inside, on the table itself: the stages give what they give without."""
+    from pyspark.sql import functions as F
+
+    names = (
+        "row doc key node n rare one two size place turn finish target upto mix_row mix_finish jaccard_row keep label part "
+        "source_size copies held_out score"
+    ).split()
+    plain = extra = materialise(make(odd_rows).repartition(2), "plain")
+    extra = materialise(plain.withColumns({c: F.lit(f"of {c}") for c in names} | {"a.b": F.lit(5)}), "extra")
+    for name, stage in corpus_pipeline.STAGES:
+        plain, extra = (materialise(stage(spark, d, sf_dir), name) for d in (plain, extra))
+        shared = plain.columns
+        assert sorted(map(str, extra.select(shared).collect())) == sorted(map(str, plain.collect()))
+        if name != "pieces":
+            assert set(extra.columns) == {*shared, *names, "a.b"}
+            assert all(r[c] == f"of {c}" for r in extra.collect() for c in names)
+
+
+def test_without_a_declared_length(spark, sf_dir, documents):
+    docs = materialise(documents.drop("n_chars"), "short")
+    for name, stage in corpus_pipeline.STAGES:
+        docs = materialise(stage(spark, docs, sf_dir), name)
+        if name != "pieces":
+            assert docs.columns == ["doc_id", "text", "lang", "source"]
+    assert docs.count() > 0
