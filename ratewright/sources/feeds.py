@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ratewright.functions.columns import relabel, strip_quotes
+from ratewright.storage import materialise
 
 # Names and code tables of the public source data and of the feeds.
 POLICY_COLUMNS = {
@@ -115,10 +116,14 @@ def feed_rows(df: DataFrame, feed) -> DataFrame:
 
 
 def _write(df: DataFrame, path: str, feed, compression: str, rows_per_file: int) -> None:
+    write_elements(feed_rows(df, feed), path, feed, compression, rows_per_file)
+
+
+def write_elements(rows: DataFrame, path: str, feed, compression: str = "gzip", rows_per_file: int = 250_000) -> None:
+    """Rows that have the element structure already, and maybe elements the feed's fields do not list."""
     root, row, _ = feed
     (
-        feed_rows(df, feed)
-        .write.format("xml")
+        rows.write.format("xml")
         .mode("overwrite")
         .option("rootTag", root)
         .option("rowTag", row)
@@ -228,11 +233,70 @@ def feed_quality(spark: SparkSession, path: str, feed=POLICY_FEED, pattern: str
     return rows.agg(F.array(*entries).alias("rows")).select(F.inline("rows"))
 
 
+def _merged(known: T.StructType, found: T.StructType) -> T.StructType:
+    """``known`` and what else was found, at every depth."""
+    out, seen = T.StructType(), {f.name: f.dataType for f in found}
+    for f in known:
+        other = seen.pop(f.name, None)
+        both = isinstance(f.dataType, T.StructType) and isinstance(other, T.StructType)
+        out.add(f.name, _merged(f.dataType, other) if both else f.dataType)
+    for name, kind in seen.items():
+        out.add(name, kind)
+    return out
+
+
 def land_feed(spark: SparkSession, path: str, feed=POLICY_FEED, pattern: str | None = None) -> DataFrame:
-    """Untyped landing: one ``SRC`` variant per element, no element dropped and every leaf as the text it
-    holds, so a code such as ``007`` stays what it is."""
-    rows = _scan(spark, path, feed, pattern)
-    return rows.select(F.to_variant_object(F.struct(*rows.columns)).alias("SRC"))
+    """Untyped landing: one ``SRC`` variant per element with all that is in it, whether the feed's fields list it or not:
+    nested elements, repeated ones (as arrays) and attributes (under ``_`` and their name). Every leaf is the text it
+    holds, so a code such as ``007`` stays what it is. What there is besides the listed fields is found by one pass over
+    the feed before the one that lands it."""
+    _, row, fields = feed
+    location = f"{path.rstrip('/')}/{pattern}" if pattern else path
+    reader = spark.read.format("xml").option("rowTag", row)
+    found = reader.option("inferSchema", "false").load(location).schema
+    rows = reader.schema(_merged(_leaf_schema(fields), found)).load(location)
+    return rows.select(F.to_variant_object(F.struct(*[F.col(f"`{c}`") for c in rows.columns])).alias("SRC"))
+
+
+LEAF_TYPES = ("bigint", "double", "boolean", "date")  # the first that all texts of a path parse as
+
+
+def feed_paths(landed: DataFrame) -> DataFrame:
+    """(PATH, ROWS, LEAVES, TYPE): where text stands in landed variants, in how many rows, how often, and the narrowest
+    type that all of it parses as. Elements of arrays share a path, which ends in ``[]``.
+
+    Walks the variants level by level, all rows at once; a level per depth of the feed.
+    """
+    source = landed.select(F.monotonically_increasing_id().alias("row"), F.lit("").alias("path"), F.col("SRC").alias("v"))
+    tvf, leaves, level = landed.sparkSession.tvf, None, source
+    while True:
+        opened = level.lateralJoin(tvf.variant_explode(F.col("v").outer()))
+        step = F.when(F.col("key").isNull(), F.lit("[]")).otherwise(
+            F.concat(F.when(F.col("path") == "", F.lit("")).otherwise(F.lit(".")), F.col("key"))
+        )
+        opened = opened.select("row", F.concat("path", step).alias("path"), F.col("value").alias("v"))
+        opened = opened.where(~F.is_variant_null("v")).withColumn("kind", F.schema_of_variant("v"))
+        nested = F.col("kind").startswith("OBJECT") | F.col("kind").startswith("ARRAY")
+        opened = materialise(opened, "feed_level")
+        found = opened.where(~nested).select("row", "path", F.try_variant_get("v", "$", "string").alias("text"))
+        leaves = found if leaves is None else leaves.unionByName(found)
+        level = opened.where(nested).select("row", "path", "v")
+        if level.isEmpty():
+            break
+    # a row's leaves of one path first, so that rows are counted without a set of them
+    per_row = leaves.groupBy("path", "row").agg(
+        F.count("text").alias("n"), *[F.count(F.trim("text").try_cast(t)).alias(t) for t in LEAF_TYPES]
+    )
+    kind = F.coalesce(*[F.when(F.sum("n") == F.sum(t), F.lit(t)) for t in LEAF_TYPES], F.lit("string"))
+    return per_row.groupBy(F.col("path").alias("PATH")).agg(
+        F.count("*").alias("ROWS"), F.sum("n").alias("LEAVES"), kind.alias("TYPE")
+    )
+
+
+def feed_unknown_paths(landed: DataFrame, feed=POLICY_FEED) -> DataFrame:
+    """``feed_paths`` of what the feed's fields do not list: what a sender has added since they were agreed."""
+    _, _, fields = feed
+    return feed_paths(landed).where(~F.col("PATH").isin([path for _, path, _ in fields]))
 
 
 def extract_fields(landed: DataFrame, feed=POLICY_FEED) -> DataFrame:

@@ -123,3 +123,30 @@ def test_claims_of_one_policy_all_arrive(spark, sf_dir, tmp_path):
     assert back.count() == sev.count()
     gap = abs(back.agg(F.sum("CLAIM_AMOUNT")).first()[0] - sev.agg(F.sum("CLAIM_AMOUNT")).first()[0])
     assert gap < 0.005 * back.count()
+
+
+def test_what_no_field_lists_survives_landing(spark, tmp_path):
+    (tmp_path / "a_policy_freq.xml").write_text(
+        '<PolicyFeed><Policy id="9"><PolicyId>007</PolicyId><RoofType>Tile</RoofType><Risk><TerritoryCode>A</TerritoryCode>'
+        "<Sprinkler>1</Sprinkler></Risk><Tag>x</Tag><Tag>2</Tag></Policy><Policy><PolicyId>8</PolicyId><Tag>z</Tag>"
+        "<Risk><Deep><Level>0.5</Level></Deep></Risk><Built>2020-01-02</Built></Policy></PolicyFeed>"
+    )
+    landed = feeds.land_feed(spark, str(tmp_path), feeds.POLICY_FEED, feeds.POLICY_PATTERN)
+    found = {r["PATH"]: (r["ROWS"], r["LEAVES"], r["TYPE"]) for r in feeds.feed_unknown_paths(landed).collect()}
+    assert found == {
+        "RoofType": (1, 1, "string"), "Risk.Sprinkler": (1, 1, "bigint"), "Tag[]": (2, 3, "string"), "_id": (1, 1, "bigint"),
+        "Risk.Deep.Level": (1, 1, "double"), "Built": (1, 1, "date"),
+    }
+    assert feeds.feed_paths(landed).where("PATH = 'PolicyId'").first()["ROWS"] == 2
+    rows = feeds.extract_fields(landed).orderBy("POLICY_ID").collect()
+    assert rows == feeds.read_policy_feed(spark, str(tmp_path), feeds.POLICY_PATTERN).orderBy("POLICY_ID").collect()
+    from pyspark.sql import functions as F
+
+    text = landed.select(F.try_variant_get("SRC", "$.PolicyId", "string").alias("t")).collect()
+    assert {r["t"] for r in text} == {"007", "8"}
+
+
+def test_landing_an_empty_feed(spark, tmp_path):
+    (tmp_path / "a_policy_freq.xml").write_text("<PolicyFeed></PolicyFeed>")
+    landed = feeds.land_feed(spark, str(tmp_path), feeds.POLICY_FEED, feeds.POLICY_PATTERN)
+    assert landed.count() == 0 and feeds.feed_unknown_paths(landed).collect() == []

@@ -432,6 +432,41 @@ ORACLE: dict[str, str] = {
         """SELECT 0.0::DOUBLE AS ALPHA, count(*) AS FOLDS, round(avg(RMSE), 3) AS CV_RMSE_MEAN,
           round(stddev_pop(RMSE), 3) AS CV_RMSE_STD FROM cv_folds""",
     ),
+    "alpha_grid_one_way": sql(
+        "cv_folds",
+        """SELECT ALPHA, count(*) AS FOLDS, round(avg(RMSE), 3) AS CV_RMSE_MEAN, round(stddev_pop(RMSE), 3) AS CV_RMSE_STD
+        FROM (SELECT 0.0::DOUBLE AS ALPHA, FOLD, RMSE FROM cv_folds
+          UNION ALL
+          SELECT 1e15::DOUBLE, h.FOLD, sqrt(sum(h.EXPOSURE * (h.PURE_PREMIUM - t.M) * (h.PURE_PREMIUM - t.M)) / sum(h.EXPOSURE))
+          FROM scored h JOIN (
+            SELECT f.FOLD, sum(s.CLAIM_AMOUNT) / sum(s.EXPOSURE) AS M
+            FROM (SELECT DISTINCT FOLD FROM scored) f JOIN scored s ON s.FOLD <> f.FOLD GROUP BY f.FOLD) t
+            ON t.FOLD = h.FOLD
+          GROUP BY h.FOLD)
+        GROUP BY ALPHA""",
+    ),
+    "feed_unknown_paths": sql(
+        "home_policy_freq",
+        """SELECT PATH, CAST(ROWS AS BIGINT) AS ROWS, CAST(LEAVES AS BIGINT) AS LEAVES, TYPE FROM (
+          SELECT 'RoofType' AS PATH, count(*) FILTER (POLICY_ID % 3 = 0) AS ROWS, count(*) FILTER (POLICY_ID % 3 = 0) AS LEAVES,
+            'string' AS TYPE FROM home_policy_freq
+          UNION ALL SELECT 'Risk.Sprinkler', count(*) FILTER (POLICY_ID % 4 = 1), count(*) FILTER (POLICY_ID % 4 = 1), 'boolean'
+            FROM home_policy_freq
+          UNION ALL SELECT 'Note[]', count(*) FILTER (POLICY_ID % 7 = 0), 2 * count(*) FILTER (POLICY_ID % 7 = 0), 'string'
+            FROM home_policy_freq
+          UNION ALL SELECT 'Inspection.Day', count(*) FILTER (POLICY_ID % 5 = 2), count(*) FILTER (POLICY_ID % 5 = 2), 'date'
+            FROM home_policy_freq
+          UNION ALL SELECT 'Storeys', count(*) FILTER (POLICY_ID % 2 = 0), count(*) FILTER (POLICY_ID % 2 = 0), 'bigint'
+            FROM home_policy_freq)""",
+    ),
+    "xml_extended_landing": sql(
+        "home_policy_freq",
+        """SELECT POLICY_ID, TERRITORY_CODE, CASE WHEN POLICY_ID % 3 = 0 THEN 'R' || (POLICY_ID % 5) END AS ROOF_TYPE,
+          CASE WHEN POLICY_ID % 4 = 1 THEN 'true' END AS SPRINKLER, CASE WHEN POLICY_ID % 7 = 0 THEN 'second' END AS SECOND_NOTE,
+          CASE WHEN POLICY_ID % 5 = 2 THEN strftime(DATE '2020-01-01' + CAST(POLICY_ID % 28 AS INT), '%Y-%m-%d') END AS INSPECTED,
+          CASE WHEN POLICY_ID % 2 = 0 THEN CAST(POLICY_ID % 4 AS INT) END AS STOREYS
+        FROM home_policy_freq""",
+    ),
     "glm_relativities_one_way": sql(
         "level_means",
         """SELECT 'BASE_RATE' AS FEATURE, round(M, 4) AS RELATIVITY FROM level_means WHERE TERRITORY_CODE = 'AFRICA'

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ratewright.functions.columns import indicator, key_slot
 from ratewright.functions.ordered import approximate_quantiles, exact_quantiles
+from ratewright.operators import crossval as cv
 from ratewright.operators import diagnostics as dia
 from ratewright.operators import dictionary as dic
 from ratewright.operators import explain as exp
@@ -361,7 +362,7 @@ def glm_cv_one_way(spark, sf_dir):
 @query
 def cv_mean_and_std(spark, sf_dir):
     df, features = territory_design(spark, sf_dir)
-    folds = mdl.cross_validate(df, features, k=5, alphas=[0.0], collapse=True)
+    folds = cv.cross_validate_grid(df, features, k=5, alphas=[0.0], collapse=True)
     return rounded(mdl.cv_summary(folds), CV_RMSE_MEAN=3, CV_RMSE_STD=3)
 
 
@@ -369,7 +370,16 @@ def cv_mean_and_std(spark, sf_dir):
 def alpha_grid(spark, sf_dir):
     """Regularisation strengths compared by cross-validated error, five folds and all features."""
     df, features = full_design(spark, sf_dir)
-    return mdl.cv_summary(mdl.cross_validate(df, features, k=5, alphas=[0.1, 0.5]))
+    return mdl.cv_summary(cv.cross_validate_grid(df, features, k=5, alphas=[0.1, 0.5]))
+
+
+@query
+def alpha_grid_one_way(spark, sf_dir):
+    """Two ends of the grid on one factor: without a penalty a fold is predicted by the level means of the others, with a
+    boundless one by their overall mean."""
+    df, features = territory_design(spark, sf_dir)
+    folds = cv.cross_validate_grid(df, features, k=5, alphas=[0.0, 1e15], collapse=True)
+    return rounded(mdl.cv_summary(folds), CV_RMSE_MEAN=3, CV_RMSE_STD=3)
 
 
 @query
@@ -762,6 +772,46 @@ def xml_variant_landing(spark, sf_dir):
     return feeds.extract_fields(landed)
 
 
+def extended_feed(spark: SparkSession, sf_dir: str) -> str:
+    """A policy feed whose sender has added elements: a roof type, a sprinkler flag within the risk, notes that repeat, and an
+    inspection date, each on some policies only."""
+    key = F.col("PolicyId")
+    rows = feeds.feed_rows(policy_freq(spark, sf_dir), feeds.POLICY_FEED)
+    rows = rows.withColumns(
+        {
+            "RoofType": F.when(key % 3 == 0, F.concat(F.lit("R"), key % 5)),
+            "Risk": F.col("Risk").withField("Sprinkler", F.when(key % 4 == 1, key % 2 == 1)),
+            "Note": F.when(key % 7 == 0, F.array(F.lit("first"), F.lit("second"))),
+            "Inspection": F.when(
+                key % 5 == 2, F.struct(F.date_add(F.lit("2020-01-01").cast("date"), (key % 28).cast("int")).alias("Day"))
+            ),
+            "Storeys": F.when(key % 2 == 0, key % 4),
+        }
+    )
+    path = scratch_path(spark, "extended")
+    feeds.write_elements(rows, path, feeds.POLICY_FEED)
+    return path
+
+
+@query
+def feed_unknown_paths(spark, sf_dir):
+    """Elements that landed though the feed's fields do not list them."""
+    return feeds.feed_unknown_paths(feeds.land_feed(spark, extended_feed(spark, sf_dir)))
+
+
+@query
+def xml_extended_landing(spark, sf_dir):
+    """The known columns of a feed with additions, and the additions by their paths."""
+    landed = feeds.land_feed(spark, extended_feed(spark, sf_dir))
+    added = {
+        "ROOF_TYPE": ("$.RoofType", "string"), "SPRINKLER": ("$.Risk.Sprinkler", "string"),
+        "SECOND_NOTE": ("$.Note[1]", "string"), "INSPECTED": ("$.Inspection.Day", "string"), "STOREYS": ("$.Storeys", "int"),
+    }
+    known = feeds.POLICY_FEED[2][:1] + feeds.POLICY_FEED[2][6:7]
+    columns = [F.try_variant_get("SRC", f"$.{path}", kind).alias(c) for c, path, kind in known]
+    return landed.select(*columns, *[F.try_variant_get("SRC", path, kind).alias(c) for c, (path, kind) in added.items()])
+
+
 @query
 def feed_quality(spark, sf_dir):
     return feeds.feed_quality(spark, inbound(spark, sf_dir), feeds.POLICY_FEED, feeds.POLICY_PATTERN)
