@@ -727,3 +727,12 @@ ORACLE["sketched_quantile_ranks"] = "\nUNION ALL ".join(
     f"SELECT '{c}' AS COLUMN_NAME, unnest([0.1, 0.5, 0.9])::DOUBLE AS POINT, true AS WITHIN" for c in IMPUTED
 )
 ORACLE["batch_scores"] = ORACLE["glm_one_way"]
+ORACLE["batch_quantile_ranks"] = ORACLE["sketched_quantile_ranks"]
+ORACLE["bucketed_policies_with_claims"] = ORACLE["policies_with_claims"]
+ORACLE["bucketed_spine_features"] = ORACLE["spine_features"]
+ORACLE["batch_distinct_counts"] = "\nUNION ALL ".join(
+    f"""SELECT '{t}' AS TABLE_NAME, c.column_name AS COLUMN_NAME, n.ROW_COUNT, n.ROW_COUNT - c.VALUE_COUNT AS NULL_COUNT, true AS WITHIN
+    FROM (UNPIVOT (SELECT CAST(count(COLUMNS(*)) AS BIGINT) FROM {t}) ON COLUMNS(*) INTO NAME column_name VALUE VALUE_COUNT) c,
+      (SELECT count(*) AS ROW_COUNT FROM {t}) n"""
+    for t in TABLES
+)

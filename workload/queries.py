@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,10 +17,11 @@ from ratewright.operators import explain as exp
 from ratewright.operators import leafwise as lw
 from ratewright.operators import models as mdl
 from ratewright.operators import policy as pol
+from ratewright.operators import sketches as sk
 from ratewright.operators import splits as spl
 from ratewright.operators.features import DECILES, FeaturePlan, FeatureSpec, feature_columns, level_table
 from ratewright.plans.pricing import Names, burning_cost, freeze_study, score_policies, train_and_register
-from ratewright.sources import feeds
+from ratewright.sources import catalog, feeds
 from ratewright.sources.adapter import policy_freq, policy_sev, read_table, sample_score
 from ratewright.sources.store import PricingStore, entity_check, spine_join
 from ratewright.storage import materialise, scratch_path, spread
@@ -134,6 +136,30 @@ def portfolio_counts(spark, sf_dir):
     return counts.agg(*[F.sum(c).alias(c) for c in counts.columns])
 
 
+def bucketed(df: DataFrame, label: str) -> str:
+    """A catalog table of its own, bucketed by policy."""
+    name = f"{label}_{uuid.uuid4().hex}"
+    catalog.save_bucketed(df, name, "POLICY_ID", catalog.buckets_for(df))
+    return name
+
+
+@query
+def bucketed_policies_with_claims(spark, sf_dir):
+    """Claims summed and joined inside the buckets of two catalog tables."""
+    tables = bucketed(policy_freq(spark, sf_dir), "policies"), bucketed(policy_sev(spark, sf_dir), "claims")
+    joined = catalog.bucketed_claims(spark, *tables)
+    return rounded(joined.select("POLICY_ID", "CLAIM_COUNT", "CLAIM_AMOUNT"), CLAIM_AMOUNT=4)
+
+
+@query
+def bucketed_spine_features(spark, sf_dir):
+    df = pol.add_targets(prepared(spark, sf_dir))
+    train, _ = spl.hash_split(df.select("POLICY_ID", "PURE_PREMIUM", "EXPOSURE"))
+    view = df.select("POLICY_ID", indicator(F.col("OCCUPANCY_TYPE") == "Owner-Occupied").alias("OWNER"))
+    joined = catalog.bucketed_spine(spark, bucketed(train, "spine"), bucketed(view, "view"))
+    return rounded(joined, PURE_PREMIUM=6)
+
+
 # -- features ----------------------------------------------------------------------------------
 
 
@@ -166,6 +192,47 @@ def sketched_quantile_ranks(spark, sf_dir):
     return df.agg(F.array(*entries).alias("rows")).select(F.inline("rows"))
 
 
+def batch_sketches(spark: SparkSession, df: DataFrame, table: str, path: str) -> None:
+    """Two batches of a table, each read alone and appended to the table of sketches."""
+    for batch in (0, 1):
+        rows = df.where(F.pmod(F.xxhash64(*df.columns), F.lit(2)) == batch)
+        sk.sketch_batch(rows, table, str(batch)).write.mode("append").parquet(path)
+
+
+@query
+def batch_quantile_ranks(spark, sf_dir):
+    """Quantiles merged from the sketches of two batches, judged by their true ranks in the whole table."""
+    df, points, path = stored(spark, sf_dir), [0.1, 0.5, 0.9], scratch_path(spark, "sketches")
+    batch_sketches(spark, df.select(*SPEC.imputed), "policies", path)
+    merged = sk.merge_batches(spark.read.parquet(path))
+    found = {r["COLUMN_NAME"]: r["VALUES"] for r in sk.profile(merged, points).collect()}  # a row per column
+    entries = []
+    for c in SPEC.imputed:
+        for p, value in zip(points, found[c]):
+            below, upto, n = F.count_if(F.col(c) < value), F.count_if(F.col(c) <= value), F.count(c)
+            close = (below <= (p + 0.002) * n + 1) & (upto >= (p - 0.002) * n - 1)
+            entries.append(F.struct(F.lit(c).alias("COLUMN_NAME"), F.lit(p).alias("POINT"), close.alias("WITHIN")))
+    return df.agg(F.array(*entries).alias("rows")).select(F.inline("rows"))
+
+
+@query
+def batch_distinct_counts(spark, sf_dir):
+    """Distinct counts of every column of every table, merged from two batches, within 2 % of the exact ones."""
+    path, exact = scratch_path(spark, "sketches"), None
+    for name in TABLES:
+        df = read_table(spark, sf_dir, name)
+        batch_sketches(spark, df, name, path)
+        counts = [
+            F.struct(F.lit(name).alias("TABLE_NAME"), F.lit(c).alias("COLUMN_NAME"), F.count_distinct(c).alias("EXACT"))
+            for c in df.columns
+        ]
+        part = df.agg(F.array(*counts).alias("rows")).select(F.inline("rows"))
+        exact = part if exact is None else exact.unionByName(part)
+    found = sk.profile(sk.merge_batches(spark.read.parquet(path))).join(exact, ["TABLE_NAME", "COLUMN_NAME"])
+    close = F.abs(F.col("DISTINCT_COUNT") - F.col("EXACT")) <= F.greatest(F.lit(1), 0.02 * F.col("EXACT"))
+    return found.select("TABLE_NAME", "COLUMN_NAME", "ROW_COUNT", "NULL_COUNT", close.alias("WITHIN"))
+
+
 @query
 def impute(spark, sf_dir):
     df = stored(spark, sf_dir)
