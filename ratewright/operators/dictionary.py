@@ -81,10 +81,22 @@ def table_sizes(spark: SparkSession, paths: Mapping[tuple[str, str], str]) -> Da
     return _union(parts)
 
 
+def with_sizes(profile: DataFrame, sizes: DataFrame) -> DataFrame:
+    """A table profile with BYTES and LAST_ALTERED of ``table_sizes``; NULL for tables without files."""
+    return profile.join(sizes.select(*KEYS, "BYTES", "LAST_ALTERED"), KEYS, "left")
+
+
+def with_distincts(columns: DataFrame, profiles: DataFrame) -> DataFrame:
+    """A column profile with DISTINCT_COUNT of ``sketches.profile``, whose tables go by their names alone."""
+    found = profiles.select("TABLE_NAME", "COLUMN_NAME", "DISTINCT_COUNT")
+    return columns.join(found, ["TABLE_NAME", "COLUMN_NAME"], "left")
+
+
 def schema_rollup(profile: DataFrame) -> DataFrame:
-    """(TABLE_SCHEMA, TABLES, COLUMN_COUNT, ROW_COUNT) per schema."""
+    """(TABLE_SCHEMA, TABLES, COLUMN_COUNT, ROW_COUNT) per schema, and BYTES if the profile has them."""
+    sums = [c for c in ("COLUMN_COUNT", "ROW_COUNT", "BYTES") if c in profile.columns]
     return profile.where("upper(TABLE_SCHEMA) <> 'INFORMATION_SCHEMA'").groupBy("TABLE_SCHEMA").agg(
-        F.count("*").alias("TABLES"), F.sum("COLUMN_COUNT").alias("COLUMN_COUNT"), F.sum("ROW_COUNT").alias("ROW_COUNT")
+        F.count("*").alias("TABLES"), *[F.sum(c).alias(c) for c in sums]
     )
 
 
@@ -163,7 +175,10 @@ def mirror_descriptions(spark: SparkSession, descriptions: DataFrame) -> int:
 
 def build_dictionary(tables: DataFrame, columns: DataFrame, descriptions: DataFrame) -> DataFrame:
     """Tables joined with their columns and with both kinds of description; catalog comments fill
-    in where no description was given."""
+    in where no description was given. BYTES and LAST_ALTERED (``with_sizes``) and DISTINCT_COUNT (``with_distincts``) are
+    carried along where they are known."""
+    more = [c for c in ("BYTES", "LAST_ALTERED") if c in tables.columns]
+    more += [c for c in ("DISTINCT_COUNT",) if c in columns.columns]
     about_tables = descriptions.where("COLUMN_NAME IS NULL").select(
         *KEYS, F.col("DESCRIPTION").alias("TABLE_DESCRIPTION")
     )
@@ -189,10 +204,17 @@ def build_dictionary(tables: DataFrame, columns: DataFrame, descriptions: DataFr
             "NUMERIC_SCALE",
             "COLUMN_DEFAULT",
             F.coalesce("given", "COLUMN_COMMENT").alias("COLUMN_DESCRIPTION"),
+            *more,
         )
     )
 
 
+def register_dictionary(dictionary: DataFrame, name: str = "DATA_DICTIONARY") -> str:
+    """The dictionary as a view of the session, for SQL; it replaces an earlier one."""
+    dictionary.createOrReplaceTempView(name)
+    return name
+
+
 def of_table(dictionary: DataFrame, table: str) -> DataFrame:
     return dictionary.where(F.col("TABLE_NAME") == table).orderBy("COL_POSITION")
 

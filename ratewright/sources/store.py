@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ratewright.functions.columns import as_column
+from ratewright.operators.diagnostics import PREDICTED
 from ratewright.operators.features import FeaturePlan
 from ratewright.operators.models import Fit
+from ratewright.sources.feeds import write_predictions_feed
 
 RECORDS = {
     "feature_views": "name string, version string, keys array<string>, columns array<string>, path string, "
@@ -305,6 +307,17 @@ class PricingStore:
         return self.spark.read.parquet(path)
 
 
+    def export_scores(
+        self, model: str, features: DataFrame, path: str, version: str | None = None, key: str = "POLICY_ID"
+    ) -> DataFrame:
+        """Score a frame with a registered version (or the default), keep the scores as a table below ``path`` and write
+        them as an XML feed beside it; returns the scan of the table."""
+        scores = self.score_batch(self.get_model(model, version), features, f"{path}/scores")
+        scores = scores.select(key, PREDICTED)
+        write_predictions_feed(scores, f"{path}/scores.xml")
+        return scores
+
+
 def _now() -> datetime:
     return datetime.now(timezone.utc)
 

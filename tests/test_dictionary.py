@@ -81,3 +81,20 @@ def test_catalog_comments_are_mirrored_and_read_back(spark, tmp_path):
         assert described["data_type"] == "It's a table"
     finally:
         spark.sql("DROP TABLE dictionary_t")
+
+
+def test_sizes_distincts_and_the_view(spark, sf_dir):
+    from ratewright.operators import sketches as sk
+
+    tables = {("s", t): spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("nation", "region")}
+    sizes = dic.table_sizes(spark, {("s", "nation"): f"{sf_dir}/nation.parquet"})
+    profile = dic.with_sizes(dic.table_profile(tables), sizes)
+    sketched = sk.profile(sk.merge_batches(sk.sketch_batch(tables["s", "nation"], "nation", "1")))
+    columns = dic.with_distincts(dic.column_profile(tables), sketched)
+    name = dic.register_dictionary(dic.build_dictionary(profile, columns, dic.no_descriptions(spark)), "DICTIONARY_T")
+    rows = {(r["TABLE_NAME"], r["COLUMN_NAME"]): r for r in spark.sql(f"SELECT * FROM {name}").collect()}
+    assert rows["nation", "n_nationkey"]["DISTINCT_COUNT"] == 25 and rows["nation", "n_nationkey"]["BYTES"] > 0
+    assert rows["region", "r_name"]["BYTES"] is None and rows["region", "r_name"]["DISTINCT_COUNT"] is None
+    rolled = dic.schema_rollup(profile).first()
+    assert rolled["BYTES"] == rows["nation", "n_nationkey"]["BYTES"] and rolled["TABLES"] == 2
+    assert "BYTES" not in dic.schema_rollup(dic.table_profile(tables)).columns

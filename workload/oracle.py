@@ -736,3 +736,6 @@ ORACLE["batch_distinct_counts"] = "\nUNION ALL ".join(
       (SELECT count(*) AS ROW_COUNT FROM {t}) n"""
     for t in TABLES
 )
+ORACLE["model_predictions_xml"] = ORACLE["batch_scores"]
+ORACLE["dictionary_view"] = _DICTIONARY + """SELECT TABLE_NAME, COLUMN_NAME, ROW_COUNT, COL_POSITION, true AS HAS_BYTES,
+  true AS DISTINCT_KNOWN, COLUMN_DESCRIPTION FROM dictionary"""

@@ -939,6 +939,16 @@ def predictions_xml(spark, sf_dir):
     return feeds.read_predictions_feed(spark, f"{path}/feed.xml", table.schema)
 
 
+@query
+def model_predictions_xml(spark, sf_dir):
+    """A registered model's scores of the validation rows, exported to XML and read back."""
+    store, validation = registered(spark, sf_dir)
+    features = validation.select("POLICY_ID", *store.get_model("TWEEDIE_GLM").features)
+    scores = store.export_scores("TWEEDIE_GLM", features, f"{store.root}/export")
+    read = feeds.read_predictions_feed(spark, f"{store.root}/export/scores.xml", scores.schema)
+    return rounded(read, PREDICTED_PURE_PREMIUM=3)
+
+
 # -- data dictionary ---------------------------------------------------------------------------
 
 
@@ -991,6 +1001,25 @@ def dictionary_columns(spark, sf_dir):
     return columns.select("TABLE_NAME", "ORDINAL_POSITION", "COLUMN_NAME", "DATA_TYPE", "MAX_LENGTH", "NULL_COUNT")
 
 
+@query
+def dictionary_view(spark, sf_dir):
+    """The dictionary with bytes and distinct counts as a view, asked in SQL: a row per column, whether its table has a size,
+    and its distinct values within 2 %."""
+    tables = all_tables(spark, sf_dir)
+    paths = {("testdata", t): f"{sf_dir}/{t}.parquet" for t in TABLES}
+    sized = dic.with_sizes(dic.table_profile(tables), dic.table_sizes(spark, paths))
+    sketched = None
+    for name in TABLES:
+        part = sk.sketch_batch(tables["testdata", name], name, "1")
+        sketched = part if sketched is None else sketched.unionByName(part)
+    known = dic.with_distincts(dic.column_profile(tables), sk.profile(sk.merge_batches(sketched)))
+    view = dic.register_dictionary(dic.build_dictionary(sized, known, descriptions(spark)))
+    return spark.sql(
+        f"""SELECT TABLE_NAME, COLUMN_NAME, ROW_COUNT, COL_POSITION, BYTES > 0 AS HAS_BYTES,
+          DISTINCT_COUNT <= greatest(1.02 * ROW_COUNT, 1) AS DISTINCT_KNOWN, COLUMN_DESCRIPTION FROM {view}"""
+    )
+
+
 @query
 def data_dictionary(spark, sf_dir):
     return dictionary(spark, sf_dir)
