@@ -30,6 +30,7 @@ from ratewright.operators.splits import add_fold
 from ratewright.storage import shared_dir
 
 VECTOR = "rating_vector"
+CELLS_PER_PARTITION = 50_000
 
 
 @dataclass
@@ -141,8 +142,9 @@ def _glm(design: _Design, vector: str, **settings) -> tuple:
 def _assembled(
     rows: DataFrame, features: Sequence[str], label: str, weight: str, vector: str, collapse: bool, by: Sequence[str] = ()
 ):
-    """Cached rows (by, vector, y, w, SQUARES) for the many passes of a fit. How many partitions collapsed
-    cells are left in is up to adaptive execution."""
+    """Cached rows (by, vector, y, w, SQUARES) for the many passes of a fit. Collapsed cells are put into as few
+    partitions as their number asks for: adaptive execution leaves a cached frame in all shuffle partitions, and
+    every pass would start that many tasks."""
     if collapse:
         rows = collapse_cells(rows, features, label, weight, by)
     else:
@@ -150,10 +152,19 @@ def _assembled(
     assembled = assembler(features).setOutputCol(vector).transform(rows)
     assembled = assembled.select(*by, vector, F.col(label).alias("y"), F.col(weight).alias("w"), "SQUARES")
     assembled = assembled.persist(StorageLevel.MEMORY_AND_DISK)
+    held = [assembled]
     try:
+        if collapse:
+            wanted = max(1, -(-assembled.count() // CELLS_PER_PARTITION))
+            if wanted < assembled.rdd.getNumPartitions():
+                assembled = assembled.coalesce(wanted).persist(StorageLevel.MEMORY_AND_DISK)
+                held.append(assembled)
+                assembled.count()
+                held[0].unpersist()
         yield assembled
     finally:
-        assembled.unpersist()
+        for frame in held:
+            frame.unpersist()
 
 
 # -- Tweedie GLM -------------------------------------------------------------------------------
