@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratewright.operators.diagnostics import OBSERVED, WEIGHT
-from ratewright.operators.models import collapse_cells, usable_rows
+from ratewright.operators.models import CELLS_PER_PARTITION, collapse_cells, usable_rows
 from ratewright.operators.splits import add_fold
 from ratewright.storage import materialise
 
@@ -47,7 +47,8 @@ def _rows(df: DataFrame, features: Sequence[str], k: int, label: str, weight: st
         F.col("FOLD").cast("int").alias("FOLD"), wide.alias("x"), F.col(label).cast("double").alias("y"),
         F.col(weight).cast("double").alias("w"), F.col("SQUARES").cast("double").alias("squares"),
     )
-    return materialise(rows, "folds")
+    table = materialise(rows, "folds")
+    return table.coalesce(max(1, -(-table.count() // CELLS_PER_PARTITION))) if collapse else table
 
 
 def _sums(rows: DataFrame, fits: Sequence[GridFit], power: float) -> np.ndarray:
