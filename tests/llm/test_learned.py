@@ -42,34 +42,102 @@ def test_base_scores(documents, texts, odd, odd_rows, make):
     assert suffix_tree.scores(make([])).collect() == []
 
 
-def test_rare_words_come_by_the_join(documents, texts, monkeypatch):
-    monkeypatch.setattr(suffix_tree, "SYMBOL", 1e-3)
-    learn = suffix_tree.training(documents)
-    known = suffix_tree.vocabulary(learn)
-    table = suffix_tree.symbols(known, 1e-3)
-    assert len(table.numbers) < 300
-    tree = suffix_tree.grow(table, suffix_tree.follow_counts(learn, table))
-    assert shown(suffix_tree.score(documents, tree, known)) == plain(sorted(texts.items()))
+class PlainTree:
+    """The tree of the module's docstring over words themselves: contexts are tuples, the nearest word last."""
+
+    def __init__(self, texts, context=None, follow=None):
+        seen = [["<", *tokens(t)] for t in texts]
+        self.counts = Counter(w for row in seen for w in row[1:])
+        self.total, self.states = sum(self.counts.values()), {}
+        kept, depth = {()}, 0
+        while kept:
+            depth += 1
+            follows = {}
+            for row in seen:
+                for i in range(depth, len(row)):
+                    c = tuple(row[i - depth : i])
+                    if c[1:] in kept:
+                        follows.setdefault(c, Counter())[row[i]] += 1
+            kept = {c for c, after in follows.items() if self.keep(c, after)}
+
+    def keep(self, context, after):
+        total = sum(after.values())
+        own = {w: (n - suffix_tree.DISCOUNT) / total for w, n in after.items() if n >= suffix_tree.FOLLOW}
+        if total < suffix_tree.CONTEXT or not own:
+            return False
+        before = {w: self.log(context[1:], w) for w in own}
+        rest = 1 - sum(own.values())
+        left = math.log(rest / max(1 - sum(map(math.exp, before.values())), 1e-12))
+        gain = sum(p * (math.log(p) - before[w]) for w, p in own.items()) + rest * left
+        if total * gain < suffix_tree.EVIDENCE * len(own):
+            return False
+        self.states[context] = left, {w: math.log(p) for w, p in own.items()}
+        return True
+
+    def root(self, w):
+        return math.log((self.counts[w] + 0.5) / (self.total + 0.5 * (len(self.counts) + 1)))
+
+    def log(self, context, w):
+        if not context:
+            return self.root(w)
+        left, own = self.states[context]
+        return own[w] if w in own else left + self.log(context[1:], w)
+
+    def score(self, text):
+        row, out = ["<", *tokens(text)], 0.0
+        for i in range(1, len(row)):
+            depth = 0
+            while depth < i and tuple(row[i - depth - 1 : i]) in self.states:
+                depth += 1
+            out += self.log(tuple(row[i - depth : i]), row[i])
+        return out / math.log(10)
+
+
+REPEATED = "the cat sat on the mat and the dog sat on the rug while a bird sang of the old red barn by the sea".split()
 
 
 @pytest.fixture(scope="module")
-def tree(documents):
-    learn = suffix_tree.training(documents)
-    known = suffix_tree.vocabulary(learn)
-    table = suffix_tree.symbols(known, 1e-4)
-    return suffix_tree.grow(table, suffix_tree.follow_counts(learn, table))
-
-
-def test_every_state_sums_to_one(tree):
-    size = len(tree.root)
-    every = np.arange(size)
-    mask = (1 << suffix_tree.BITS) - 1
-    contexts = [(-1, -1)] + [(-1, int(c)) for c in tree.one.contexts[:50]]
-    contexts += [(int(c >> suffix_tree.BITS) - 1, int(c & mask)) for c in tree.two.contexts[:50]]
-    assert len(contexts) > 20
-    for c2, c1 in contexts:
-        logs = tree.logs(np.full(size, c2), np.full(size, c1), every)
-        assert np.exp(logs).sum() == pytest.approx(1, abs=1e-6)
+def chained():
+    """Texts in which words hang on one, two and three words before them."""
+    draw = np.random.default_rng(4)
+    rows = []
+    for i in range(400):
+        text = [REPEATED[k] for k in draw.integers(0, len(REPEATED), 30)]
+        for _ in range(3):
+            x, y = draw.choice(["up", "down"], 2)
+            text += [x, y, "so", f"{x}{y}", "and" if x == y else "or", f"{x}ward"]
+        rows.append((i, " ".join(text)))
+    return rows
+
+
+@pytest.mark.parametrize("hot", [1 << 20, 1])
+def test_scores_equal_a_plain_suffix_tree(chained, make, monkeypatch, hot):
+    monkeypatch.setattr(suffix_tree, "SLOTS", hot)  # with one slot nearly every key comes by the join
+    model = PlainTree([t for i, t in chained if check(i) % 5 != 1])
+    docs = make([(i, t) for i, t in chained])
+    tree = suffix_tree.grow(suffix_tree.training(docs))
+    by_depth = Counter(map(len, model.states))
+    assert [c for c, _ in tree.sizes] == [by_depth[d] for d in range(1, len(by_depth) + 1)]
+    assert len(by_depth) >= 3
+    got = {r["doc_id"]: r["score"] for r in suffix_tree.score(docs, tree).collect()}
+    assert got == {i: pytest.approx(model.score(t), abs=1e-6) for i, t in chained}
+    for context in [(), *list(model.states)[:: max(1, len(model.states) // 40)]]:
+        known = sum(math.exp(model.log(context, w)) for w in model.counts)
+        assert known + math.exp(model.log(context, "no such word")) == pytest.approx(1, abs=1e-9)
+
+
+def test_base_scores_by_the_join(documents, texts, monkeypatch):
+    monkeypatch.setattr(suffix_tree, "SLOTS", 16)
+    assert shown(suffix_tree.scores(documents)) == plain(sorted(texts.items()))
+
+
+def test_a_larger_corpus_teaches_more(spark):
+    sizes = []
+    for sf in ("sf0.001", "sf0.01"):
+        docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+        sizes.append(suffix_tree.grow(suffix_tree.training(docs)).sizes)
+    (small, *_), (large, *_) = sizes
+    assert large[0] > 4 * small[0] and large[1] > 4 * small[1] and len(sizes[1]) >= len(sizes[0])
 
 
 def test_contexts_help_on_held_out_texts(spark):
