@@ -7,11 +7,12 @@ job; no service is involved.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +20,7 @@ from ratewright.functions.columns import as_column
 from ratewright.operators.diagnostics import PREDICTED
 from ratewright.operators.features import FeaturePlan
 from ratewright.operators.models import Fit
+from ratewright.sources import claims
 from ratewright.sources.feeds import write_predictions_feed
 
 RECORDS = {
@@ -26,7 +28,7 @@ RECORDS = {
     "description string, rows long, created_at timestamp",
     "datasets": "name string, version string, path string, columns array<string>, keys array<string>, "
     "labels array<string>, feature_view string, feature_view_version string, description string, rows long, "
-    "created_at timestamp",
+    "created_at timestamp, row_digest string, key_digest string",
     "run_params": "experiment string, run string, param string, value string, logged_at timestamp",
     "run_metrics": "experiment string, run string, metric string, step int, value double, logged_at timestamp",
     "run_artifacts": "experiment string, run string, path string, logged_at timestamp",
@@ -87,6 +89,30 @@ class PricingStore:
             rows = rows.where(F.col(column) == value)
         return rows.orderBy(F.desc("created_at")).first()
 
+    @contextmanager
+    def _claimed(self, kind: str, name: str, version: str) -> Iterator[str]:
+        """Hold a name and version that nobody else has; gives a folder of its own for the data. A write that fails
+        gives them back."""
+        claim = claims.claim_path(self.root, kind, name, version)
+        if not claims.take(self.spark, claim):
+            raise AlreadyExists(f"{kind}: {name} version {version}")
+        try:
+            yield f"{self.root}/{kind}/name={name}/version={version}/at={stamp()}"
+        except BaseException:
+            claims.release(self.spark, claim)
+            raise
+
+    def abandon(self, kind: str, name: str, version: str) -> None:
+        """Free a claim (``datasets`` or ``models``) whose writer died before it wrote its record."""
+        recorded = (
+            self._one("datasets", name=name, version=version)
+            if kind == "datasets"
+            else self._one("model_versions", model=name, version=version)
+        )
+        if recorded is not None:
+            raise AlreadyExists(f"{kind}: {name} version {version}")
+        claims.release(self.spark, claims.claim_path(self.root, kind, name, version))
+
     # -- feature views and datasets ------------------------------------------------------------
 
     def register_view(
@@ -138,7 +164,9 @@ class PricingStore:
         description: str = "",
         key_filter: Column | None = None,
     ) -> DataFrame:
-        """Freeze spine rows joined with their features. A version is written once, never again.
+        """Freeze spine rows joined with their features. A version is written once, never again: of two writers at
+        once, one gets AlreadyExists before it writes. The record keeps digests of the rows, taken while they are
+        written; ``audit_datasets`` proves them.
 
         ``key_filter``, a condition on the key that every spine row meets, keeps the view's other
         rows out of the join.
@@ -153,17 +181,40 @@ class PricingStore:
         if key_filter is not None:
             features = features.where(key_filter)
         joined = spine_join(spine, features, keys)
-        path = f"{self.root}/datasets/name={name}/version={version}"
-        joined.write.mode("errorifexists").parquet(path)
-        stored = self.spark.read.parquet(path)
-        self._append(
-            "datasets",
-            [
-                (name, version, path, joined.columns, list(keys), list(labels), view, view_version, description)
-                + (stored.count(), _now())
-            ],
-        )
-        return stored
+        with self._claimed("datasets", name, version) as path:
+            written = Observation()
+            joined.observe(written, *claims.digests(joined, keys)).write.parquet(path)
+            seen = written.get
+            self._append(
+                "datasets",
+                [
+                    (name, version, path, joined.columns, list(keys), list(labels), view, view_version, description)
+                    + (seen["rows"], _now(), seen["row_digest"], seen["key_digest"])
+                ],
+            )
+        return self.spark.read.parquet(path)
+
+    def audit_datasets(self) -> DataFrame:
+        """A row per frozen version: name, version, ROWS and KEY_DIGEST as stored now, and INTACT, whether row count
+        and both digests equal the record (NULL if it has none). One pass over each version."""
+        result = None
+        for record in self.records("datasets").collect():  # a row per version
+            stored = self.spark.read.parquet(record["path"]).select(*[f"`{c}`" for c in record["columns"]])
+            same = (
+                (F.col("rows") == record["rows"])
+                & (F.col("row_digest") == F.lit(record["row_digest"]))
+                & (F.col("key_digest") == F.lit(record["key_digest"]))
+            )
+            row = stored.agg(*claims.digests(stored, record["keys"])).select(
+                F.lit(record["name"]).alias("name"),
+                F.lit(record["version"]).alias("version"),
+                F.col("rows").alias("ROWS"),
+                F.col("key_digest").alias("KEY_DIGEST"),
+                same.alias("INTACT"),
+            )
+            result = row if result is None else result.unionByName(row)
+        schema = "name string, version string, ROWS long, KEY_DIGEST string, INTACT boolean"
+        return self.spark.createDataFrame([], schema) if result is None else result
 
     def load_dataset(self, name: str, version: str, only_features: bool = False) -> DataFrame:
         """The exact rows of a version; ``only_features`` drops the label columns."""
@@ -238,20 +289,20 @@ class PricingStore:
     ) -> None:
         if self._one("model_versions", model=model, version=version):
             raise AlreadyExists(f"model {model} version {version}")
-        path = f"{self.root}/models/name={model}/version={version}"
-        fit.save(f"{path}/fit")
-        sample_path = None
-        if sample is not None:
-            sample_path = f"{path}/sample_input"
-            sample.select(*fit.features).limit(sample_rows).write.parquet(sample_path)
-        values = {k: float(v) for k, v in (metrics or {}).items()}
-        self._append(
-            "model_versions",
-            [
-                (model, version, f"{path}/fit", fit.describe(), comment, values, sample_path, experiment, run)
-                + (dataset, dataset_version, list(attachments), _now())
-            ],
-        )
+        with self._claimed("models", model, version) as path:
+            fit.save(f"{path}/fit")
+            sample_path = None
+            if sample is not None:
+                sample_path = f"{path}/sample_input"
+                sample.select(*fit.features).limit(sample_rows).write.parquet(sample_path)
+            values = {k: float(v) for k, v in (metrics or {}).items()}
+            self._append(
+                "model_versions",
+                [
+                    (model, version, f"{path}/fit", fit.describe(), comment, values, sample_path, experiment, run)
+                    + (dataset, dataset_version, list(attachments), _now())
+                ],
+            )
         if make_default:
             self.set_default(model, version)
 

@@ -54,6 +54,62 @@ def test_freezing_again_changes_nothing(study, sf_dir, spark):
     assert sorted((r["path"], r["modificationTime"]) for r in stored.select("path", "modificationTime").collect()) == files
 
 
+def frozen(spark, store):
+    rows = spark.range(200).selectExpr("id AS POLICY_ID", "id * 0.5 AS PURE_PREMIUM", "1.0D AS EXPOSURE")
+    if not store.has_view("V", "1"):
+        store.register_view(spark.range(200).selectExpr("id AS POLICY_ID", "nullif(id % 7, 3) AS X"), "V", "1")
+    return rows
+
+
+def test_of_two_writers_one_freezes_a_version(spark, store):
+    from concurrent.futures import ThreadPoolExecutor
+
+    rows = frozen(spark, store)
+
+    def write(k):
+        try:
+            store.generate_dataset(rows.where(F.col("POLICY_ID") % 4 == k), "D", "1", "V", "1")
+        except AlreadyExists:
+            return None
+        return k
+
+    with ThreadPoolExecutor(4) as pool:
+        won = [k for k in pool.map(write, range(4)) if k is not None]
+    assert len(won) == 1 and store.records("datasets").count() == 1
+    assert {r["POLICY_ID"] % 4 for r in store.load_dataset("D", "1").collect()} == set(won)
+
+
+def test_a_failed_write_leaves_the_version_free(spark, store):
+    rows = frozen(spark, store)
+    broken = rows.withColumn("EXPOSURE", F.when(F.col("POLICY_ID") == 150, F.raise_error(F.lit("no"))).otherwise(1.0))
+    with pytest.raises(Exception, match="no"):
+        store.generate_dataset(broken, "D", "1", "V", "1")
+    assert store.records("datasets").count() == 0
+    assert store.generate_dataset(rows, "D", "1", "V", "1").count() == 200
+    with pytest.raises(AlreadyExists):
+        store.abandon("datasets", "D", "1")
+
+
+def test_audit_finds_changed_rows(spark, store):
+    rows = frozen(spark, store)
+    store.generate_dataset(rows, "D", "1", "V", "1")
+    store.generate_dataset(rows.limit(0), "EMPTY", "1", "V", "1")
+    assert {(r["name"], r["ROWS"], r["INTACT"]) for r in store.audit_datasets().collect()} == {
+        ("D", 200, True),
+        ("EMPTY", 0, True),
+    }
+    path = store.records("datasets").where("name = 'D'").first()["path"]
+    stored = spark.read.parquet(path)
+    again = stored.orderBy(F.desc("POLICY_ID")).toArrow()
+    other = spark.createDataFrame(again).repartition(3)
+    other.write.mode("overwrite").parquet(path)  # the same rows in other files and order
+    assert store.audit_datasets().where("name = 'D'").first()["INTACT"]
+    for column in ("PURE_PREMIUM", "X"):
+        changed = F.when(F.col("POLICY_ID") == 17, F.lit(99)).otherwise(F.col(column)).cast(other.schema[column].dataType)
+        other.withColumn(column, changed).write.mode("overwrite").parquet(path)
+        assert not store.audit_datasets().where("name = 'D'").first()["INTACT"]
+
+
 def test_training_scoring_and_comparison(study):
     store, _ = study
     glm = train_and_register(store, "GLM", "glm_1", "1", lambda df, f: mdl.fit_glm(df, f, alpha=0.5), folds=2)

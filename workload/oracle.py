@@ -414,6 +414,12 @@ ORACLE: dict[str, str] = {
           'RATING_FEATURES' AS feature_view, count(*) AS rows, {len(FEATURES) + 3} AS column_count,
           'PURE_PREMIUM,EXPOSURE' AS label_columns FROM scored GROUP BY IS_TRAIN""",
     ),
+    "dataset_audit": sql(
+        "scored",
+        """SELECT CASE WHEN IS_TRAIN THEN 'TRAINING' ELSE 'VALIDATION' END AS name, '1' AS version, count(*) AS ROWS,
+          CAST(sum(CAST(CAST('0x' || substring(md5(CAST(POLICY_ID AS VARCHAR)), 1, 15) AS BIGINT) AS HUGEINT)) AS VARCHAR)
+          AS KEY_DIGEST, TRUE AS INTACT FROM scored GROUP BY IS_TRAIN""",
+    ),
     "dataset_features_only": sql(
         "scored",
         f"""SELECT POLICY_ID, CAST(2 + (CONSTRUCTION_TYPE IS NOT NULL)::INT + (CONSTRUCTION_QUALITY IS NOT NULL)::INT

@@ -357,6 +357,12 @@ def dataset_versions(spark, sf_dir):
     return store.records("datasets").select("name", "version", "feature_view", "rows", *columns)
 
 
+@query
+def dataset_audit(spark, sf_dir):
+    """Frozen versions read again: the digest of their keys, and whether all rows are those that were written."""
+    return study(spark, sf_dir).audit_datasets()
+
+
 @query
 def dataset_features_only(spark, sf_dir):
     features = study(spark, sf_dir).load_dataset(Names.training, "1", only_features=True)
