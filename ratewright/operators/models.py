@@ -30,6 +30,7 @@ from ratewright.operators.splits import add_fold
 from ratewright.storage import shared_dir
 
 VECTOR = "rating_vector"
+WATCHED = "rating_watched"
 CELLS_PER_PARTITION = 50_000
 
 
@@ -416,12 +417,18 @@ def fit_gbt(
     seed: int = 0,
     max_bins: int = 32,
     partitions: int | None = None,
+    watch: DataFrame | None = None,
+    tolerance: float = 0.0,
 ) -> Fit:
     """Boosted regression trees on squared error, exposure-weighted unless ``weight=None``.
 
     Depth 5 gives at most 32 leaves per tree. Training is already data-parallel: each round
     aggregates split statistics per partition, so only histograms travel. ``partitions`` re-splits
     the rows where the stored files are too few for the executors.
+
+    With ``watch``, rows that are not learned from, the loss on them is followed while the trees are fitted: the fit
+    ends with the first round that lowers it by less than ``tolerance`` (relative; by nothing, if 0), and keeps the trees up
+    to the best round, ``params["best_round"]``.
     """
     features = list(features)
     shared_dir(df.sparkSession)  # long boosting lineages are checkpointed to the shared folder
@@ -439,13 +446,20 @@ def fit_gbt(
         lossType="squared",
         seed=seed,
         checkpointInterval=10,
+        validationTol=tolerance,
     )
     if weight:
         trees = trees.setWeightCol(weight)
+    if watch is not None:
+        others = usable_rows(watch, label, weight).select(*rows.columns)
+        rows = rows.withColumn(WATCHED, F.lit(False)).unionByName(others.withColumn(WATCHED, F.lit(True)))
+        trees = trees.setValidationIndicatorCol(WATCHED)
     vectors = assembler(features)
     model = trees.fit(vectors.transform(rows))
     finish = SQLTransformer(statement=f"SELECT * EXCEPT ({VECTOR}) FROM __THIS__")
     params = {"n_estimators": rounds, "learning_rate": step, "max_depth": depth, "weight": weight, "label": label}
+    if watch is not None:
+        params["best_round"] = model.getNumTrees
     return Fit(PipelineModel([vectors, model, finish]), "gbt", features, params)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ratewright.operators import models as mdl
 from ratewright.operators.diagnostics import PREDICTED, compare_models, double_lift, lift_calibration, metrics
 from ratewright.operators.policy import add_targets
-from ratewright.storage import scratch_path
+from ratewright.storage import materialise, scratch_path
 
 
 @pytest.fixture(scope="module")
@@ -138,3 +138,21 @@ def test_perfect_model_has_no_error(scored):
     assert row["RMSE"] == row["MAE"] == row["RMSE_WEIGHTED"] == 0.0
     best = {r["MODEL"]: r for r in compare_models(scored, {"self": "PURE_PREMIUM", "s": "SCORE"}).collect()}
     assert best["self"]["GINI"] > best["s"]["GINI"] and best["self"]["WORST_GAP"] < 1e-6
+
+
+@pytest.mark.parametrize("weight", [mdl.WEIGHT, None])
+def test_fit_ends_with_the_best_round_on_watched_rows(spark, weight):
+    rows = spark.range(1200).select(
+        F.col("id").alias("POLICY_ID"), (F.rand(1) * 10).alias("A"), F.rand(2).alias("B"), F.rand(5).alias("C"),
+        (0.2 + 0.8 * F.rand(4)).alias("EXPOSURE"),
+    )
+    rows = materialise(rows.withColumn("PURE_PREMIUM", F.col("A") + 5 * F.randn(7)), "watched")
+    train, watch = rows.where("POLICY_ID % 3 > 0"), rows.where("POLICY_ID % 3 = 0")
+    names, settings = ["A", "B", "C"], {"rounds": 25, "step": 0.3, "weight": weight}
+    whole = mdl.fit_gbt(train, names, **settings)
+    losses = [r["LOSS"] for r in mdl.evaluation_curve(whole, watch).orderBy("ROUND").collect()]
+    best = next(i for i in range(1, len(losses) + 1) if i == len(losses) or losses[i] >= losses[i - 1])
+    stopped = mdl.fit_gbt(train, names, watch=watch, **settings)
+    assert stopped.params["best_round"] == best < 25
+    kept = [r["LOSS"] for r in mdl.evaluation_curve(stopped, watch).orderBy("ROUND").collect()]
+    assert kept == pytest.approx(losses[:best])

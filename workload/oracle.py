@@ -431,6 +431,21 @@ ORACLE: dict[str, str] = {
         """SELECT s.POLICY_ID, round(l.TRAIN_M, 3) AS PREDICTED_PURE_PREMIUM
         FROM scored s JOIN level_means l ON l.TERRITORY_CODE = s.TERRITORY_CODE WHERE NOT s.IS_TRAIN""",
     ),
+    "glm_wide_one_way": sql(
+        "level_means",
+        """SELECT s.POLICY_ID, round(l.M, 3) AS PREDICTED_PURE_PREMIUM
+        FROM scored s JOIN level_means l ON l.TERRITORY_CODE = s.TERRITORY_CODE""",
+    ),
+    "glm_wide_factors": sql(
+        "scored",
+        """, learned AS (SELECT s.*, o.o_custkey AS CUSTOMER FROM scored s JOIN orders o ON o.o_orderkey = s.POLICY_ID
+          WHERE s.PROPERTY_AGE IS NOT NULL AND s.PURE_PREMIUM IS NOT NULL AND s.EXPOSURE > 0)
+        SELECT 'CUSTOMER' AS FACTOR, count(DISTINCT CUSTOMER) AS LEVELS, 0.0::DOUBLE AS RESIDUAL FROM learned
+        UNION ALL SELECT 'REGION_CODE', count(DISTINCT REGION_CODE), 0.0 FROM learned
+        UNION ALL SELECT 'CONSTRUCTION_TYPE', count(DISTINCT CONSTRUCTION_TYPE), 0.0 FROM learned
+        UNION ALL SELECT 'OCCUPANCY_TYPE', count(DISTINCT OCCUPANCY_TYPE), 0.0 FROM learned
+        UNION ALL SELECT unnest(['INTERCEPT', 'PROPERTY_AGE']), 1, 0.0""",
+    ),
     "glm_score_equations": f"SELECT unnest({['INTERCEPT', *FEATURES]}) AS FEATURE, 0.0::DOUBLE AS RESIDUAL",
     "glm_cv_one_way": sql("cv_folds", "SELECT 0.0::DOUBLE AS ALPHA, FOLD, round(RMSE, 3) AS RMSE FROM cv_folds"),
     "cv_mean_and_std": sql(

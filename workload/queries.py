@@ -19,6 +19,7 @@ from ratewright.operators import models as mdl
 from ratewright.operators import policy as pol
 from ratewright.operators import sketches as sk
 from ratewright.operators import splits as spl
+from ratewright.operators import wide_glm as wide
 from ratewright.operators.features import DECILES, FeaturePlan, FeatureSpec, feature_columns, level_table
 from ratewright.plans.pricing import Names, burning_cost, freeze_study, score_policies, train_and_register
 from ratewright.sources import catalog, feeds
@@ -419,6 +420,25 @@ def glm_score_equations(spark, sf_dir):
     return residuals.select("FEATURE", F.round(F.abs("RESIDUAL"), 5).alias("RESIDUAL"))
 
 
+@query
+def glm_wide_one_way(spark, sf_dir):
+    """The quasi-Newton GLM on one factor: every level's mean."""
+    df = pol.add_targets(stored(spark, sf_dir))
+    fit = wide.fit_wide_glm(df, ["TERRITORY_CODE"], alpha=0.0, tol=1e-11)
+    return rounded(fit.predict(df).select("POLICY_ID", dia.PREDICTED), PREDICTED_PURE_PREMIUM=3)
+
+
+@query
+def glm_wide_factors(spark, sf_dir):
+    """A level per customer beside the usual factors, more than normal equations hold at scale: levels by factor, and
+    the largest miss of any likelihood equation."""
+    owners = read_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("POLICY_ID"), F.col("o_custkey").alias("CUSTOMER"))
+    df = materialise(pol.add_targets(prepared(spark, sf_dir)).join(owners, "POLICY_ID"), "owned")
+    fit = wide.fit_wide_glm(df, ["CUSTOMER", "REGION_CODE", "CONSTRUCTION_TYPE", "OCCUPANCY_TYPE"], ["PROPERTY_AGE"], alpha=0.1)
+    levels = fit.coefficients().groupBy("FACTOR").agg(F.count("*").alias("LEVELS"))
+    return levels.withColumn("RESIDUAL", F.round(F.lit(fit.params["residual"]), 6))
+
+
 @query
 def glm_predictions(spark, sf_dir):
     df, features = full_design(spark, sf_dir)
@@ -515,6 +535,16 @@ def gbt_eval_curve(spark, sf_dir):
     return curve.select("ROUND", F.round(F.sqrt("LOSS"), 3).alias("ROOT_LOSS"))
 
 
+@query
+def gbt_stopped_early(spark, sf_dir):
+    """All features, up to 200 rounds: validation loss by round of the trees that were kept."""
+    df, features = full_design(spark, sf_dir)
+    train, validation = train_validation(df)
+    fit = mdl.fit_gbt(train, features, watch=validation)
+    curve = mdl.evaluation_curve(fit, validation)
+    return curve.select("ROUND", F.round(F.sqrt("LOSS"), 3).alias("ROOT_LOSS"), F.lit(fit.params["best_round"]).alias("BEST_ROUND"))
+
+
 @query
 def gbt_leafwise(spark, sf_dir):
     """Leaf-limited trees on one factor, exposure-weighted: every leaf is a level's weighted mean."""
