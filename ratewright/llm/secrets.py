@@ -2,7 +2,9 @@
 
 A public byte-pair vocabulary packs words into long tokens and random characters into short ones. A run
 of key-like characters with few characters per token is taken for a secret, and so is any part of a longer run with
-a stretch like that, whatever words stand around it, unless it is a known kind of digest or identifier.
+a stretch like that, whatever words stand around it, unless it is a known kind of digest or identifier. Letters
+alone have a lower limit of their own, for long compound words have few characters per token too, and a part of a run that
+holds nothing else is judged as one. Digits alone are numbers.
 """
 
 from __future__ import annotations
@@ -38,6 +40,7 @@ KNOWN = re.compile(
     + r")(?![0-9A-Za-z])"
 )
 CHARS_PER_TOKEN = 2.2
+LETTERS_PER_TOKEN = 2.0  # of letters alone
 
 
 def vocabulary() -> str:
@@ -57,13 +60,21 @@ def encoder(path: str):
 
 
 def random_looking(value: str, path: str, most: float = CHARS_PER_TOKEN) -> bool:
-    if not MIXED.match(value):
+    if value.isascii() and value.isalpha():
+        most = min(most, LETTERS_PER_TOKEN)
+    elif not MIXED.match(value):
         return False
     if IDENTIFIER.fullmatch(value) and (len(value) in DIGESTS or "-" in value):
         return False
     return len(value) < most * len(encoder(path).encode_ordinary(value))
 
 
+def _letter_parts(value: str, path: str, most: float) -> list[tuple[int, int]]:
+    """The parts of letters alone that look random."""
+    parts = (m.span() for m in PART.finditer(value) if len(m.group()) >= LEAST and m.group().isalpha())
+    return [(a, b) for a, b in parts if random_looking(value[a:b], path, most)]
+
+
 def _windows(value: str, path: str, most: float) -> list[tuple[int, int]]:
     """The parts of ``value`` between separators that a stretch of tokens with LEAST characters and few of them per
     token touches, from the first to the last it touches. Separators count neither as characters nor as tokens."""
@@ -99,14 +110,15 @@ def _windows(value: str, path: str, most: float) -> list[tuple[int, int]]:
 
 def random_stretches(run: str, path: str, most: float = CHARS_PER_TOKEN) -> list[tuple[int, int]]:
     """(start, end) of what looks random in ``run``: all of it, or parts; digests and identifiers in it are left out."""
-    if not MIXED.match(run):
-        return []
     found, at = [], 0
     for a, b in [*(m.span() for m in KNOWN.finditer(run)), (len(run), len(run))]:
         piece = run[at:a]
-        if len(piece) >= LEAST and MIXED.match(piece):
-            whole = random_looking(piece, path, most)
-            spans = [(0, len(piece))] if whole else _windows(piece, path, most)
+        if len(piece) >= LEAST:
+            spans = []
+            if MIXED.match(piece):
+                spans = [(0, len(piece))] if random_looking(piece, path, most) else _windows(piece, path, most)
+            apart = [s for s in _letter_parts(piece, path, most) if not any(s[0] < y and x < s[1] for x, y in spans)]
+            spans = sorted(spans + apart)
             found += [(at + x, at + y) for x, y in spans if not IDENTIFIER.fullmatch(piece, x, y) or y - x not in DIGESTS]
         at = b
     return found

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import string
 import re
 
 import pytest
@@ -83,6 +84,32 @@ def test_added_kinds():
     assert pii.find("221 Baker Streets")["address"] == []
 
 
+@pytest.mark.parametrize("letters", [string.ascii_lowercase, string.ascii_uppercase, string.ascii_letters])
+@pytest.mark.parametrize("front", ["", "my_application_configuration_credentials=", "/var/lib/application/config/"])
+def test_random_letters_alone(letters, front):
+    rng, path = random.Random(11), secrets.vocabulary()
+    found = 0
+    for i in range(200):
+        key = "".join(rng.choice(letters) for _ in range((20, 28, 40)[i % 3]))
+        text = f"use {front}{key} now"
+        at = text.index(key)
+        found += ("random", at, at + len(key)) in secrets.find(text, path)
+    assert found >= 180
+
+
+def test_long_words_and_numbers_are_no_secrets(spark):
+    path = secrets.vocabulary()
+    words = (
+        "Donaudampfschifffahrtsgesellschaft Rechtsschutzversicherungsgesellschaften Geschwindigkeitsbegrenzung "
+        "anticonstitutionnellement electroencefalografista getUserAuthenticationTokenProvider "
+        "Kraftfahrzeughaftpflichtversicherung pneumonoultramicroscopicsilicovolcanoconiosis 31415926535897932384626"
+    )
+    assert secrets.find(words, path) == []
+    texts = [r["text"] or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    spans = [t[a:b] for t in texts for k, a, b in secrets.find(t, path) if k == "random"]
+    assert not any(s.isalpha() for s in spans)
+
+
 def test_random_strings_and_known_identifiers():
     rng = random.Random(5)
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
