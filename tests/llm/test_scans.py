@@ -223,3 +223,45 @@ def test_license_table(documents, texts, odd, make):
     assert sum(r["n_licenses"] > 0 for r in found.values()) < 0.1 * len(found)
     assert {r["coverage"] for r in licenses.scan(odd).collect()} == {0.0}
     assert licenses.scan(make([])).collect() == []
+
+
+@pytest.mark.parametrize(
+    "text, name",
+    [
+        ("Released under the BSD License.", "bsd"),
+        ("Released under the MIT License.", "mit"),
+        ("Licensed under CC BY 4.0.", "cc-by-4.0"),
+        ("Licensed under CC BY-SA 4.0.", "cc-by-sa-4.0"),
+        ("Licensed under CC BY-NC 4.0.", "cc-by-nc-4.0"),
+        ("Licensed under CC BY-NC-SA 4.0.", "cc-by-nc-sa-4.0"),
+        ("Licensed under CC BY-ND 4.0.", None),
+        ("This work is licensed under the GNU General Public License, version 2.", "gpl-2.0"),
+        ("This work is licensed under the GNU General Public License, version 3 or later.", "gpl-3.0"),
+        ("This work is licensed under the GNU Lesser General Public License, version 3.", "lgpl-3.0"),
+        ("This work is licensed under the GNU Affero General Public License, version 3.", "agpl-3.0"),
+        ("This work is licensed under a Creative Commons Attribution 4.0 International License.", "cc-by-4.0"),
+        ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "cc-by-sa-4.0"),
+        ("This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.", None),
+        ("This work is licensed under a Creative Commons Attribution 3.0 Unported License.", None),
+        ("Licensed under the Apache License, Version 1.1.", None),
+    ],
+)
+def test_words_that_tell_licenses_apart(text, name):
+    for around in ("{}", "Some words before. {} And some words after it."):
+        found = licenses.find(around.format(text))
+        assert {licenses.license_of(f[0]) for f in found} == ({name} if name else set())
+
+
+def test_a_refused_stretch_hides_no_other():
+    text = "Licensed under CC BY-ND 4.0. " + "word " * 40 + "Licensed under CC BY 4.0."
+    assert [f[0] for f in licenses.find(text)] == ["cc-by-4.0"]
+    near = "This work is licensed under the GNU General Public License, version 2. " * 2
+    both = near + "This work is licensed under the GNU General Public License, version 3."
+    assert {licenses.license_of(f[0]) for f in licenses.find(both)} == {"gpl-2.0", "gpl-3.0"}
+
+
+def test_a_header_and_its_short_notice_are_one_license(make):
+    text = licenses.TEMPLATES["apache-2.0-header"] + " http://www.apache.org/licenses/LICENSE-2.0"
+    row = licenses.scan(make([(1, text)])).first()
+    assert (row["n_licenses"], row["license"]) == (1, "apache-2.0")
+    assert "apache-2.0:" in row["spans"] and "apache-2.0-header:" in row["spans"]
