@@ -1,7 +1,8 @@
 """Boosted regression trees limited by leaves, grown best-first.
 
-Feature values are dealt once into bins cut at quantiles, and the binned rows are written. A tree grows from a queue of leaves
-by gain: the leaf whose split gains most is split next, until the tree has its leaves. Split gains come from
+Feature values are dealt once into bins cut at quantiles. Features that no row has above their first bin together, such as
+the indicators of one factor, share a column of codes, so that a row costs a byte per factor; the coded rows are written in
+blocks of many rows, each column of a block one value. A tree grows from a queue of leaves by gain: the leaf whose split gains most is split next, until the tree has its leaves. Split gains come from
 histograms (weight, gradient, rows) by node, feature and bin, summed per task and then by one grouped aggregate; only
 the smaller child of a split is counted, its sibling is the parent less it. Where the queue meets splits whose
 children are not counted yet, it goes on without them, and all of them are counted in one pass, so a tree takes
@@ -26,7 +27,8 @@ from ratewright.operators.diagnostics import OBSERVED, PREDICTED, WEIGHT
 from ratewright.operators.models import Fit, usable_rows
 from ratewright.storage import materialise
 
-REWRITE = 10  # rounds after which predictions are written with the rows
+REWRITE = 5  # rounds after which predictions are written with the rows
+BLOCK = 1 << 16  # rows to a block
 LEAF = -1
 
 
@@ -55,19 +57,24 @@ class Tree:
     def leaves(self) -> int:
         return self.feature.count(LEAF)
 
-    def nodes(self, columns: Sequence[np.ndarray], cuts: Sequence[float], rows: int) -> np.ndarray:
-        """The leaf of every row; ``columns`` are values with ``cuts`` thresholds, or bins with bins."""
-        at = np.zeros(rows, "int32")
+    def nodes(self, high, rows: int) -> np.ndarray:
+        """The leaf of every row; ``high(node, rows)`` tells which of some rows go right."""
+        at = np.zeros(rows, "uint8" if len(self.feature) <= 256 else "int32")
         for node, feature in enumerate(self.feature):  # children come after their parents
             if feature != LEAF:
                 here = np.flatnonzero(at == node)
-                low = columns[feature][here] <= cuts[node]
-                at[here] = np.where(low, self.left[node], self.right[node])
+                at[here] = np.where(high(node, here), self.right[node], self.left[node]).astype(at.dtype)
         return at
 
-    def scores(self, columns: Sequence[np.ndarray], rows: int, binned: bool) -> np.ndarray:
-        at = self.nodes(columns, self.bin if binned else self.threshold, rows)
-        return self.weight * np.asarray(self.value)[at]
+    def coded_nodes(self, codes: Sequence[np.ndarray], bundles: Bundles, rows: int) -> np.ndarray:
+        return self.nodes(lambda node, here: bundles.above(codes, self.feature[node], self.bin[node], here), rows)
+
+    def coded_scores(self, codes: Sequence[np.ndarray], bundles: Bundles, rows: int) -> np.ndarray:
+        return (self.weight * np.asarray(self.value))[self.coded_nodes(codes, bundles, rows)]
+
+    def scores(self, columns: Sequence[np.ndarray], rows: int) -> np.ndarray:
+        at = self.nodes(lambda node, here: ~(columns[self.feature[node]][here] <= self.threshold[node]), rows)
+        return (self.weight * np.asarray(self.value))[at]
 
 
 @dataclass
@@ -81,7 +88,7 @@ class LeafwiseFit(Fit):
         columns = list(rows.T)
         total = np.full(len(rows), self.params["base"])
         for tree in self.trees:
-            total = total + tree.scores(columns, len(rows), binned=False)
+            total = total + tree.scores(columns, len(rows))
             yield total
 
     def predict(self, df: DataFrame) -> DataFrame:
@@ -93,7 +100,7 @@ class LeafwiseFit(Fit):
                 rows = _values(batch, names)
                 columns, total = list(rows.T), np.full(len(rows), base)
                 for tree in trees:
-                    total += tree.scores(columns, len(rows), binned=False)
+                    total += tree.scores(columns, len(rows))
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns, pa.array(total)], names=[*batch.schema.names, PREDICTED]
                 )
@@ -175,45 +182,133 @@ def bin_edges(df: DataFrame, features: Sequence[str], max_bins: int) -> list[np.
     return edges
 
 
-def _binned(rows: DataFrame, features: Sequence[str], edges: Sequence[np.ndarray], base: float) -> DataFrame:
-    """bins (a byte per feature), y, w, valid, p (the prediction so far)."""
+def _bins(batch: pa.RecordBatch, names: Sequence[str], edges: Sequence[np.ndarray]) -> np.ndarray:
+    values = _values(batch, names)
+    bins = np.empty(values.shape, "uint8")
+    for i, cuts in enumerate(edges):
+        bins[:, i] = np.searchsorted(cuts, values[:, i], side="left")
+    return bins
+
+
+@dataclass
+class Bundles:
+    """Columns of codes. Code 0: every feature of the column is in its first bin; a feature's other bins are ``size - 1``
+    codes from ``first``. A feature that shares its column with none has its bins as codes."""
+
+    columns: list[list[int]]
+    place: dict[int, tuple[int, int, int]]  # feature: column, first, size
+
+    @classmethod
+    def deal(cls, sizes: Sequence[int], together: set[tuple[int, int]]) -> Bundles:
+        """Every feature of more than one bin into the first column where it meets none and whose codes fit a byte."""
+        columns, codes, place = [], [], {}
+        for f, size in enumerate(sizes):
+            if size < 2:
+                continue
+            for c, others in enumerate(columns):
+                if codes[c] + size - 1 <= 256 and not any((other, f) in together for other in others):
+                    break
+            else:
+                c = len(columns)
+                columns.append([])
+                codes.append(1)
+            columns[c].append(f)
+            place[f] = (c, codes[c], size)
+            codes[c] += size - 1
+        return cls(columns or [[]], place)
+
+    @property
+    def codes(self) -> list[int]:
+        """Codes of each column."""
+        return [1 + sum(self.place[f][2] - 1 for f in features) for features in self.columns]
+
+    def encode(self, bins: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(self.columns), len(bins)), "uint8")
+        for c, features in enumerate(self.columns):
+            for f in features:
+                on = bins[:, f] > 0
+                if out[c, on].any():
+                    raise ValueError("the rows changed between two passes")
+                out[c, on] = bins[on, f] + np.uint8(self.place[f][1] - 1)
+        return out
+
+    def above(self, codes: Sequence[np.ndarray], feature: int, bin: int, rows: np.ndarray) -> np.ndarray:
+        """Which of some rows are above a feature's bin."""
+        c, first, size = self.place[feature]
+        # below the feature's codes the difference wraps around
+        return codes[c][rows] - np.uint8(first + bin) <= np.uint8(size - 2 - bin)
+
+
+def bundle(rows: DataFrame, features: Sequence[str], edges: Sequence[np.ndarray]) -> Bundles:
+    """Which features may share a column, from one pass that finds all pairs above their first bins in the same row."""
     names = list(features)
 
     def batches(source):
+        met = np.zeros((len(names), len(names)), bool)
         for batch in source:
-            values = _values(batch, names)
-            bins = np.empty(values.shape, "uint8")
-            for i, cuts in enumerate(edges):
-                bins[:, i] = np.searchsorted(cuts, values[:, i], side="left")
-            packed = pa.FixedSizeBinaryArray.from_buffers(
-                pa.binary(len(names)), len(values), [None, pa.py_buffer(bins.tobytes())]
-            ).cast(pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [packed, batch.column("y"), batch.column("w"), batch.column("valid"), pa.array(np.full(len(values), base))],
-                names=["bins", "y", "w", "valid", "p"],
-            )
+            on = (_bins(batch, names, edges) > 0).astype("float32")
+            met |= on.T @ on > 0
+        a, b = np.nonzero(np.triu(met, 1))
+        yield pa.RecordBatch.from_arrays([pa.array(a.astype("int32")), pa.array(b.astype("int32"))], names=["a", "b"])
+
+    pairs = rows.mapInArrow(batches, "a int, b int").distinct().toArrow()  # at most one per pair of features
+    return Bundles.deal([len(e) + 1 for e in edges], set(zip(pairs["a"].to_pylist(), pairs["b"].to_pylist())))
+
+
+BLOCKS = "codes binary, y binary, w binary, valid binary, p binary"
 
-    return rows.mapInArrow(batches, "bins binary, y double, w double, valid boolean, p double")
 
+def _blocks(
+    rows: DataFrame, features: Sequence[str], edges: Sequence[np.ndarray], bundles: Bundles, base: float
+) -> DataFrame:
+    """Blocks of rows: codes (column by column), y, w, valid, p (the prediction so far)."""
+    names = list(features)
+
+    def block(held):
+        codes, y, w, valid = (np.concatenate(part, axis=-1) for part in zip(*held))
+        values = codes, y, w, valid, np.full(len(y), base)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([np.ascontiguousarray(v).tobytes()], pa.binary()) for v in values], names=["codes", "y", "w", "valid", "p"]
+        )
 
-def _columns(batch: pa.RecordBatch, width: int) -> list[np.ndarray]:
-    packed = batch.column("bins").combine_chunks() if isinstance(batch.column("bins"), pa.ChunkedArray) else batch.column("bins")
-    start = packed.offset
-    flat = np.frombuffer(packed.buffers()[2], "uint8")
-    first = np.frombuffer(packed.buffers()[1], "int32")[start] if len(packed) else 0
-    return list(flat[first : first + len(packed) * width].reshape(-1, width).T.copy())
+    def batches(source):
+        held, rows = [], 0
+        for batch in source:
+            codes = bundles.encode(_bins(batch, names, edges))
+            amounts = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("y", "w", "valid")]
+            held.append((codes, *amounts))
+            rows += batch.num_rows
+            if rows >= BLOCK:
+                yield block(held)
+                held, rows = [], 0
+        if rows:
+            yield block(held)
+
+    return rows.mapInArrow(batches, BLOCKS)
+
+
+def _opened(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
+    """codes, y, w, valid, p of each block."""
+    for i in range(batch.num_rows):
+        codes, y, w, valid, p = (
+            np.frombuffer(batch.column(c)[i].as_buffer(), kind)
+            for c, kind in (("codes", "uint8"), ("y", "f8"), ("w", "f8"), ("valid", "?"), ("p", "f8"))
+        )
+        yield codes.reshape(-1, len(y)), y, w, valid, p
 
 
-def _predicted(rows: DataFrame, trees: Sequence[Tree], width: int) -> DataFrame:
+def _predicted(table: DataFrame, trees: Sequence[Tree], bundles: Bundles) -> DataFrame:
     def batches(source):
         for batch in source:
-            columns = _columns(batch, width)
-            p = batch.column("p").to_numpy().copy()
-            for tree in trees:
-                p += tree.scores(columns, len(p), binned=True)
-            yield batch.set_column(batch.schema.get_field_index("p"), "p", pa.array(p))
+            found = []
+            for codes, _, _, _, p in _opened(batch):
+                p = p.copy()
+                for tree in trees:
+                    p += tree.coded_scores(codes, bundles, len(p))
+                found.append(p.tobytes())
+            yield batch.set_column(batch.schema.get_field_index("p"), "p", pa.array(found, pa.binary()))
 
-    return rows.mapInArrow(batches, rows.schema)
+    return table.mapInArrow(batches, table.schema)
 
 
 # -- histograms and growth -------------------------------------------------------------------------
@@ -230,43 +325,53 @@ class _Node:
 class _Grower:
     """Grows one ensemble on a table of binned rows."""
 
-    def __init__(self, edges: Sequence[np.ndarray], leaves: int, min_rows: int, l2: float):
-        self.sizes = [len(e) + 1 for e in edges]
-        self.offsets = np.concatenate([[0], np.cumsum(self.sizes)])
-        self.edges, self.leaves, self.min_rows, self.l2 = edges, leaves, min_rows, l2
+    def __init__(self, edges: Sequence[np.ndarray], bundles: Bundles, leaves: int, min_rows: int, l2: float):
+        self.offsets = np.concatenate([[0], np.cumsum(bundles.codes)])
+        self.bundles, self.edges, self.leaves, self.min_rows, self.l2 = bundles, edges, leaves, min_rows, l2
+        self.alike = {}  # features by number of bins
+        for f, (_, _, size) in bundles.place.items():
+            self.alike.setdefault(size, []).append(f)
+
+    def bins(self, histogram: np.ndarray, features: Sequence[int], size: int) -> np.ndarray:
+        """(weight, gradient, rows) x feature x bin, of features with ``size`` bins."""
+        out = np.empty((3, len(features), size))
+        for i, f in enumerate(features):
+            c, first, _ = self.bundles.place[f]
+            column = histogram[:, self.offsets[c] : self.offsets[c + 1]]
+            out[:, i, 1:] = column[:, first : first + size - 1]
+            out[:, i, 0] = column[:, :first].sum(1) + column[:, first + size - 1 :].sum(1)
+        return out
 
     def histograms(
         self, rows: DataFrame, recent: Sequence[Tree], tree: Tree, wanted: Sequence[int]
     ) -> tuple[dict[int, np.ndarray], tuple[float, float]]:
         """Histograms of the wanted nodes of ``tree`` over the training rows, and (weight, weighted squared error) of the
         rows held for validation."""
-        sizes, offsets, width = self.sizes, self.offsets, len(self.sizes)
+        offsets, bundles = self.offsets, self.bundles
         total = int(offsets[-1])
         place = {node: i for i, node in enumerate(wanted)}
 
         def batches(source):
             sums = np.zeros((3, len(wanted), total))
             held = np.zeros(2)
-            for batch in source:
-                columns = _columns(batch, width)
-                y, w, p = (batch.column(c).to_numpy().copy() for c in ("y", "w", "p"))
-                valid = batch.column("valid").to_numpy(zero_copy_only=False)
+            for codes, y, w, valid, p in (block for batch in source for block in _opened(batch)):
+                p = p.copy()
                 for done in recent:
-                    p += done.scores(columns, len(p), binned=True)
-                held += w[valid].sum(), (w * (y - p) ** 2)[valid].sum()
-                at = tree.nodes(columns, tree.bin, len(p))
+                    p += done.coded_scores(codes, bundles, len(p))
+                if valid.any():
+                    held += w[valid].sum(), (w * (y - p) ** 2)[valid].sum()
+                at = tree.coded_nodes(codes, bundles, len(p))
                 index = np.full(len(tree.feature), -1)
                 for node, i in place.items():
                     index[node] = i
-                index = index[at]
-                use = np.flatnonzero((index >= 0) & ~valid)
+                use = np.flatnonzero((index >= 0)[at] & ~valid)
                 if not len(use):
                     continue
-                index, weight = index[use], w[use]
-                gradient = weight * (y - p)[use]
-                for f, size in enumerate(sizes):
-                    slot = index * size + columns[f][use]
-                    span = slice(offsets[f], offsets[f + 1])
+                index, weight = index[at[use]], w[use]
+                gradient = weight * (y[use] - p[use])
+                for c, size in enumerate(bundles.codes):
+                    slot = index * size + codes[c][use]
+                    span = slice(offsets[c], offsets[c + 1])
                     for k, amount in enumerate((weight, gradient, None)):
                         found = np.bincount(slot, amount, len(wanted) * size)
                         sums[k, :, span] += found.reshape(len(wanted), size)
@@ -293,23 +398,20 @@ class _Grower:
 
     def best_split(self, histogram: np.ndarray) -> tuple[float, int, int] | None:
         """(gain, feature, bin) of the best split with ``min_rows`` rows on both sides; ties go to the first."""
-        best = None
-        for f, size in enumerate(self.sizes):
-            if size < 2:
-                continue
-            w, g, n = histogram[:, self.offsets[f] : self.offsets[f + 1]]
-            low, whole = np.cumsum([w, g, n], axis=1)[:, :-1], np.array([w.sum(), g.sum(), n.sum()])[:, None]
+        found = []
+        for size, features in self.alike.items():
+            bins = self.bins(histogram, features, size)
+            bins[:, bins[2] == 0] = 0.0
+            low, whole = np.cumsum(bins, axis=2)[:, :, :-1], bins.sum(axis=2)[:, :, None]
             high = whole - low
             ok = (low[2] >= self.min_rows) & (high[2] >= self.min_rows) & (low[0] > 0) & (high[0] > 0)
-            if not ok.any():
-                continue
             with np.errstate(divide="ignore", invalid="ignore"):
                 gain = low[1] ** 2 / (low[0] + self.l2) + high[1] ** 2 / (high[0] + self.l2)
-            gain = np.where(ok, gain - whole[1] ** 2 / (whole[0] + self.l2), -np.inf)
-            at = int(gain.argmax())
-            if gain[at] > 0 and (best is None or gain[at] > best[0]):
-                best = (float(gain[at]), f, at)
-        return best
+                gain = np.where(ok, gain - whole[1] ** 2 / (whole[0] + self.l2), -np.inf)
+            i, at = divmod(int(gain.argmax()), size - 1)
+            if gain[i, at] > 0:
+                found.append((float(gain[i, at]), features[i], at))
+        return max(found, key=lambda split: (split[0], -split[1]), default=None)
 
     def _value(self, histogram: np.ndarray) -> float:
         w, g, _ = histogram[:, self.offsets[0] : self.offsets[1]].sum(1)
@@ -345,8 +447,8 @@ class _Grower:
             smaller = {}
             for node in pending:
                 _, f, at = known[node].split
-                rows_low = known[node].histogram[2, self.offsets[f] : self.offsets[f] + at + 1].sum()
-                rows_all = known[node].histogram[2, self.offsets[f] : self.offsets[f + 1]].sum()
+                rows_by_bin = self.bins(known[node].histogram, [f], self.bundles.place[f][2])[2, 0]
+                rows_low, rows_all = rows_by_bin[: at + 1].sum(), rows_by_bin.sum()
                 counted.feature[node], counted.bin[node] = f, at
                 counted.left[node], counted.right[node] = counted.add(0.0), counted.add(0.0)
                 children = counted.left[node], counted.right[node]
@@ -407,8 +509,9 @@ def fit_leafwise(
     if base is None:
         raise ValueError("no rows to learn from")
     edges = bin_edges(learned, features, max_bins)
-    table = materialise(_binned(rows, features, edges, float(base)), "binned")
-    grower = _Grower(edges, leaves, min_rows, l2)
+    bundles = bundle(rows, features, edges)
+    table = materialise(_blocks(rows, features, edges, bundles, float(base)), "blocks")
+    grower = _Grower(edges, bundles, leaves, min_rows, l2)
     trees: list[Tree] = []
     written, losses = 0, []
 
@@ -417,7 +520,7 @@ def fit_leafwise(
 
     for done in range(rounds):
         if done - written >= REWRITE:
-            table = materialise(_predicted(table, trees[written:done], len(features)), "predicted")
+            table = materialise(_predicted(table, trees[written:done], bundles), "predicted")
             written = done
         tree, held = grower.grow(table, trees[written:], 1.0 if done == 0 else step)
         if done and held[0]:  # the loss of the trees before this one

@@ -110,3 +110,31 @@ def test_what_is_refused(spark):
     fit = lw.fit_leafwise(df.withColumn("EXPOSURE", F.when(F.col("POLICY_ID") > 5, F.col("EXPOSURE"))), FEATURES, rounds=1)
     with pytest.raises(Exception, match="missing values"):
         fit.predict(df.withColumn("A", F.lit(None).cast("int"))).collect()
+
+
+def test_exclusive_features_share_a_column(spark, monkeypatch):
+    """Twelve indicators of one factor cost a byte a row, not twelve, and the trees are those of plain growth."""
+    monkeypatch.setattr(lw, "REWRITE", 2)
+    monkeypatch.setattr(lw, "BLOCK", 16)
+    df, data = frame(spark, 200)
+    names = [f"A{i}" for i in range(12)]
+    df = materialise(df.withColumns({n: (F.col("A") == i).cast("double") for i, n in enumerate(names)}), "indicators")
+    features = [*names, "B", "FLAG", "EMPTY"]
+    bundles = lw.bundle(df, features, lw.bin_edges(df, features, 256))
+    assert bundles.columns == [list(range(12)), [12], [13]]
+    x = np.array([[*(float(r[1] == i) for i in range(12)), r[2], r[4], 0.0] for r in data])
+    y, w = np.array([r[6] for r in data]), np.array([r[7] for r in data])
+    fit = lw.fit_leafwise(df, features, rounds=5, step=0.3, leaves=9, max_bins=256)
+    got = {r["POLICY_ID"]: r[PREDICTED] for r in fit.predict(df).collect()}
+    want = plain_boosting(x, y, w, 5, 0.3, 9)
+    assert max(abs(got[i] - v) for i, v in enumerate(want)) < 1e-9
+
+
+def test_codes_fit_a_byte():
+    bundles = lw.Bundles.deal([2, 200, 60, 1, 3], {(1, 4)})
+    assert bundles.columns == [[0, 1], [2, 4]] and bundles.codes == [201, 62]
+    bins = np.array([[0, 199, 0, 0, 0], [1, 0, 59, 0, 0], [0, 0, 0, 0, 2]], "uint8")
+    codes = bundles.encode(bins)
+    for f in (0, 1, 2, 4):
+        for at in range(bundles.place[f][2] - 1):
+            assert bundles.above(codes, f, at, np.arange(3)).tolist() == (bins[:, f] > at).tolist()
