@@ -32,6 +32,7 @@ from ratewright.storage import shared_dir
 VECTOR = "rating_vector"
 WATCHED = "rating_watched"
 CELLS_PER_PARTITION = 50_000
+ROWS_PER_PARTITION = 250_000  # of boosted trees, which keep some hundred bytes a row and read them in every pass
 
 
 @dataclass
@@ -424,7 +425,8 @@ def fit_gbt(
 
     Depth 5 gives at most 32 leaves per tree. Training is already data-parallel: each round
     aggregates split statistics per partition, so only histograms travel. ``partitions`` re-splits
-    the rows where the stored files are too few for the executors.
+    the rows where the stored files are too few for the executors; more than ``ROWS_PER_PARTITION`` rows
+    a partition are re-split in any case, so that what a task keeps and reads does not grow with the table.
 
     With ``watch``, rows that are not learned from, the loss on them is followed while the trees are fitted: the fit
     ends with the first round that lowers it by less than ``tolerance`` (relative; by nothing, if 0), and keeps the trees up
@@ -433,8 +435,6 @@ def fit_gbt(
     features = list(features)
     shared_dir(df.sparkSession)  # long boosting lineages are checkpointed to the shared folder
     rows = usable_rows(df, label, weight).select(*features, label, *([weight] if weight else []))
-    if partitions:
-        rows = rows.repartition(partitions)
     trees = GBTRegressor(
         featuresCol=VECTOR,
         labelCol=label,
@@ -455,7 +455,13 @@ def fit_gbt(
         rows = rows.withColumn(WATCHED, F.lit(False)).unionByName(others.withColumn(WATCHED, F.lit(True)))
         trees = trees.setValidationIndicatorCol(WATCHED)
     vectors = assembler(features)
-    model = trees.fit(vectors.transform(rows))
+    assembled = vectors.transform(rows).drop(*features)  # vectors of indicators are sparse, and travel as such
+    needed = -(-rows.count() // ROWS_PER_PARTITION)
+    if needed > 1:
+        assembled = assembled.repartition(max(needed, partitions or df.sparkSession.sparkContext.defaultParallelism))
+    elif partitions:
+        assembled = assembled.repartition(partitions)
+    model = trees.fit(assembled)
     finish = SQLTransformer(statement=f"SELECT * EXCEPT ({VECTOR}) FROM __THIS__")
     params = {"n_estimators": rounds, "learning_rate": step, "max_depth": depth, "weight": weight, "label": label}
     if watch is not None:

@@ -156,3 +156,20 @@ def test_fit_ends_with_the_best_round_on_watched_rows(spark, weight):
     assert stopped.params["best_round"] == best < 25
     kept = [r["LOSS"] for r in mdl.evaluation_curve(stopped, watch).orderBy("ROUND").collect()]
     assert kept == pytest.approx(losses[:best])
+
+
+def test_boosted_trees_bound_the_rows_of_a_partition(cells, monkeypatch):
+    rows = materialise(cells.coalesce(1), "one_partition")
+    seen, fit = [], mdl.GBTRegressor.fit
+
+    def watched(self, data):
+        seen.append(data.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect())
+        return fit(self, data)
+
+    monkeypatch.setattr(mdl.GBTRegressor, "fit", watched)
+    whole = mdl.fit_gbt(rows, ["A", "B", "C"], rounds=2)
+    monkeypatch.setattr(mdl, "ROWS_PER_PARTITION", 100)
+    split = mdl.fit_gbt(rows, ["A", "B", "C"], rounds=2, partitions=3)
+    assert len(seen[0]) == 1 and len(seen[1]) == 15 and max(seen[1]) <= 110 and sum(seen[0]) == sum(seen[1])
+    sums = [fit.predict(rows).agg(F.sum(PREDICTED)).first()[0] for fit in (whole, split)]
+    assert sums[0] == pytest.approx(sums[1], rel=1e-12)
