@@ -68,3 +68,22 @@ def test_nulls_unknown_levels_and_clashing_names(spark, policies):
     assert {round(r[0], 9) for r in found.select(PREDICTED).distinct().collect()} == {round(float(np.exp(fit.beta[0])), 9)}
     with pytest.raises(ValueError):
         wide.fit_wide_glm(policies.limit(0), ["REGION"])
+
+
+@pytest.mark.parametrize("few", [10_000, 145])
+def test_levels_without_a_slot_give_the_same_fit(policies, monkeypatch, few):
+    """The widest factor's levels, or those of few rows, are solved for where their rows are; NULL levels have no indicator."""
+    odd = materialise(policies.withColumn("BROKER", F.when(F.col("POLICY_ID") % 7 > 0, F.col("BROKER"))), "odd")
+    usual = wide.fit_wide_glm(odd, ["REGION", "BROKER"], ["AGE"], alpha=0.05, tol=1e-9)
+    monkeypatch.setattr(wide, "MANY", 5)
+    monkeypatch.setattr(wide, "FEW", few)
+    monkeypatch.setattr(wide, "MAX_LEVELS", 13)
+    fit = wide.fit_wide_glm(odd, ["REGION", "BROKER"], ["AGE"], alpha=0.05, tol=1e-9)
+    assert fit.params["converged"] and fit.params["features"] == usual.params["features"] == 15
+    slots = {r[0] for r in odd.where("BROKER IS NOT NULL").groupBy("BROKER").count().where(F.col("count") >= few).collect()}
+    assert len(fit.beta) == 7 + len(slots) and (few == 10_000) == (not slots)
+    want = {(r["FACTOR"], r["LEVEL"]): r["COEFFICIENT"] for r in usual.coefficients().collect()}
+    got = {(r["FACTOR"], r["LEVEL"]): r["COEFFICIENT"] for r in fit.coefficients().collect()}
+    assert got.keys() == want.keys() and max(abs(got[k] - want[k]) for k in want) < 1e-6
+    both = fit.predict(odd).join(usual.predict(odd).select("POLICY_ID", F.col(PREDICTED).alias("p")), "POLICY_ID")
+    assert both.agg(F.max(F.abs(F.col(PREDICTED) / F.col("p") - 1))).first()[0] < 1e-6
