@@ -183,7 +183,8 @@ class PricingStore:
         joined = spine_join(spine, features, keys)
         with self._claimed("datasets", name, version) as path:
             written = Observation()
-            joined.observe(written, *claims.digests(joined, keys)).write.parquet(path)
+            rows = claims.marked(joined, keys).observe(written, *claims.digests())
+            rows.drop(claims.ROW_BITS, claims.KEY_BITS).write.parquet(path)
             seen = written.get
             self._append(
                 "datasets",
@@ -205,7 +206,8 @@ class PricingStore:
                 & (F.col("row_digest") == F.lit(record["row_digest"]))
                 & (F.col("key_digest") == F.lit(record["key_digest"]))
             )
-            row = stored.agg(*claims.digests(stored, record["keys"])).select(
+            form = claims.form_of(record["row_digest"])
+            row = claims.marked(stored, record["keys"], form).agg(*claims.digests(form)).select(
                 F.lit(record["name"]).alias("name"),
                 F.lit(record["version"]).alias("version"),
                 F.col("rows").alias("ROWS"),

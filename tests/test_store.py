@@ -1,10 +1,12 @@
 import pytest
+from plan_text import explained
 from pyspark.sql import functions as F
 
 from ratewright.operators import models as mdl
 from ratewright.operators.diagnostics import PREDICTED
 from ratewright.operators.features import FeaturePlan, FeatureSpec
 from ratewright.plans.pricing import Names, freeze_study, score_policies, score_portfolio, train_and_register
+from ratewright.sources import claims
 from ratewright.sources.adapter import policy_freq, policy_sev
 from ratewright.sources.store import AlreadyExists, PricingStore, spine_join
 from ratewright.storage import scratch_path, shared_dir, spread
@@ -110,6 +112,38 @@ def test_audit_finds_changed_rows(spark, store):
         assert not store.audit_datasets().where("name = 'D'").first()["INTACT"]
 
 
+def test_row_digests_need_no_text_of_rows(spark):
+    rows = spark.createDataFrame(
+        [(1, None, 2.0, "a", [1, None]), (2, 2.0, None, None, None)], "K long, A double, B double, S string, N array<int>"
+    )
+    assert "to_json" not in explained(claims.marked(rows.drop("N"), ["K"]))
+
+    def digest(df):
+        return claims.marked(df, ["K"]).agg(*claims.digests()).first()["row_digest"]
+
+    whole = digest(rows)
+    assert digest(rows.orderBy(F.desc("K"))) == whole and digest(rows.union(rows)) != whole
+    swapped = rows.select("K", F.col("B").alias("A"), F.col("A").alias("B"), "S", "N")
+    assert digest(swapped) != whole  # a NULL has a place
+    assert digest(rows.withColumn("S", F.coalesce("S", F.lit("")))) != whole
+    assert digest(rows.withColumn("N", F.reverse("N"))) != whole
+
+
+def test_audit_of_records_with_digests_of_json_text(spark, store):
+    store.generate_dataset(frozen(spark, store), "D", "1", "V", "1")
+    table = f"{store.root}/records/datasets"
+    record = store.records("datasets")
+    path = record.first()["path"]
+    stored = spark.read.parquet(path)
+    before = claims.marked(stored, ["POLICY_ID"], form="").agg(*claims.digests("")).first()["row_digest"]
+    old = spark.createDataFrame([r.asDict() | {"row_digest": before} for r in record.collect()], record.schema)
+    old.write.mode("overwrite").parquet(table)
+    assert before.isdigit() and store.audit_datasets().first()["INTACT"]
+    changed = spark.createDataFrame(stored.toArrow()).withColumn("X", F.lit(5).cast(stored.schema["X"].dataType))
+    changed.write.mode("overwrite").parquet(path)
+    assert not store.audit_datasets().first()["INTACT"]
+
+
 def test_training_scoring_and_comparison(study):
     store, _ = study
     glm = train_and_register(store, "GLM", "glm_1", "1", lambda df, f: mdl.fit_glm(df, f, alpha=0.5), folds=2)
