@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -259,13 +259,24 @@ def land_feed(spark: SparkSession, path: str, feed=POLICY_FEED, pattern: str | N
 
 
 LEAF_TYPES = ("bigint", "double", "boolean", "date")  # the first that all texts of a path parse as
+# all that a cast takes for such a type is like this; casts of other text end in an exception each, which costs far more
+LIKE = {
+    "bigint": "^[^0-9A-Za-z]*[0-9][0-9.]*[^0-9A-Za-z]*$",
+    "boolean": "(?i)^[^0-9A-Za-z]*(t|true|y|yes|1|f|false|n|no|0)[^0-9A-Za-z]*$",
+}
+
 
+def _parsed(text: Column, kind: str) -> Column:
+    """``text`` as a leaf type, NULL where it does not parse."""
+    return (F.when(text.rlike(LIKE[kind]), text) if kind in LIKE else text).try_cast(kind)
 
-def feed_paths(landed: DataFrame) -> DataFrame:
+
+def feed_paths(landed: DataFrame, without: Sequence[str] = ()) -> DataFrame:
     """(PATH, ROWS, LEAVES, TYPE): where text stands in landed variants, in how many rows, how often, and the narrowest
     type that all of it parses as. Elements of arrays share a path, which ends in ``[]``.
 
-    Walks the variants level by level, all rows at once; a level per depth of the feed.
+    Walks the variants level by level, all rows at once; a level per depth of the feed. Text at the paths in ``without``
+    is left where it is found, before it is stored, cast or shuffled; what is nested below such a path is walked.
     """
     source = landed.select(F.monotonically_increasing_id().alias("row"), F.lit("").alias("path"), F.col("SRC").alias("v"))
     tvf, leaves, level = landed.sparkSession.tvf, None, source
@@ -275,17 +286,24 @@ def feed_paths(landed: DataFrame) -> DataFrame:
             F.concat(F.when(F.col("path") == "", F.lit("")).otherwise(F.lit(".")), F.col("key"))
         )
         opened = opened.select("row", F.concat("path", step).alias("path"), F.col("value").alias("v"))
-        opened = opened.where(~F.is_variant_null("v")).withColumn("kind", F.schema_of_variant("v"))
-        nested = F.col("kind").startswith("OBJECT") | F.col("kind").startswith("ARRAY")
+        kind = F.schema_of_variant("v")
+        opened = opened.where(~F.is_variant_null("v")).select(
+            "row", "path", "v", (kind.startswith("OBJECT") | kind.startswith("ARRAY")).alias("nested")
+        )
+        if without:
+            opened = opened.where(F.col("nested") | ~F.col("path").isin(list(without)))
+        # a variant taken out of another keeps all names of the whole, so leaves are stored as their text
+        text = F.when(~F.col("nested"), F.try_variant_get("v", "$", "string"))
+        opened = opened.select("row", "path", "nested", text.alias("text"), F.when(F.col("nested"), F.col("v")).alias("v"))
         opened = materialise(opened, "feed_level")
-        found = opened.where(~nested).select("row", "path", F.try_variant_get("v", "$", "string").alias("text"))
+        found = opened.where(~F.col("nested")).select("row", "path", "text")
         leaves = found if leaves is None else leaves.unionByName(found)
-        level = opened.where(nested).select("row", "path", "v")
+        level = opened.where("nested").select("row", "path", "v")
         if level.isEmpty():
             break
     # a row's leaves of one path first, so that rows are counted without a set of them
     per_row = leaves.groupBy("path", "row").agg(
-        F.count("text").alias("n"), *[F.count(F.trim("text").try_cast(t)).alias(t) for t in LEAF_TYPES]
+        F.count("text").alias("n"), *[F.count(_parsed(F.trim("text"), t)).alias(t) for t in LEAF_TYPES]
     )
     kind = F.coalesce(*[F.when(F.sum("n") == F.sum(t), F.lit(t)) for t in LEAF_TYPES], F.lit("string"))
     return per_row.groupBy(F.col("path").alias("PATH")).agg(
@@ -296,7 +314,7 @@ def feed_paths(landed: DataFrame) -> DataFrame:
 def feed_unknown_paths(landed: DataFrame, feed=POLICY_FEED) -> DataFrame:
     """``feed_paths`` of what the feed's fields do not list: what a sender has added since they were agreed."""
     _, _, fields = feed
-    return feed_paths(landed).where(~F.col("PATH").isin([path for _, path, _ in fields]))
+    return feed_paths(landed, without=[path for _, path, _ in fields])
 
 
 def extract_fields(landed: DataFrame, feed=POLICY_FEED) -> DataFrame:

@@ -150,3 +150,35 @@ def test_landing_an_empty_feed(spark, tmp_path):
     (tmp_path / "a_policy_freq.xml").write_text("<PolicyFeed></PolicyFeed>")
     landed = feeds.land_feed(spark, str(tmp_path), feeds.POLICY_FEED, feeds.POLICY_PATTERN)
     assert landed.count() == 0 and feeds.feed_unknown_paths(landed).collect() == []
+
+
+def test_listed_leaves_are_left_out_before_they_are_stored(spark, monkeypatch):
+    landed = spark.createDataFrame(
+        [('{"PolicyId": "7", "RegionCode": {"Old": "R1"}, "Risk": {"TerritoryCode": "A", "Sprinkler": "1"}, "Tag": ["x", "2"]}',)],
+        "text string",
+    ).select(F.parse_json("text").alias("SRC"))
+    kept = []
+
+    def materialise(df, label):
+        kept.extend(r["path"] for r in df.select("path").collect())
+        return real(df, label)
+
+    real = feeds.materialise
+    monkeypatch.setattr(feeds, "materialise", materialise)
+    found = {r["PATH"]: (r["ROWS"], r["LEAVES"], r["TYPE"]) for r in feeds.feed_unknown_paths(landed).collect()}
+    assert found == {
+        "RegionCode.Old": (1, 1, "string"), "Risk.Sprinkler": (1, 1, "bigint"), "Tag[]": (1, 2, "string"),
+    }
+    assert "PolicyId" not in kept and "Risk.TerritoryCode" not in kept and "RegionCode.Old" in kept
+
+
+@pytest.mark.parametrize("kind", feeds.LEAF_TYPES)
+def test_no_value_is_missed_before_the_cast(spark, kind):
+    texts = """1 -1 +5 +.5 1. .5 0 007 1e5 1d 0x1 -0 9223372036854775807 9223372036854775808 1_0 2020-01-02 2020 R3 true FALSE t F y
+        Yes n No 1true on off . - + 12:30""".split() + [" 1", "2\n", "\t3\t", "\x0b4", "\u00855", " true ", "\nNO\t", "\x01f", "", " ", "1 2"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    plain, guarded = F.col("t").try_cast(kind), feeds._parsed(F.col("t"), kind)
+    assert rows.where(~F.equal_null(plain, guarded)).collect() == []
+    assert rows.where(plain.isNotNull()).count() >= 2
+    if kind in feeds.LIKE:
+        assert rows.where(F.col("t").isin("R3", "2020-01-02", "12:30") & F.col("t").rlike(feeds.LIKE[kind])).count() == 0
