@@ -147,6 +147,34 @@ def test_contexts_help_on_held_out_texts(spark):
     assert sum(r["score"] > r["base_score"] for r in held) > 0.85 * len(held)
 
 
+def test_codes_of_frequent_words_are_a_bijection():
+    draw = np.random.default_rng(2)
+    for size in (2, 3):
+        slots = [draw.integers(0, 1 << suffix_tree.SLOT_BITS, 20_000, dtype="uint64") for _ in range(size)]
+        code = suffix_tree._coded(slots)
+        assert (code < 1 << suffix_tree.SLOT_BITS * size).all()
+        assert all((x == y).all() for x, y in zip(slots, suffix_tree._decoded(code, size)))
+
+
+def test_counts_and_lookups_travel_as_lists(make, monkeypatch):
+    """Pairs of words that are all different travel in lists, a row per part and depth, not a row each."""
+    draw, rows = np.random.default_rng(3), []
+    made = suffix_tree.map_rows
+
+    def kept(df, columns, schema, run):
+        out = suffix_tree.materialise(made(df, columns, schema, run), "travels")
+        rows.append((schema, out.count()))
+        return out
+
+    monkeypatch.setattr(suffix_tree, "map_rows", kept)
+    words = [f"w{k}" for k in range(300)]
+    docs = make([(i, " ".join(words[k] for k in draw.integers(0, 300, 200))) for i in range(200)])
+    assert suffix_tree.scores(docs).count() == 200
+    counts = [n for schema, n in rows if "shorter" in schema]
+    assert counts and max(counts) <= 3 * 8 * 3 * suffix_tree.AHEAD  # tasks, parts, kinds, depths; 40,000 tokens
+    assert [n for schema, n in rows if "facts" in schema][0] <= 200 + 3 * 16
+
+
 def test_factorisation_identity():
     rng = np.random.default_rng(1)
     machine = quality.Machine(0.3, rng.normal(size=quality.INPUTS), rng.normal(size=(quality.INPUTS, 4)))
