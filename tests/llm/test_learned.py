@@ -1,6 +1,7 @@
 """Suffix tree and quality machine."""
 
 import math
+import os
 import zlib
 from collections import Counter
 
@@ -8,6 +9,7 @@ import numpy as np
 import pytest
 
 from ratewright.llm import quality, suffix_tree
+from ratewright.storage import discard, shared_dir
 
 
 def tokens(text):
@@ -175,6 +177,31 @@ def test_counts_and_lookups_travel_as_lists(make, monkeypatch):
     assert [n for schema, n in rows if "facts" in schema][0] <= 200 + 3 * 16
 
 
+def test_disk_holds_the_tree_and_one_step(chained, make, spark):
+    """What only growth has read is deleted, and shuffle files go with the step they belong to."""
+    folder = f"{shared_dir(spark)}/ratewright/{spark.sparkContext.applicationId}"
+    docs = make(chained)
+    before = set(os.listdir(folder))
+    tree = suffix_tree.grow(suffix_tree.training(docs))
+    left = Counter(name.rpartition("-")[0] for name in set(os.listdir(folder)) - before)
+    assert left["vocabulary"] == 1 and left["suffix_level"] >= len(tree.sizes) >= 3
+    assert left["follows"] == left["suffix_entries"] == 0
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    with pytest.raises(ValueError, match="not an intermediate table"):
+        discard(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
+
+
+def test_sums_of_texts_travel_in_blocks(chained, make, monkeypatch):
+    monkeypatch.setattr(suffix_tree, "SLOTS", 1)
+    docs, out = make(chained), []
+    tree = suffix_tree.grow(suffix_tree.training(docs))
+    for size in (suffix_tree.BLOCK, 16):
+        monkeypatch.setattr(suffix_tree, "BLOCK", size)
+        scores = suffix_tree.score(docs, tree)
+        out.append({r["doc_id"]: (r["n_known"], round(r["score"], 6), round(r["base_score"], 6)) for r in scores.collect()})
+    assert out[0] == out[1] and len(out[0]) == len(chained)
+
+
 def test_factorisation_identity():
     rng = np.random.default_rng(1)
     machine = quality.Machine(0.3, rng.normal(size=quality.INPUTS), rng.normal(size=(quality.INPUTS, 4)))
