@@ -423,19 +423,20 @@ def fit_gbt(
 ) -> Fit:
     """Boosted regression trees on squared error, exposure-weighted unless ``weight=None``.
 
-    Depth 5 gives at most 32 leaves per tree. Training is already data-parallel: each round
-    aggregates split statistics per partition, so only histograms travel. ``partitions`` re-splits
-    the rows where the stored files are too few for the executors; more than ``ROWS_PER_PARTITION`` rows
-    a partition are re-split in any case, so that what a task keeps and reads does not grow with the table.
+    Depth 5 gives at most 32 leaves per tree. The fit (``boosting.py``) follows Spark ML's rules and gives its model; only sums
+    by bin travel. ``partitions`` re-splits the rows where the stored files are too few for the executors; more than
+    ``ROWS_PER_PARTITION`` rows a partition are re-split in any case, so that what a task keeps and reads does not grow with the table.
 
     With ``watch``, rows that are not learned from, the loss on them is followed while the trees are fitted: the fit
     ends with the first round that lowers it by less than ``tolerance`` (relative; by nothing, if 0), and keeps the trees up
     to the best round, ``params["best_round"]``.
     """
+    from ratewright.operators.boosting import BlockGBTRegressor
+
     features = list(features)
     shared_dir(df.sparkSession)  # long boosting lineages are checkpointed to the shared folder
     rows = usable_rows(df, label, weight).select(*features, label, *([weight] if weight else []))
-    trees = GBTRegressor(
+    trees = BlockGBTRegressor(
         featuresCol=VECTOR,
         labelCol=label,
         predictionCol=PREDICTED,

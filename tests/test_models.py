@@ -173,3 +173,55 @@ def test_boosted_trees_bound_the_rows_of_a_partition(cells, monkeypatch):
     assert len(seen[0]) == 1 and len(seen[1]) == 15 and max(seen[1]) <= 110 and sum(seen[0]) == sum(seen[1])
     sums = [fit.predict(rows).agg(F.sum(PREDICTED)).first()[0] for fit in (whole, split)]
     assert sums[0] == pytest.approx(sums[1], rel=1e-12)
+
+
+def test_boosted_trees_equal_those_of_spark(cells, monkeypatch):
+    """The same trees as Spark's own fit where features have no more values than bins, on rows that are not sampled."""
+    from pyspark.ml.regression import GBTRegressionModel
+
+    from ratewright.operators import boosting
+
+    df = cells.withColumn("D", (F.col("POLICY_ID") % 23 - 11).cast("double")).withColumn("E", F.col("A") * (F.col("POLICY_ID") % 3))
+    names, passes, root = ["A", "B", "C", "D", "E"], [], boosting._Booster.root
+    monkeypatch.setattr(boosting._Booster, "root", lambda self, *a: passes.append(1) or root(self, *a))
+    monkeypatch.setattr(boosting, "BLOCK", 200)  # several blocks
+    ours = {weight: mdl.fit_gbt(df, names, rounds=12, weight=weight) for weight in ("EXPOSURE", None)}
+    assert len(passes) == 26  # one for the first root, then one a tree
+    monkeypatch.setattr(boosting.BlockGBTRegressor, "_fit", mdl.GBTRegressor._fit)
+    for weight, fit in ours.items():
+        theirs = mdl.fit_gbt(df, names, rounds=12, weight=weight)
+        a, b = (next(s for s in f.pipeline.stages if isinstance(s, GBTRegressionModel)) for f in (fit, theirs))
+        assert a.treeWeights == b.treeWeights and a.numFeatures == b.numFeatures == 5
+        assert a.getLabelCol() == b.getLabelCol() and a.getStepSize() == b.getStepSize()
+        importances = [m.featureImportances.toArray()[1:4] for m in (a, b)]  # splits on A and on E may tie
+        assert np.allclose(*importances, atol=1e-6)
+        got, want = ({r["POLICY_ID"]: r[PREDICTED] for r in f.predict(df).collect()} for f in (fit, theirs))
+        assert got == {k: pytest.approx(v, rel=1e-9) for k, v in want.items()}
+
+
+def test_bins_of_many_values(spark):
+    """Summaries keep the weight and the order of values, and thresholds share the weight."""
+    from ratewright.operators import boosting
+
+    draw = np.random.default_rng(5)
+    value, weight = np.round(draw.normal(size=50_000), 3), draw.uniform(0.1, 1, 50_000)
+    parts = []
+    for k in range(5):
+        summary = boosting._Summary([(np.empty(0), np.empty(0))], np.zeros((1, 1), bool))
+        for j in range(0, 10_000, 1000):
+            v, w = (x[10_000 * k + j :][:1000] for x in (value, weight))
+            on = np.flatnonzero(v)
+            summary.take(1000, on, np.zeros(len(on), "int64"), v[on], w)
+        parts.append(summary)
+    whole = parts[0]
+    for other in parts[1:]:
+        whole = whole.merge(other)
+    edges, from_zero = whole.edges(32)
+    assert len(edges[0]) == 31 and not from_zero[0] and whole.rows == 50_000
+    shares = np.array([weight[value <= e].sum() for e in edges[0]]) / weight.sum()
+    assert np.abs(shares - np.arange(1, 32) / 32).max() < 0.004
+
+
+def test_missing_values_are_refused_by_boosted_trees(cells):
+    with pytest.raises(Exception, match="NaN|missing|null|NULL"):
+        mdl.fit_gbt(cells.withColumn("A", F.when(F.col("A") > 0, F.col("A"))), ["A", "B"], rounds=1)
