@@ -129,6 +129,26 @@ def shapley_table(shares: np.ndarray) -> np.ndarray:
     return table * (patterns - shares)
 
 
+def merged_games(games: list[tuple]) -> tuple[list[tuple], list[tuple]]:
+    """(conditions, games) with the games of leaves that ask a row the same questions added up. A condition is (feature,
+    low, high); not to be above a cut and to be above it are one, read the other way round. A game is its conditions' places, its
+    features and a table of Shapley values, a row for each feature and an entry for each pattern of answers."""
+    conditions, sums = {}, {}
+    for index, low, high, table in games:
+        turned = (high == np.inf) & (low > -np.inf)
+        asked = [(int(f), *((-np.inf, a) if t else (a, b))) for f, a, b, t in zip(index, low, high, turned)]
+        places = np.array([conditions.setdefault(c, len(conditions)) for c in asked])
+        order = np.argsort(places)
+        bits = 1 << np.arange(len(order))
+        answers = np.arange(1 << len(order))[:, None] & bits > 0
+        pattern = (answers ^ turned[order]) @ (1 << order)  # of the leaf's own table
+        key = tuple(places[order].tolist())
+        found = np.ascontiguousarray(table[pattern][:, order].T)
+        sums[key] = sums[key] + found if key in sums else found
+    asked = list(conditions)
+    return asked, [(key, [asked[c][0] for c in key], table) for key, table in sums.items()]
+
+
 def _explain_trees(fit: Fit, df: DataFrame, keep: Sequence[str]) -> DataFrame:
     from pyspark.ml.regression import GBTRegressionModel
 
@@ -136,7 +156,7 @@ def _explain_trees(fit: Fit, df: DataFrame, keep: Sequence[str]) -> DataFrame:
     model = _stage(fit, GBTRegressionModel)
     baseline, games = leaf_games(tree_nodes(fit, spark), model.treeWeights)
     # a few numbers per leaf: bounded by the model, not by the portfolio
-    shared = spark.sparkContext.broadcast(games)
+    shared = spark.sparkContext.broadcast(merged_games(games))
     features, keep = list(fit.features), list(keep)
     rows = df.select(*keep, *[F.col(f).cast("double").alias(f"_f{i}") for i, f in enumerate(features)])
     out = [rows.schema[c] for c in keep]
@@ -146,15 +166,18 @@ def _explain_trees(fit: Fit, df: DataFrame, keep: Sequence[str]) -> DataFrame:
         import numpy as np
         import pandas as pd
 
+        conditions, merged = shared.value
         for batch in batches:
-            x = batch[[f"_f{i}" for i in range(len(features))]].to_numpy(dtype=float)
-            phi = np.zeros_like(x)
-            for index, low, high, table in shared.value:
-                values = x[:, index]
-                obeys = (values > low) & (values <= high)
-                pattern = obeys @ (1 << np.arange(len(index)))
-                phi[:, index] += table[pattern]
-            result = pd.DataFrame(phi, columns=[f"{f}{SUFFIX}" for f in features], index=batch.index)
+            x = [batch[f"_f{i}"].to_numpy(dtype=float) for i in range(len(features))]
+            obeys = [((x[f] > low) & (x[f] <= high)).astype(np.intp) for f, low, high in conditions]
+            phi = np.zeros((len(features), len(batch)))
+            for asked, index, table in merged:
+                pattern = obeys[asked[0]].copy()
+                for k, c in enumerate(asked[1:], start=1):
+                    pattern += obeys[c] << k
+                for f, values in zip(index, table):
+                    phi[f] += values.take(pattern)
+            result = pd.DataFrame(phi.T, columns=[f"{f}{SUFFIX}" for f in features], index=batch.index)
             yield pd.concat([batch[keep], result], axis=1)
 
     explained = rows.mapInPandas(attribute, T.StructType(out))

@@ -87,3 +87,38 @@ def test_top_factors_and_importance(spark):
     assert top == [(1, 1, "B", -2.0), (1, 2, "A", 0.5), (2, 1, "C", 3.0), (2, 2, "A", -1.0)]
     importance = {r["FEATURE"]: r["IMPORTANCE"] for r in exp.global_importance(df).collect()}
     assert importance == {"A": 0.75, "B": 1.5, "C": 1.55}
+
+
+def test_global_importance_explains_the_whole_ensemble(spark, sf_dir, monkeypatch):
+    from workload.queries import QUERIES
+
+    asked = []
+
+    def fit(self, data):
+        asked.append(self.getMaxIter())
+        raise StopIteration
+
+    monkeypatch.setattr(mdl.GBTRegressor, "fit", fit)
+    for name in ("gbt_predictions", "tree_global_importance"):
+        with pytest.raises(StopIteration):
+            QUERIES[name](spark, sf_dir)
+    assert asked == [200, 200]
+
+
+def test_merged_games_equal_the_games_of_all_leaves():
+    draw, games = np.random.default_rng(6), []
+    for _ in range(300):
+        index = draw.permutation(4)[: draw.integers(1, 4)]
+        cut, side = draw.integers(0, 3, len(index)).astype(float), draw.integers(0, 3, len(index))
+        low, high = np.where(side == 0, -np.inf, cut), np.where(side == 1, np.inf, cut + (side == 2))
+        games.append((index, low, high, draw.normal(size=(1 << len(index), len(index)))))
+    conditions, merged = exp.merged_games(games)
+    assert len(merged) < len(games) / 1.2
+    for x in draw.uniform(-1, 5, (50, 4)):
+        plain, found = np.zeros(4), np.zeros(4)
+        for index, low, high, table in games:
+            plain[index] += table[((x[index] > low) & (x[index] <= high)) @ (1 << np.arange(len(index)))]
+        for asked, index, table in merged:
+            answers = [conditions[c][1] < x[f] <= conditions[c][2] for c, f in zip(asked, index)]
+            found[index] += table[:, sum(a << k for k, a in enumerate(answers))]
+        assert np.allclose(plain, found)

@@ -756,8 +756,9 @@ def tree_attributions_add_up(spark, sf_dir):
 
 @query
 def tree_global_importance(spark, sf_dir):
+    """All features and the whole ensemble, as many rounds as a model takes."""
     df, features = full_design(spark, sf_dir)
-    fit = mdl.fit_gbt(df, features, rounds=5)
+    fit = mdl.fit_gbt(df, features)
     return exp.global_importance(exp.explain(fit, df))
 
 
