@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratewright.operators.leafwise import LEAF, Bundles, _Grower
-from ratewright.storage import delete, materialise, scratch_path
+from ratewright.storage import delete, discard, materialise, scratch_path
 
 BLOCK = 1 << 15  # rows to a block
 NUMBERS = 1 << 12  # of a number that stands for several columns of codes
@@ -405,6 +405,7 @@ class BlockGBTRegressor(GBTRegressor):
         blocks = raw.where(F.col("summary").isNull()).drop("summary").repartition(parts).rdd.map(opened)
         booster = _Booster(layout, self.getMaxDepth(), self.getMinInstancesPerNode(), parts)
         trees, best = self._boosted(spark, blocks, booster, watching)
+        discard(raw)
         params = {param.name: value for param, value in self._paramMap.items()}
         return _model(spark, trees[:best], [1.0] + [self.getStepSize()] * (best - 1), layout, features, params)
 

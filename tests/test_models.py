@@ -1,4 +1,5 @@
 import math
+import os
 
 import numpy as np
 import pytest
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 from ratewright.operators import models as mdl
 from ratewright.operators.diagnostics import PREDICTED, compare_models, double_lift, lift_calibration, metrics
 from ratewright.operators.policy import add_targets
-from ratewright.storage import materialise, scratch_path
+from ratewright.storage import materialise, scratch_path, shared_dir
 
 
 @pytest.fixture(scope="module")
@@ -185,8 +186,11 @@ def test_boosted_trees_equal_those_of_spark(cells, monkeypatch):
     names, passes, root = ["A", "B", "C", "D", "E"], [], boosting._Booster.root
     monkeypatch.setattr(boosting._Booster, "root", lambda self, *a: passes.append(1) or root(self, *a))
     monkeypatch.setattr(boosting, "BLOCK", 200)  # several blocks
+    folder = f"{shared_dir(df.sparkSession)}/ratewright/{df.sparkSession.sparkContext.applicationId}"
+    before = set(os.listdir(folder))
     ours = {weight: mdl.fit_gbt(df, names, rounds=12, weight=weight) for weight in ("EXPOSURE", None)}
     assert len(passes) == 26  # one for the first root, then one a tree
+    assert not [name for name in set(os.listdir(folder)) - before if name.startswith("boosted_rows")]
     monkeypatch.setattr(boosting.BlockGBTRegressor, "_fit", mdl.GBTRegressor._fit)
     for weight, fit in ours.items():
         theirs = mdl.fit_gbt(df, names, rounds=12, weight=weight)
